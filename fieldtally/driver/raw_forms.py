@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,9 +102,9 @@ def landed(base: DataFrame, spec: FormSpec, values: Mapping[str, str]) -> DataFr
     unknown = set(values) - set(spec.landed_columns())
     if unknown:
         raise KeyError(f"not in form {spec.name}: {sorted(unknown)}")
-    return base.select(
+    return base.selectExpr(
         *[
-            F.expr(values.get(c, "null")).cast(spec.landed_types.get(c, "string")).alias(c)
+            f"cast({values.get(c, 'null')} as {spec.landed_types.get(c, 'string')}) as `{c}`"
             for c in spec.landed_columns()
         ]
     )
@@ -281,8 +282,14 @@ CHOICES = (
 )
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], names: str) -> DataFrame:
+    """A listed dimension; the optimizer knows its exact size."""
+    columns = names.split()
+    return spark.createDataFrame(pa.table({c: list(v) for c, v in zip(columns, zip(*rows))}))
+
+
 def choices(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CHOICES), "field string, value string, label string")
+    return small_table(spark, CHOICES, "field value label")
 
 
 # ---------------------------------------------------------------- readiness and monitoring, from customers
@@ -420,14 +427,13 @@ def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
         return table(spark, sf_dir, name).select(F.col(key).alias("name"), F.col(label).alias("label"))
 
     def counts(rows: Mapping[str, tuple[str, int]]) -> DataFrame:
-        return spark.createDataFrame(list(rows.values()), "indicators_category string, no_of_questions int")
+        return small_table(spark, list(rows.values()), "indicators_category no_of_questions").withColumn(
+            "no_of_questions", F.col("no_of_questions").cast("int"))
 
     iso = table(spark, sf_dir, "nation").where(f"n_nationkey % {ISO_GAP} <> 0").selectExpr(
         "n_nationkey as admin2_id", "n_name as province_label", "concat('ISO-', n_nationkey) as iso2_code"
     )
-    indicators = spark.createDataFrame(
-        dictionary_rows(), "form_name string, indicator_name string, indicator_label string, category string"
-    )
+    indicators = small_table(spark, dictionary_rows(), "form_name indicator_name indicator_label category")
     return Dimensions(
         areas={level: area(level) for level in AREAS},
         iso=iso,

@@ -60,7 +60,7 @@ def resolve_other(answer: Column | str, specified: Column | str, token: str = "o
 def option_tokens(answer: Column | str) -> Column:
     """Chosen options of a select-multiple answer such as ``["mr" "opv"]``; empty text has none."""
     bare = F.regexp_replace(_col(answer), r'[\[\]"]', "")
-    tokens = F.transform(F.split(bare, " "), F.trim)
+    tokens = F.transform(F.split(bare, " "), lambda token: F.trim(token))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(tokens)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.forms import FormSpec
@@ -25,20 +25,18 @@ def strip_group_prefix(df: DataFrame, groups: Iterable[str], overrides: Mapping[
     return df.select(*[F.col(f"`{c}`").alias(clean_name(c, groups, overrides)) for c in df.columns])
 
 
-def typed(column: Column, to: str, on_error: str = "raise") -> Column:
-    """Cast that raises on malformed text, or yields NULL with ``on_error='null'``."""
-    return column.try_cast(to) if on_error == "null" else column.cast(to)
+def _typed(column: str, to: str, alias: str, on_error: str) -> str:
+    return f"{'try_cast' if on_error == 'null' else 'cast'}(`{column}` as {to}) as `{alias}`"
 
 
 def apply_types(df: DataFrame, types: Mapping[str, str], default: str = "string", on_error: str = "raise") -> DataFrame:
-    """Every column cast to its declared type; undeclared columns to ``default``."""
-    return df.select(
-        *[typed(F.col(f"`{c}`"), types.get(c, default), on_error).alias(c) for c in df.columns]
-    )
+    """Every column cast to its declared type, undeclared ones to ``default``.
+
+    Malformed text raises, or becomes NULL with ``on_error='null'``.
+    """
+    return df.selectExpr(*[_typed(c, types.get(c, default), c, on_error) for c in df.columns])
 
 
 def clean_form(raw: DataFrame, spec: FormSpec, on_error: str = "raise") -> DataFrame:
     """The clean form declared by ``spec``. Only columns used downstream reach the scan."""
-    return raw.select(
-        *[typed(F.col(f"`{landed}`"), to, on_error).alias(clean) for landed, clean, to in spec.clean_columns()]
-    )
+    return raw.selectExpr(*[_typed(landed, to, clean, on_error) for landed, clean, to in spec.clean_columns()])

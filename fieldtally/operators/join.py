@@ -71,16 +71,23 @@ def _hashable(df: DataFrame) -> list[str]:
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
-               extra: Column | None = None, hot: str = "left", spread_by: Sequence[str] | None = None,
-               counted: DataFrame | None = None, hot_rows: int = HOT_ROWS, limit: int | None = None) -> DataFrame:
+               extra: Column | None = None, hot: str | None = "left", spread_by: Sequence[str] | None = None,
+               counted: DataFrame | None = None, hot_rows: int = HOT_ROWS, limit: int | None = None,
+               size_of: Sequence[DataFrame] | None = None) -> DataFrame:
     """Left or inner join on ``on`` = [(left column, right column)]; column names must not overlap.
 
-    ``hot`` names the side whose keys may be skewed. ``spread_by`` columns tell the rows of one key
-    apart (default: all columns). ``counted`` is a cheaper frame to count the skewed side's keys on.
+    ``hot`` names the side whose keys may be skewed, None where both sides are grouped so finely that
+    no key can hold many rows. ``spread_by`` columns tell the rows of one key apart (default: all
+    columns). ``counted`` is a cheaper frame to count the skewed side's keys on. ``size_of`` lists the
+    tables that must fit for ``right`` to be broadcast, where ``right`` joins several.
     """
     condition = _equal(on) if extra is None else _equal(on) & extra
-    if fits_broadcast(right, limit):
+    if all(fits_broadcast(side, limit) for side in (size_of or [right])):
         return left.join(F.broadcast(right), condition, how)
+    if hot is None:
+        return _shuffled(left, right, on, how, extra)
+    if hot == "right" and how == "left" and extra is not None:
+        raise ValueError("a left join with an extra condition needs hot='left'")
 
     skewed, other = (left, right) if hot == "left" else (right, left)
     skewed_keys = [a if hot == "left" else b for a, b in on]
@@ -110,9 +117,17 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
         joined = split.join(copies, salted, how)
     else:
         joined = copies.join(split.withColumn("_matched", F.lit(True)), salted, how)
-        if how == "left" and extra is None:
+        if how == "left":
             # A copied left row finds its matches spread over the sub-keys; the empty ones are no result.
             joined = joined.where(F.col("_o_factor").isNull() | F.col("_matched").isNotNull())
-        elif how == "left":
-            raise ValueError("a left join with an extra condition needs hot='left'")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns + right.columns])
+
+
+def _shuffled(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str,
+              extra: Column | None) -> DataFrame:
+    """Plain join left to the optimizer, except that left rows with a NULL text key do not pile up in one task."""
+    kinds = dict(left.dtypes)
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)]), F.lit(NULL_SPREAD)))
+    keys = [F.coalesce(F.col(a), spread) if kinds[a] == "string" else F.col(a) for a, _ in on]
+    condition = reduce(lambda a, b: a & b, [key == F.col(b) for key, (_, b) in zip(keys, on)])
+    return left.join(right, condition if extra is None else condition & extra, how)

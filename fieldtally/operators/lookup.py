@@ -37,17 +37,16 @@ def admin_lookup(df: DataFrame, areas: Mapping[int, DataFrame], levels: int | Se
     retains the code columns as ``adminN_code``.
     """
     wanted = range(1, levels + 1) if isinstance(levels, int) else levels
-    base, out = df, df
-    for level in wanted:
-        out = out.withColumnRenamed(f"admin{level}", f"admin{level}_code")
-        base = base.withColumnRenamed(f"admin{level}", f"admin{level}_code")
+    base = out = df.withColumnsRenamed({f"admin{level}": f"admin{level}_code" for level in wanted})
     for level in wanted:
         dim = areas[level].select(F.col("name").cast("string").alias("name"), "label")
         take = {"label": f"admin{level}"}
+        parts = [dim]
         if level == 2 and iso is not None:
             dim = lookup(dim, iso, {"name": "admin2_id"}, {"iso2_code": "iso2_code"})
             take["iso2_code"] = "iso2_code"
-        out = lookup(out, dim, {f"admin{level}_code": "name"}, take, counted=base, **join_options)
+            parts.append(iso)
+        out = lookup(out, dim, {f"admin{level}_code": "name"}, take, counted=base, size_of=parts, **join_options)
     return out if keep_codes else out.drop(*[f"admin{level}_code" for level in wanted])
 
 
@@ -56,12 +55,21 @@ def choice_lookup(df: DataFrame, labels: DataFrame, question: str, code_col: str
     return lookup(df, labels.where(F.col("question") == question), {code_col: "code"}, {"label": out})
 
 
-def indicator_lookup(df: DataFrame, indicators: DataFrame, form: str, name_col: str = "indicator_name") -> DataFrame:
-    """Label and category of a question from one form's entries in the indicator dictionary."""
-    return lookup(
-        df, indicators.where(F.col("form_name") == form), {name_col: "indicator_name"},
-        {"indicator_label": "indicators_label", "category": "indicators_category"},
-    )
+def indicator_lookup(df: DataFrame, indicators: DataFrame, form: str, counts: DataFrame | None = None,
+                     name_col: str = "indicator_name") -> DataFrame:
+    """Label and category of a question from one form's entries in the indicator dictionary.
+
+    With ``counts`` the category's number of questions comes along: it hangs on the dictionary's
+    category, so the two small tables are joined first and the facts are probed once.
+    """
+    entries = indicators.where(F.col("form_name") == form).select("indicator_name", "indicator_label", "category")
+    take = {"indicator_label": "indicators_label", "category": "indicators_category"}
+    parts = [entries]
+    if counts is not None:
+        entries = question_count_lookup(entries, counts, "category")
+        take["no_of_questions"] = "no_of_questions"
+        parts.append(counts)
+    return lookup(df, entries, {name_col: "indicator_name"}, take, size_of=parts)
 
 
 def question_count_lookup(df: DataFrame, counts: DataFrame, category_col: str = "indicators_category") -> DataFrame:

@@ -72,4 +72,4 @@ def campaign_window_join(facts: DataFrame, targets: DataFrame, keys: Sequence[tu
     Overlapping campaigns repeat the fact. The keys are hashed; the window is checked on the matches.
     """
     inside = F.col(day).between(F.col(start), F.col(end))
-    return sized_join(facts, targets, keys, "left", extra=inside, hot="left", **options)
+    return sized_join(facts, targets, keys, "left", extra=inside, **options)

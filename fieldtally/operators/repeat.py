@@ -24,7 +24,7 @@ def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error:
 
 
 def repeat_field(element: Column, path: str, name: str, to: str = "string") -> Column:
-    value = element.getField(f"{path}/{name}")
+    value = element[f"{path}/{name}"]
     if to == "string":
         return value
     return whole_number(value) if to == "bigint" else value.cast(to)

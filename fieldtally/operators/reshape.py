@@ -14,34 +14,37 @@ from pyspark.sql import functions as F
 from fieldtally.forms import Question
 
 
-def _cells(rows: Sequence[Sequence[Column]], names: Sequence[str]) -> Column:
-    return F.inline(F.array(*[F.struct(*[c.alias(n) for c, n in zip(row, names)]) for row in rows]))
+def sql_text(value: str) -> str:
+    """A text literal for SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _inline(rows: Sequence[Sequence[str]], names: Sequence[str]) -> Column:
+    """Rows of SQL expressions as one generator; SQL text, since wide forms have hundreds of cells."""
+    structs = ["struct({})".format(", ".join(f"{e} as {n}" for e, n in zip(row, names))) for row in rows]
+    return F.expr(f"inline(array({', '.join(structs)}))")
 
 
 def unpivot_pairs(df: DataFrame, keys: Sequence[str], pairs: Sequence[tuple[str, str]],
                   name: str, value: str, cast: str | None = None) -> DataFrame:
     """One row per (label, column) pair: ``name`` holds the label, ``value`` the column's content."""
-    def cell(c: str) -> Column:
-        return F.col(c).cast(cast) if cast else F.col(c)
-
-    return df.select(*keys, _cells([(F.lit(label), cell(c)) for label, c in pairs], (name, value)))
+    rows = [(sql_text(label), f"cast(`{c}` as {cast})" if cast else f"`{c}`") for label, c in pairs]
+    return df.select(*keys, _inline(rows, (name, value)))
 
 
 def unpivot_questions(df: DataFrame, keys: Sequence[str], questions: Sequence[Question],
                       remarks: bool = True) -> DataFrame:
     """One row per question with its dictionary name, answer and, unless left out, remark."""
     names = ("indicator_name", "indicators_value") + (("indicators_remarks",) if remarks else ())
-    rows = [
-        (F.lit(q.name), F.col(q.value)) + ((F.col(q.remark),) if remarks else ()) for q in questions
-    ]
-    return df.select(*keys, _cells(rows, names))
+    rows = [(sql_text(q.name), f"`{q.value}`", f"`{q.remark}`") for q in questions]
+    return df.select(*keys, _inline(rows, names))
 
 
 def unpivot_crosstab(df: DataFrame, keys: Sequence[str], cells: Sequence[tuple[str, str, str]],
                      names: tuple[str, str, str], cast: str = "bigint") -> DataFrame:
     """One row per cell of a two-way table: (first label, second label, count)."""
-    rows = [(F.lit(first), F.lit(second), F.col(c).cast(cast)) for first, second, c in cells]
-    return df.select(*keys, _cells(rows, names))
+    rows = [(sql_text(first), sql_text(second), f"cast(`{c}` as {cast})") for first, second, c in cells]
+    return df.select(*keys, _inline(rows, names))
 
 
 def drop_unanswered(df: DataFrame, column: str) -> DataFrame:

@@ -138,7 +138,7 @@ def daily_against_target(form: DataFrame, staged_targets: DataFrame, staged_dose
     goals = _prefixed(target_totals(staged_targets), "_t_", "campaign_target")
     facts = campaign_window_join(
         facts, goals, [("vaccine_administered", "_t_vaccine_administered"), ("admin5", "_t_admin5")],
-        "date", "_t_campaign_start_date", "_t_campaign_end_date",
+        "date", "_t_campaign_start_date", "_t_campaign_end_date", hot=None,
     )
     vials = _prefixed(
         staged_doses.select(DAY, "admin5", "vaccine_administered", "vials_used", "vials_discarded", "vaccine_dose", "vial_dosage"),
@@ -147,6 +147,7 @@ def daily_against_target(form: DataFrame, staged_targets: DataFrame, staged_dose
     facts = sized_join(
         facts, vials,
         [("date", f"_d_{DAY}"), ("vaccine_administered", "_d_vaccine_administered"), ("admin5", "_d_admin5")],
+        hot=None,
     )
     return facts.select(
         "date", *PLACES, "vaccine_administered", "total_vaccinated", "campaign_target", "vials_used",
@@ -173,7 +174,7 @@ def daily_by_age_group(form: DataFrame, staged_targets: DataFrame, dims: Dimensi
     facts = campaign_window_join(
         facts, goals,
         [(k, f"_t_{k}") for k in ("vaccine_administered", "age_group_label", "admin5")],
-        "date", "_t_campaign_start_date", "_t_campaign_end_date",
+        "date", "_t_campaign_start_date", "_t_campaign_end_date", hot=None,
     )
     facts = iso_lookup(facts, dims.iso, "admin2", on="province_label")
     return facts.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldtally.forms import MONITORING
 from fieldtally.forms.monitoring import CATEGORIES, DICTIONARY_NAME, TEAM_QUESTIONS
 from fieldtally.operators.aggregate import category_proportion, monitoring_score
-from fieldtally.operators.lookup import admin_lookup, indicator_lookup, question_count_lookup, require_label
+from fieldtally.operators.lookup import admin_lookup, indicator_lookup, require_label
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.repeat import explode_group
 from fieldtally.operators.reshape import drop_unanswered, union_positional, unpivot_questions
@@ -30,48 +30,53 @@ def _team_answers(visits: DataFrame, keys: tuple[str, ...], remarks: bool = True
     return unpivot_questions(teams, keys, TEAM_QUESTIONS, remarks)
 
 
-def _labelled(answers: DataFrame, dims: Dimensions) -> DataFrame:
-    return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME)
-
-
 def visit_questions(form: DataFrame, dims: Dimensions) -> DataFrame:
     """Submission × microplan and vaccine-management question."""
-    keyed = form.withColumn("id", F.col("id").cast("bigint"))
-    return _labelled(_visit_answers(keyed, ("id",)), dims).select("id", *ANSWER)
+    keyed = form.select(F.col("id").cast("bigint").alias("id"), *_question_columns())
+    answers = _visit_answers(keyed, ("id",))
+    return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME).select("id", *ANSWER)
 
 
 def team_questions(form: DataFrame, dims: Dimensions) -> DataFrame:
     """Submission × team × vaccination-site question."""
-    keyed = form.withColumn("parent_id", F.col("id").cast("bigint"))
-    return _labelled(_team_answers(keyed, ("parent_id",)), dims).select("parent_id", *ANSWER)
-
-
-def _visits(form: DataFrame, dims: Dimensions) -> DataFrame:
-    """Labelled submissions whose facility is known."""
-    located = form.withColumns(
-        {
-            "id": F.col("id").cast("bigint"),
-            "latitude": F.col("admin4_lat").cast("float"),
-            "longitude": F.col("admin4_long").cast("float"),
-        }
+    keyed = form.select(F.col("id").cast("bigint").alias("parent_id"), TEAMS)
+    answers = _team_answers(keyed, ("parent_id",))
+    return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME).select("parent_id", *ANSWER)
+
+
+def _question_columns(remarks: bool = True) -> list[str]:
+    return [q.value for q in MONITORING.questions] + ([q.remark for q in MONITORING.questions] if remarks else [])
+
+
+def _visits(form: DataFrame, dims: Dimensions, *columns: str) -> DataFrame:
+    """Labelled submissions whose facility is known, with the listed columns."""
+    visits = form.select(
+        F.col("id").cast("bigint").alias("id"), DAY, *PLACES,
+        F.col("admin4_lat").cast("float").alias("latitude"),
+        F.col("admin4_long").cast("float").alias("longitude"),
+        "vaccine_label", *columns,
     )
-    return require_label(admin_lookup(located, dims.areas, spread_by=["id"]), "admin5")
+    return require_label(admin_lookup(visits, dims.areas, spread_by=["id"]), "admin5")
 
 
 def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool) -> DataFrame:
-    """Submission-level and team-level answers as one table.
+    """Submission-level and team-level answers as one table, with labels and category sizes.
 
     Submission columns ride along, so neither branch joins back to its parent; each branch reads only
     its own columns of the landed form.
     """
-    visits = _visits(form, dims)
-    return union_positional(_visit_answers(visits, VISIT, remarks), _team_answers(visits, VISIT, remarks))
+    answers = union_positional(
+        _visit_answers(_visits(form, dims, *_question_columns(remarks)), VISIT, remarks),
+        _team_answers(_visits(form, dims, TEAMS), VISIT, remarks),
+    )
+    return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME, dims.monitoring_questions)
 
 
 def monitoring_tool(form: DataFrame, dims: Dimensions) -> DataFrame:
     """Submission × (57 questions + 18 per team) with areas, labels and category sizes."""
-    long = question_count_lookup(_labelled(_all_answers(form, dims, remarks=True), dims), dims.monitoring_questions)
-    return long.select(*VISIT, *ANSWER, F.col("no_of_questions").cast("int").alias("no_of_questions"))
+    return _all_answers(form, dims, remarks=True).select(
+        *VISIT, *ANSWER, F.col("no_of_questions").cast("int").alias("no_of_questions")
+    )
 
 
 def facility_scores(form: DataFrame, dims: Dimensions, categories: int = CATEGORIES) -> DataFrame:
@@ -80,8 +85,7 @@ def facility_scores(form: DataFrame, dims: Dimensions, categories: int = CATEGOR
     The answers of all teams of a visit count against one category size.
     """
     answered = drop_unanswered(_all_answers(form, dims, remarks=False), "indicators_value")
-    long = question_count_lookup(_labelled(answered, dims), dims.monitoring_questions)
-    scored = monitoring_score(category_proportion(long, VISIT), VISIT, categories)
+    scored = monitoring_score(category_proportion(answered, VISIT), VISIT, categories)
     return scored.withColumnRenamed("vaccine_label", "vaccine_administered").select(
         "id", DAY, *PLACES, "latitude", "longitude", "vaccine_administered", "overall_facility_proportion",
         "overall_proportion_category",

@@ -9,7 +9,7 @@ from fieldtally.forms import READINESS, FormSpec
 from fieldtally.forms.readiness import CATEGORIES, DICTIONARY_NAME
 from fieldtally.functions import count_where, is_yes
 from fieldtally.operators.aggregate import readiness_score, with_proportion
-from fieldtally.operators.lookup import admin_lookup, indicator_lookup, question_count_lookup
+from fieldtally.operators.lookup import admin_lookup, indicator_lookup
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.relate import attach_latest, latest_per_key
 from fieldtally.operators.reshape import unpivot_pairs, unpivot_questions
@@ -23,9 +23,13 @@ ASSESSMENT_COLUMNS = (
 FACILITY = (*PLACES, "latitude", "longitude")
 
 
-def _located(form: DataFrame) -> DataFrame:
-    return form.withColumns(
-        {"latitude": F.col("admin4_lat").cast("float"), "longitude": F.col("admin4_long").cast("float")}
+def _visits(form: DataFrame, *columns: str) -> DataFrame:
+    """Facility columns of a submission and the listed others."""
+    return form.select(
+        F.col("id").cast("bigint").alias("id"), *PLACES,
+        F.col("admin4_lat").cast("float").alias("latitude"),
+        F.col("admin4_long").cast("float").alias("longitude"),
+        *columns,
     )
 
 
@@ -42,12 +46,12 @@ def assessment(form: DataFrame, dims: Dimensions, spec: FormSpec = READINESS) ->
     ``assessment_date`` is set only on a facility's latest submissions. Submission-level work (latest
     marker, area labels) is done before the unpivot, on one row per submission.
     """
-    visits = attach_latest(_located(form), "admin5", "assessment_date", "latest_assessment", spread_by=["id"])
+    visits = _visits(form, "assessment_date", "submitted_at", "modified_at", "enumerator", *_question_columns(spec))
+    visits = attach_latest(visits, "admin5", "assessment_date", "latest_assessment", spread_by=["id"])
     visits = admin_lookup(visits, dims.areas, spread_by=["id"])
-    visits = visits.withColumn("id", F.col("id").cast("bigint"))
     keys = ["id", "latest_assessment", *FACILITY, "submitted_at", "modified_at", "enumerator"]
     long = unpivot_questions(visits, keys, spec.questions)
-    long = question_count_lookup(indicator_lookup(long, dims.indicators, DICTIONARY_NAME), dims.readiness_questions)
+    long = indicator_lookup(long, dims.indicators, DICTIONARY_NAME, dims.readiness_questions)
     return long.withColumns(
         {
             "assessment_date": F.col("latest_assessment"),
@@ -66,13 +70,12 @@ def ready_facilities(form: DataFrame, dims: Dimensions, spec: FormSpec = READINE
     unpivoted, labelled and grouped by category.
     """
     visits = latest_per_key(form, "admin5", "assessment_date", spread_by=["id"]) if latest_only else form
-    yes = _located(visits).groupBy(*FACILITY).agg(
+    yes = _visits(visits, *[q.value for q in spec.questions]).groupBy(*FACILITY).agg(
         *[count_where("id", is_yes(q.value)).alias(q.name) for q in spec.questions]
     )
     named = admin_lookup(yes, dims.areas)
     counts = unpivot_pairs(named, FACILITY, [(q.name, q.name) for q in spec.questions], "indicator_name", "yes_count")
-    counts = indicator_lookup(counts, dims.indicators, DICTIONARY_NAME)
-    counts = question_count_lookup(counts, dims.readiness_questions)
+    counts = indicator_lookup(counts, dims.indicators, DICTIONARY_NAME, dims.readiness_questions)
     per_category = counts.groupBy(*FACILITY, "indicators_category", "no_of_questions").agg(
         F.sum("yes_count").alias("yes_count")
     )
