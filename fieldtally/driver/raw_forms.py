@@ -21,7 +21,7 @@ from fieldtally.forms.social import MOBILIZATION, RUMOURS
 from fieldtally.operators.repeat import short_name
 from fieldtally.plans.dims import Dimensions
 from fieldtally.plans.warehouse import Inputs
-from fieldtally.sources import spine_between
+from fieldtally.sources import spine_between, spread
 
 AGE_GROUPS = ("0-11 months", "12-59 months", "5-14 years")
 AS_OF = "2001-03-31"
@@ -38,8 +38,24 @@ AREAS = {
 ISO_GAP = 6
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- formulas
@@ -102,7 +118,7 @@ def landed(base: DataFrame, spec: FormSpec, values: Mapping[str, str]) -> DataFr
     unknown = set(values) - set(spec.landed_columns())
     if unknown:
         raise KeyError(f"not in form {spec.name}: {sorted(unknown)}")
-    return base.selectExpr(
+    return spread(base).selectExpr(
         *[
             f"cast({values.get(c, 'null')} as {spec.landed_types.get(c, 'string')}) as `{c}`"
             for c in spec.landed_columns()

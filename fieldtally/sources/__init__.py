@@ -1,3 +1,13 @@
-from fieldtally.sources.tables import date_spine, read_choice_labels, read_dim, read_form, rename_choices, spine_between
+from fieldtally.sources.tables import (
+    date_spine,
+    read_choice_labels,
+    read_dim,
+    read_form,
+    rename_choices,
+    spine_between,
+    spread,
+)
 
-__all__ = ["date_spine", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between"]
+__all__ = [
+    "date_spine", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between", "spread",
+]

@@ -20,12 +20,22 @@ DIM_SCHEMAS = {
 }
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer partitions than the cluster has cores; larger ones stay as they are.
+
+    Connectors land small forms as a single file, whose repeat groups and unpivots would otherwise run
+    in one task. A scan that already fills the cluster is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_form(spark: SparkSession, spec: FormSpec, path: str | None = None, table: str | None = None,
               format: str = "parquet") -> DataFrame:
     """A landed form, from a catalog table or from files; files are read with the form's own schema."""
     if table is not None:
-        return spark.table(table).select(*[F.col(f"`{c}`") for c in spec.landed_columns()])
-    return spark.read.schema(spec.landed_schema()).format(format).load(path)
+        return spread(spark.table(table).select(*[F.col(f"`{c}`") for c in spec.landed_columns()]))
+    return spread(spark.read.schema(spec.landed_schema()).format(format).load(path))
 
 
 def read_dim(spark: SparkSession, name: str, path: str, format: str = "csv") -> DataFrame:
