@@ -41,3 +41,10 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
         dated = df.withColumn(month, F.trunc(month_of, "month"))
         dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format).partitionBy(month).saveAsTable(name)
     return df.sparkSession.table(name).select(*df.columns)
+
+
+def publish_alias(spark: SparkSession, name: str, source: str, columns: Sequence[str]) -> DataFrame:
+    """Expose a written table under a second name without copying it."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {source}")
+    return spark.table(name)

@@ -7,12 +7,11 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldtally.forms import ACTIVITY, FORMS, MONITORING, RAPID_COVERAGE, SOCIAL, TARGET
 from fieldtally.forms.base import Repeat
 from fieldtally.operators.ingest import clean_form
-from fieldtally.operators.publish import ensure_namespaces, publish
+from fieldtally.operators.publish import ensure_namespaces, publish, publish_alias
 from fieldtally.operators.repeat import explode_group
 from fieldtally.plans import immunization, monitoring, rapid_coverage, readiness, social
 from fieldtally.plans.dims import Dimensions
@@ -35,9 +34,12 @@ Get = Callable[[str], DataFrame]
 
 @dataclass(frozen=True)
 class Table:
+    """One table: how to build it, the day its partitions follow, and whether it only renames another."""
+
     name: str
     build: Callable[[Get, Inputs], DataFrame]
     month_of: str | None = None
+    same_as: str | None = None
 
 
 def _repeat_rows(form: DataFrame, repeat: Repeat, column: str, *keys: str) -> DataFrame:
@@ -53,8 +55,8 @@ def _choices(name: str) -> Callable[[Get, Inputs], DataFrame]:
     return lambda get, src: rename_choices(src.choices[name])
 
 
-def _same(name: str) -> Callable[[Get, Inputs], DataFrame]:
-    return lambda get, src: get(name)
+def _same(name: str, as_: str) -> Table:
+    return Table(name, lambda get, src: get(as_), same_as=as_)
 
 
 DAY = "date_vaccination_activity"
@@ -71,7 +73,7 @@ TABLES: tuple[Table, ...] = (
           lambda get, src: readiness.ready_facilities(get("clean.readiness"), src.dims)),
     Table("public.hcl_monitoring_assessment",
           lambda get, src: readiness.public_assessment(get("staging.hcl_monitoring_assessment"))),
-    Table("public.ready_facilities", _same("staging.ready_facilities")),
+    _same("public.ready_facilities", "staging.ready_facilities"),
 
     Table("clean.rca_labels", _choices("rapid_coverage")),
     Table("clean.rapid_coverage", _clean("rapid_coverage")),
@@ -90,10 +92,10 @@ TABLES: tuple[Table, ...] = (
     Table("staging.rca_not_vaccinated_reasons",
           lambda get, src: rapid_coverage.not_vaccinated_reasons(
               get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"))),
-    Table("public.rca_actuals", _same("staging.rca_actuals")),
+    _same("public.rca_actuals", "staging.rca_actuals"),
     Table("public.rca", lambda get, src: rapid_coverage.public_submissions(get("staging.rca"))),
-    Table("public.rca_sources_info", _same("staging.rca_sources_info")),
-    Table("public.rca_not_vaccinated_reasons", _same("staging.rca_not_vaccinated_reasons")),
+    _same("public.rca_sources_info", "staging.rca_sources_info"),
+    _same("public.rca_not_vaccinated_reasons", "staging.rca_not_vaccinated_reasons"),
 
     Table("clean.sia_labels", _choices("activity")),
     Table("clean.activity", _clean("activity"), month_of=DAY),
@@ -120,10 +122,10 @@ TABLES: tuple[Table, ...] = (
           lambda get, src: immunization.unreached_reasons(get("clean.activity"), src.dims), month_of=DAY),
     Table("staging.sia_records",
           lambda get, src: immunization.records(get("clean.activity"), src.dims), month_of=DAY),
-    Table("public.sia_actuals", _same("staging.sia_actuals")),
-    Table("public.aggregated_sia_actuals_target", _same("staging.aggregated_sia_actuals_target")),
-    Table("public.sia_actuals_targets", _same("staging.sia_actuals_target")),
-    Table("public.sia_deferred_refused_reasons", _same("staging.deferred_refused_reasons")),
+    _same("public.sia_actuals", "staging.sia_actuals"),
+    _same("public.aggregated_sia_actuals_target", "staging.aggregated_sia_actuals_target"),
+    _same("public.sia_actuals_targets", "staging.sia_actuals_target"),
+    _same("public.sia_deferred_refused_reasons", "staging.deferred_refused_reasons"),
     Table("public.sia_records", lambda get, src: immunization.public_records(get("staging.sia_records"))),
 
     Table("clean.social", _clean("social")),
@@ -147,9 +149,8 @@ TABLES: tuple[Table, ...] = (
           lambda get, src: monitoring.facility_scores(get("clean.monitoring"), src.dims), month_of=DAY),
     Table("staging.vaccinated_children_under_monitoring_tool",
           lambda get, src: monitoring.vaccinated_children(get("clean.monitoring"), src.dims), month_of=DAY),
-    Table("public.monitoring_tool", _same("staging.monitoring_tool")),
-    Table("public.monitored_facilities_overall_proportion",
-          _same("staging.monitored_facilities_overall_proportion")),
+    _same("public.monitoring_tool", "staging.monitoring_tool"),
+    _same("public.monitored_facilities_overall_proportion", "staging.monitored_facilities_overall_proportion"),
     Table("public.vaccinated_children_under_monitoring_tool",
           lambda get, src: monitoring.public_vaccinated_children(
               get("staging.vaccinated_children_under_monitoring_tool"))),
@@ -162,6 +163,7 @@ class Warehouse:
 
     inputs: Inputs
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    published: set[str] = field(default_factory=set)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:
@@ -177,9 +179,14 @@ class Warehouse:
         if mode == "table":
             ensure_namespaces(spark)
         for table in TABLES:
-            if names is None or table.name in names:
-                frame = table.build(self.__getitem__, self.inputs)
+            if names is not None and table.name not in names:
+                continue
+            frame = table.build(self.__getitem__, self.inputs)
+            if table.same_as in self.published and mode == "table":
+                self.frames[table.name] = publish_alias(spark, table.name, table.same_as, frame.columns)
+            else:
                 self.frames[table.name] = publish(frame, table.name, mode, table.month_of)
+            self.published.add(table.name)
         return {t.name: self.frames[t.name] for t in TABLES if t.name in self.frames}
 
 
