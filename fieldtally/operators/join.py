@@ -76,8 +76,8 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                size_of: Sequence[DataFrame] | None = None) -> DataFrame:
     """Left or inner join on ``on`` = [(left column, right column)]; column names must not overlap.
 
-    ``hot`` names the side whose keys may be skewed, None where both sides are grouped so finely that
-    no key can hold many rows. ``spread_by`` columns tell the rows of one key apart (default: all
+    ``hot`` names the side whose keys may be skewed, None where the rows were already combined per
+    group, so that a key holds few. ``spread_by`` columns tell the rows of one key apart (default: all
     columns). ``counted`` is a cheaper frame to count the skewed side's keys on. ``size_of`` lists the
     tables that must fit for ``right`` to be broadcast, where ``right`` joins several.
     """
@@ -125,7 +125,8 @@ def sized_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
 
 def _shuffled(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str,
               extra: Column | None) -> DataFrame:
-    """Plain join left to the optimizer, except that left rows with a NULL text key do not pile up in one task."""
+    """Plain join left to the optimizer, which at run time broadcasts a side that turns out small and splits
+    large partitions. Left rows with a NULL text key, which match nothing, are spread over the tasks."""
     kinds = dict(left.dtypes)
     spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)]), F.lit(NULL_SPREAD)))
     keys = [F.coalesce(F.col(a), spread) if kinds[a] == "string" else F.col(a) for a, _ in on]

@@ -77,9 +77,10 @@ def question_count_lookup(df: DataFrame, counts: DataFrame, category_col: str =
     return lookup(df, counts, {category_col: "indicators_category"}, {"no_of_questions": "no_of_questions"})
 
 
-def iso_lookup(df: DataFrame, iso: DataFrame, key_col: str, on: str = "admin2_id", out: str = "iso2_code") -> DataFrame:
+def iso_lookup(df: DataFrame, iso: DataFrame, key_col: str, on: str = "admin2_id", out: str = "iso2_code",
+               **join_options) -> DataFrame:
     """Province ISO code by area code (``on='admin2_id'``) or by label (``on='province_label'``)."""
-    return lookup(df, iso, {key_col: on}, {"iso2_code": out})
+    return lookup(df, iso, {key_col: on}, {"iso2_code": out}, **join_options)
 
 
 def require_label(df: DataFrame, column: str) -> DataFrame:

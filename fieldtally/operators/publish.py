@@ -22,25 +22,46 @@ def bi_projection(df: DataFrame, columns: Sequence[str], date_columns: Sequence[
     )
 
 
-def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, format: str = "parquet") -> DataFrame:
+def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, since: str | None = None,
+            format: str = "parquet") -> DataFrame:
     """Expose ``layer.name`` as a replaceable session view or as a table, and return what readers see.
 
-    Tables with ``month_of`` are partitioned by the month of that day. The rebalance hint sizes the
-    files: months that are large are split over several tasks, small ones share one.
+    Tables with ``month_of`` are partitioned by the month of that day. With ``since``, an existing such
+    table only has the months from that day's month on rewritten; the filter reaches the scan of the
+    landed form. The rebalance hint sizes the files: large months are split over several tasks, small
+    ones share one.
     """
+    spark = df.sparkSession
     if mode == "view":
         view = name.replace(".", "__")
         df.createOrReplaceTempView(view)
-        return df.sparkSession.table(view)
+        return spark.table(view)
     if mode != "table":
         raise ValueError(f"unknown mode {mode!r}")
     if month_of is None:
         df.write.mode("overwrite").format(format).saveAsTable(name)
+        return spark.table(name)
+    month = f"{month_of}_month"
+    if since is not None and spark.catalog.tableExists(name):
+        first = F.trunc(F.lit(since).cast("date"), "month")
+        recent = df.where(F.col(month_of) >= first).withColumn(month, F.trunc(month_of, "month"))
+        _overwrite_partitions(recent.hint("rebalance", F.col(month)), name)
     else:
-        month = f"{month_of}_month"
         dated = df.withColumn(month, F.trunc(month_of, "month"))
-        dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format).partitionBy(month).saveAsTable(name)
-    return df.sparkSession.table(name).select(*df.columns)
+        writer = dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format)
+        writer.partitionBy(month).saveAsTable(name)
+    return spark.table(name).select(*df.columns)
+
+
+def _overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace only the partitions that ``df`` has rows for; tables take this mode from the session alone."""
+    conf, setting = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(setting)
+    conf.set(setting, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(setting, before)
 
 
 def publish_alias(spark: SparkSession, name: str, source: str, columns: Sequence[str]) -> DataFrame:

@@ -98,7 +98,7 @@ def doses(form: DataFrame, dims: Dimensions) -> DataFrame:
     coded = form.select(DAY, *PLACES, F.col("vaccine_label").alias("vaccine_administered"),
                         "vial_dosage", "vials_used", "vials_discarded")
     coded = coded.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
-    named = admin_lookup(coded, dims.areas)
+    named = admin_lookup(coded, dims.areas, hot=None)
     return named.groupBy(*keys).agg(
         F.max("vial_dosage").cast("string").alias("vial_dosage"),
         *[F.sum(c).alias(c) for c in ("vials_used", "vaccine_dose", "vials_discarded")],
@@ -121,7 +121,7 @@ def _status_totals(form: DataFrame, dims: Dimensions, spine: DataFrame, as_of: d
         for out, statuses in totals.items()
     }
     coded = rows.groupBy(*keys).agg(*[F.sum(c).alias(out) for out, c in cells.items()])
-    named = admin_lookup(coded, dims.areas)
+    named = admin_lookup(coded, dims.areas, hot=None)
     return named.groupBy(*keys).agg(*[F.sum(out).alias(out) for out in totals])
 
 
@@ -176,7 +176,7 @@ def daily_by_age_group(form: DataFrame, staged_targets: DataFrame, dims: Dimensi
         [(k, f"_t_{k}") for k in ("vaccine_administered", "age_group_label", "admin5")],
         "date", "_t_campaign_start_date", "_t_campaign_end_date", hot=None,
     )
-    facts = iso_lookup(facts, dims.iso, "admin2", on="province_label")
+    facts = iso_lookup(facts, dims.iso, "admin2", on="province_label", hot=None)
     return facts.select(
         "date", *PLACES, "vaccine_administered", "total_vaccinated", "campaign_target", "age_group_label",
         "latitude", "longitude", "iso2_code", *[m for m in totals if m != "total_vaccinated"],

@@ -73,7 +73,7 @@ def ready_facilities(form: DataFrame, dims: Dimensions, spec: FormSpec = READINE
     yes = _visits(visits, *[q.value for q in spec.questions]).groupBy(*FACILITY).agg(
         *[count_where("id", is_yes(q.value)).alias(q.name) for q in spec.questions]
     )
-    named = admin_lookup(yes, dims.areas)
+    named = admin_lookup(yes, dims.areas, hot=None)
     counts = unpivot_pairs(named, FACILITY, [(q.name, q.name) for q in spec.questions], "indicator_name", "yes_count")
     counts = indicator_lookup(counts, dims.indicators, DICTIONARY_NAME, dims.readiness_questions)
     per_category = counts.groupBy(*FACILITY, "indicators_category", "no_of_questions").agg(

@@ -170,11 +170,14 @@ class Warehouse:
             self.frames[name] = _BY_NAME[name].build(self.__getitem__, self.inputs)
         return self.frames[name]
 
-    def refresh(self, spark: SparkSession, names: Sequence[str] | None = None, mode: str = "view") -> dict[str, DataFrame]:
+    def refresh(self, spark: SparkSession, names: Sequence[str] | None = None, mode: str = "view",
+                since: str | None = None) -> dict[str, DataFrame]:
         """Publish the named tables (all by default) in dependency order; run it on a schedule.
 
         In table mode every later table reads the written earlier ones: each landed form is parsed
-        once, and a lost executor costs at most the tasks of the table being written.
+        once, and a lost executor costs at most the tasks of the table being written. ``since`` limits
+        the rewrite of month-partitioned tables to submissions of that month and later; it has to
+        reach back to the earliest day, old or new, of a submission changed since the last refresh.
         """
         if mode == "table":
             ensure_namespaces(spark)
@@ -185,7 +188,7 @@ class Warehouse:
             if table.same_as in self.published and mode == "table":
                 self.frames[table.name] = publish_alias(spark, table.name, table.same_as, frame.columns)
             else:
-                self.frames[table.name] = publish(frame, table.name, mode, table.month_of)
+                self.frames[table.name] = publish(frame, table.name, mode, table.month_of, since)
             self.published.add(table.name)
         return {t.name: self.frames[t.name] for t in TABLES if t.name in self.frames}
 

@@ -21,13 +21,13 @@ DIM_SCHEMAS = {
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan that has fewer partitions than the cluster has cores; larger ones stay as they are.
+    """Repartition a scan that would keep most of the cluster idle; others stay as they are.
 
     Connectors land small forms as a single file, whose repeat groups and unpivots would otherwise run
-    in one task. A scan that already fills the cluster is not shuffled.
+    in one task. A scan with partitions for at least a quarter of the cores is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 4 * df.rdd.getNumPartitions() <= cores else df
 
 
 def read_form(spark: SparkSession, spec: FormSpec, path: str | None = None, table: str | None = None,

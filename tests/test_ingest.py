@@ -140,5 +140,5 @@ def test_landed_json_and_choices(spark, tmp_path):
 def test_spread_only_small_scans(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, 1, cores + 3)
+    wide = spark.range(0, 1000, 1, cores // 2)
     assert spread(wide) is wide

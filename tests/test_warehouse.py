@@ -38,6 +38,25 @@ def test_refresh_as_tables_equals_lazy_frames(spark, lazy):
     assert spark.catalog.getTable("public.aggregated_sia_actuals_target").tableType == "VIEW"
 
 
+def test_refresh_of_recent_months(spark, lazy):
+    """Only partitions from the given month on are rewritten; the outcome is that of a full refresh."""
+    names = ("clean.activity", "staging.sia_actuals", "staging.sia_records")
+    Warehouse(inputs(spark, DIR)).refresh(spark, names, mode="table")
+    full = rows(spark.table("staging.sia_actuals"))
+
+    def files():
+        return {r.f for r in spark.table("staging.sia_actuals").selectExpr("_metadata.file_path as f").distinct().collect()}
+
+    before = files()
+    frames = Warehouse(inputs(spark, DIR)).refresh(spark, names, mode="table", since="2000-05-17")
+    after = files()
+    kept = {f for f in before if f.split("month=")[1][:7] < "2000-05"}
+    assert kept and kept <= after and len(after - before) > 0
+    assert all(f.split("month=")[1][:7] >= "2000-05" for f in after - before)
+    assert rows(spark.table("staging.sia_actuals")) == full
+    assert rows(frames["staging.sia_records"]) == rows(lazy["staging.sia_records"])
+
+
 def test_month_filter_prunes_partitions(spark):
     plan = spark.table("staging.sia_actuals").where(
         "date_vaccination_activity_month = date'1998-03-01'")._jdf.queryExecution().executedPlan().toString()
