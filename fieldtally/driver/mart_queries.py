@@ -12,7 +12,7 @@ from fieldtally.driver.sql import (
     AGES, CHOICES, MONITORING_DICTIONARY, MONITORING_SIZES, READINESS_DICTIONARY, READINESS_SIZES, area_joins,
     area_labels, cells, coordinates, iso_code, iso_join, readiness_answers, stamps,
 )
-from fieldtally.forms import MONITORING
+from fieldtally.forms import MONITORING, READINESS
 from fieldtally.forms.activity import COVERAGE_COUNTS, REASON_COUNTS
 from fieldtally.forms.rapid_coverage import CHILDREN_COUNTS, INFORMATION_SOURCES, REASONS
 from fieldtally.forms.social import MOBILIZATION, REFUSALS_ADDRESSED, RUMOURS
@@ -362,3 +362,68 @@ _mart("clean_monitoring_team_info", "clean.monitoring_team_info", f"""
            {', '.join(f"{raw.team_answer(f, 'e')} as {f}" for f in raw.TEAM_FIELDS)}
     from customer, {AGES} where e < {raw.TEAMS}""", ("monitoring",),
       columns=("_airbyte_ab_id", "_airbyte_emitted_at", "pos", "vt_leader", *raw.TEAM_FIELDS))
+
+
+# ---------------------------------------------------------------- clean forms
+
+def _area_texts(place: str, levels: int = 5, codes: dict[int, str] | None = None) -> str:
+    return ", ".join(
+        f"cast({(codes or {}).get(i, raw.area_code(place, i))} as varchar) as admin{i}" for i in range(1, levels + 1))
+
+
+_AREA_NAMES = ("admin1", "admin2", "admin3", "admin4", "admin5")
+_READINESS_FILLED = {q.value: raw.readiness_answer(q.name) for q in READINESS.questions} | {
+    q.remark: raw.readiness_remark(q.remark) for q in READINESS.questions}
+_MONITORING_FILLED = {q.value: raw.monitoring_answer(q.name) for q in MONITORING.questions} | {
+    q.remark: raw.monitoring_remark(q.remark) for q in MONITORING.questions}
+
+
+def _filled(cells_by_column: dict[str, str]) -> str:
+    return ", ".join(f"{expression} as {column}" for column, expression in cells_by_column.items())
+
+
+_mart("clean_readiness", "clean.readiness", f"""
+    select cast(c_custkey as varchar) as id, cast({VISIT_DAY} as varchar) as assessment_date, c_mktsegment as enumerator,
+           {stamps(VISIT_DAY)}, {_area_texts(raw.FACILITY, codes={5: FACILITY_CODE})}, {_filled(_READINESS_FILLED)}
+    from customer""", ("readiness",),
+      columns=("id", "assessment_date", "enumerator", "submitted_at", "modified_at", *_AREA_NAMES, *_READINESS_FILLED))
+_mart("clean_monitoring", "clean.monitoring", f"""
+    select cast(c_custkey as varchar) as id, concat('m', c_custkey) as _airbyte_ab_id,
+           {VISIT_DAY} as date_vaccination_activity, {VISIT_DAY} as submitted_at, {VISIT_DAY} + 1 as modified_at,
+           cast({raw.latitude('c_custkey')} as real) as admin4_lat, cast(c_custkey % 90 as int) as total_vaccinated_as_time_visit,
+           {_area_texts('c_custkey', codes={5: "(case when c_custkey % 13 = 0 then 'unknown' else cast(c_custkey as varchar) end)"})},
+           {_filled(_MONITORING_FILLED)}
+    from customer""", ("monitoring",),
+      columns=("id", "_airbyte_ab_id", "date_vaccination_activity", "submitted_at", "modified_at", "admin4_lat",
+               "total_vaccinated_as_time_visit", *_AREA_NAMES, *_MONITORING_FILLED))
+_mart("clean_rapid_coverage", "clean.rapid_coverage", f"""
+    select cast(o_orderkey as varchar) as id, concat('c', o_orderkey) as _airbyte_ab_id,
+           cast({ORDER_DAY} as varchar) as rca_date, cast(o_orderkey % 30 as int) as doors_visited,
+           case when o_orderkey % 3 = 0 then 'Yes' else 'No' end as rca_mop_up, o_orderstatus as conducted_by,
+           o_orderpriority as vaccine_administered, {stamps(ORDER_DAY)}, {_area_texts('o_custkey')},
+           {_filled({c: f"cast({raw.source_cell(c)} as {'varchar' if c == 'health_workers' else 'int'})"
+                     for _, c in INFORMATION_SOURCES})}
+    from orders""", ("rapid_coverage",),
+      columns=("id", "_airbyte_ab_id", "rca_date", "doors_visited", "rca_mop_up", "conducted_by", "vaccine_administered",
+               "submitted_at", "modified_at", *_AREA_NAMES, *[c for _, c in INFORMATION_SOURCES]))
+_mart("clean_activity", "clean.activity", f"""
+    select cast(o_orderkey as varchar) as id, concat('r', o_orderkey) as _airbyte_ab_id,
+           {ORDER_DAY} as date_vaccination_activity, o_orderpriority as vaccine_label, {raw.VIALS_USED} as vials_used,
+           {raw.VIAL_DOSAGE} as vial_dosage, {raw.VIALS_DISCARDED} as vials_discarded,
+           {raw.latitude('o_custkey')} as admin4_lat, {raw.longitude('o_custkey')} as admin4_long,
+           {stamps(ORDER_DAY)}, {_area_texts('o_custkey')}
+    from orders""", ("activity",),
+      columns=("id", "_airbyte_ab_id", "date_vaccination_activity", "vaccine_label", "vials_used", "vial_dosage",
+               "vials_discarded", "admin4_lat", "admin4_long", "submitted_at", "modified_at", *_AREA_NAMES))
+_mart("clean_target", "clean.target", f"""
+    select concat(o_custkey, '-', o_orderpriority, '-', half) as id, o_orderpriority as vaccine_label,
+           cast(first_day as varchar) as campaign_start_date,
+           cast(first_day + {raw.CAMPAIGN_LENGTH} as varchar) as campaign_end_date, {_area_texts('o_custkey')}
+    from {CAMPAIGN}""", ("target",),
+      columns=("id", "vaccine_label", "campaign_start_date", "campaign_end_date", *_AREA_NAMES))
+_mart("clean_social", "clean.social", f"""
+    select cast(event_id as varchar) as id, cast({raw.EVENT_DAY} as varchar) as assessment_date,
+           {raw.SOCIAL_CONDUCTED_BY} as conducted_by, {stamps(raw.EVENT_DAY)}, {_area_texts('user_id', 4)},
+           {_filled({c: f"cast({raw.social_cell(c)} as varchar)" for c in raw.SOCIAL_COLUMNS})}
+    from events""", ("social",),
+      columns=("id", "assessment_date", "conducted_by", "submitted_at", "modified_at", *_AREA_NAMES[:4], *raw.SOCIAL_COLUMNS))

@@ -11,9 +11,10 @@ from fieldtally.functions.columns import (
     sum_of_cells,
     sum_where,
     whole_number,
+    whole_number_sql,
 )
 
 __all__ = [
     "complete_share", "count_where", "days_between", "fixed_width", "half_even_percent", "is_yes",
-    "option_tokens", "resolve_other", "score_band", "sum_of_cells", "sum_where", "whole_number",
+    "option_tokens", "resolve_other", "score_band", "sum_of_cells", "sum_where", "whole_number", "whole_number_sql",
 ]

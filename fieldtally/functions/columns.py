@@ -36,10 +36,13 @@ def sum_of_cells(*cells: Column | str) -> Column:
     return F.when(F.coalesce(*cols).isNotNull(), total)
 
 
-def whole_number(value: Column | str) -> Column:
-    """A JSON scalar as bigint: integers directly, decimals rounded half up, other text raises."""
-    text = _col(value)
-    return F.coalesce(text.try_cast("bigint"), F.round(text.cast("decimal(38,9)")).cast("bigint"))
+def whole_number_sql(value: str) -> str:
+    """SQL for a JSON scalar as bigint: integers directly, decimals rounded half up, other text raises."""
+    return f"coalesce(try_cast({value} as bigint), cast(round(cast({value} as decimal(38,9))) as bigint))"
+
+
+def whole_number(column: str) -> Column:
+    return F.expr(whole_number_sql(f"`{column}`"))
 
 
 def fixed_width(value: Column | str, width: int) -> Column:

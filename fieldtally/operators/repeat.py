@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.forms import Repeat
-from fieldtally.functions import option_tokens, whole_number
+from fieldtally.functions import option_tokens, whole_number_sql
 
 
 def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error: str = "raise") -> Column:
@@ -23,11 +23,18 @@ def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error:
     return F.from_json(F.col(json) if isinstance(json, str) else json, schema, {"mode": mode})
 
 
-def repeat_field(element: Column, path: str, name: str, to: str = "string") -> Column:
-    value = element[f"{path}/{name}"]
-    if to == "string":
-        return value
-    return whole_number(value) if to == "bigint" else value.cast(to)
+def repeat_field(element: Column, path: str, name: str) -> Column:
+    """A field of a parsed element, as text."""
+    return element[f"{path}/{name}"]
+
+
+def _field_sql(path: str, name: str, to: str) -> str:
+    value = f"_element.`{path}/{name}`"
+    if to == "bigint":
+        value = whole_number_sql(value)
+    elif to != "string":
+        value = f"cast({value} as {to})"
+    return f"{value} as `{short_name(name)}`"
 
 
 def short_name(name: str) -> str:
@@ -43,9 +50,7 @@ def explode_repeat(df: DataFrame, json_col: str, path: str, fields: Mapping[str,
     """
     parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error)
     rows = df.select(*keys, (F.explode_outer if outer else F.explode)(parsed).alias("_element"))
-    return rows.select(
-        *keys, *[repeat_field(F.col("_element"), path, f, to).alias(short_name(f)) for f, to in fields.items()]
-    )
+    return rows.selectExpr(*[f"`{k}`" for k in keys], *[_field_sql(path, f, to) for f, to in fields.items()])
 
 
 def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequence[str] | None = None,

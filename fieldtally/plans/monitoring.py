@@ -65,10 +65,8 @@ def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool) -> DataFrame:
     Submission columns ride along, so neither branch joins back to its parent; each branch reads only
     its own columns of the landed form.
     """
-    answers = union_positional(
-        _visit_answers(_visits(form, dims, *_question_columns(remarks)), VISIT, remarks),
-        _team_answers(_visits(form, dims, TEAMS), VISIT, remarks),
-    )
+    visits = _visits(form, dims, *_question_columns(remarks), TEAMS)
+    answers = union_positional(_visit_answers(visits, VISIT, remarks), _team_answers(visits, VISIT, remarks))
     return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME, dims.monitoring_questions)
 
 
