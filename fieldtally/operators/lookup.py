@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.operators.join import sized_join
+from fieldtally.operators.join import fits_broadcast, sized_join
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
@@ -50,6 +50,11 @@ def admin_lookup(df: DataFrame, areas: Mapping[int, DataFrame], levels: int | Se
     return out if keep_codes else out.drop(*[f"admin{level}_code" for level in wanted])
 
 
+def areas_fit(areas: Mapping[int, DataFrame], levels: int = 5) -> bool:
+    """Whether every area table is small enough to be broadcast."""
+    return all(fits_broadcast(areas[level]) for level in range(1, levels + 1))
+
+
 def choice_lookup(df: DataFrame, labels: DataFrame, question: str, code_col: str, out: str) -> DataFrame:
     """Label of the chosen option of one question."""
     return lookup(df, labels.where(F.col("question") == question), {code_col: "code"}, {"label": out})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.forms import Repeat
-from fieldtally.functions import option_tokens, whole_number_sql
+from fieldtally.functions import option_tokens, whole_number
 
 
 def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error: str = "raise") -> Column:
@@ -23,18 +23,12 @@ def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error:
     return F.from_json(F.col(json) if isinstance(json, str) else json, schema, {"mode": mode})
 
 
-def repeat_field(element: Column, path: str, name: str) -> Column:
-    """A field of a parsed element, as text."""
-    return element[f"{path}/{name}"]
-
-
-def _field_sql(path: str, name: str, to: str) -> str:
-    value = f"_element.`{path}/{name}`"
-    if to == "bigint":
-        value = whole_number_sql(value)
-    elif to != "string":
-        value = f"cast({value} as {to})"
-    return f"{value} as `{short_name(name)}`"
+def repeat_field(element: Column, path: str, name: str, to: str = "string") -> Column:
+    """A field of a parsed element."""
+    value = element[f"{path}/{name}"]
+    if to == "string":
+        return value
+    return whole_number(value) if to == "bigint" else value.cast(to)
 
 
 def short_name(name: str) -> str:
@@ -50,7 +44,9 @@ def explode_repeat(df: DataFrame, json_col: str, path: str, fields: Mapping[str,
     """
     parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error)
     rows = df.select(*keys, (F.explode_outer if outer else F.explode)(parsed).alias("_element"))
-    return rows.selectExpr(*[f"`{k}`" for k in keys], *[_field_sql(path, f, to) for f, to in fields.items()])
+    return rows.select(
+        *keys, *[repeat_field(F.col("_element"), path, f, to).alias(short_name(f)) for f, to in fields.items()]
+    )
 
 
 def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequence[str] | None = None,
@@ -60,6 +56,20 @@ def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequ
     return explode_repeat(df, column or repeat.column, repeat.path, fields, keys, outer)
 
 
+def group_total(repeat: Repeat, only: Sequence[str], column: str | None = None) -> Column:
+    """Sum of the named count fields over all rows of a submission's repeat group, within the submission.
+
+    NULL when no count is stated, as a filtered sum over the exploded rows would be.
+    """
+    fields = [f for f in repeat.fields if short_name(f) in only]
+    elements = parse_repeat(column or repeat.column, repeat.path, fields)
+    cells = F.flatten(F.transform(
+        elements, lambda e: F.array(*[repeat_field(e, repeat.path, f, "bigint") for f in fields])))
+    stated = F.filter(cells, lambda c: c.isNotNull())
+    total = F.aggregate(stated, F.lit(0).cast("bigint"), lambda acc, c: acc + c)
+    return F.when(F.size(stated) > 0, total)
+
+
 def explode_select_multiple(df: DataFrame, answer: str, keys: Sequence[str], out: str | None = None) -> DataFrame:
     """One row per chosen option; no row for a NULL or empty answer."""
     return df.select(*keys, F.explode(option_tokens(answer)).alias(out or answer))

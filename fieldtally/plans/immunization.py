@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.forms import ACTIVITY, TARGET
@@ -21,7 +21,7 @@ from fieldtally.forms.activity import (
     VACCINATED,
 )
 from fieldtally.functions import days_between, sum_of_cells
-from fieldtally.operators.lookup import admin_lookup, iso_lookup
+from fieldtally.operators.lookup import admin_lookup, areas_fit, iso_lookup
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.relate import campaign_window_join, cutoff, on_spine
 from fieldtally.operators.join import sized_join
@@ -83,46 +83,55 @@ def targets(form: DataFrame, dims: Dimensions) -> DataFrame:
     return rows.select(*keys, F.col("no_children").alias("campaign_target"), "age_group_label")
 
 
-def doses(form: DataFrame, dims: Dimensions) -> DataFrame:
-    """Day × facility × vaccine: vials used and discarded, doses, vial size.
+def _by_area(base: DataFrame, dims: Dimensions, keys: Sequence[str], combine: Mapping[str, Column],
+             expand: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Submissions with area codes, expanded and combined per area label and the other ``keys``.
 
-    Rows are combined per area code before labels are attached, then per label.
+    ``combine`` maps a column to its sum or maximum. Small area tables are joined to the submissions in
+    place and one shuffle groups the rows. When one is too large to broadcast, rows are first combined
+    per code, so that only groups are shuffled to the labels.
     """
-    measures = {
-        "vial_dosage": F.max("vial_dosage"),
-        "vials_used": F.sum("vials_used"),
-        "vaccine_dose": F.sum(F.col("vial_dosage").cast("bigint") * F.col("vials_used")),
-        "vials_discarded": F.sum("vials_discarded"),
-    }
+    aggregates = [c.alias(name) for name, c in combine.items()]
+    if areas_fit(dims.areas):
+        return expand(admin_lookup(base, dims.areas)).groupBy(*keys).agg(*aggregates)
+    coded = expand(base).groupBy(*keys).agg(*aggregates)
+    return admin_lookup(coded, dims.areas, hot=None).groupBy(*keys).agg(*aggregates)
+
+
+def doses(form: DataFrame, dims: Dimensions) -> DataFrame:
+    """Day × facility × vaccine: vials used and discarded, doses, vial size."""
     keys = [DAY, *PLACES, "vaccine_administered"]
-    coded = form.select(DAY, *PLACES, F.col("vaccine_label").alias("vaccine_administered"),
-                        "vial_dosage", "vials_used", "vials_discarded")
-    coded = coded.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
-    named = admin_lookup(coded, dims.areas, hot=None)
-    return named.groupBy(*keys).agg(
-        F.max("vial_dosage").cast("string").alias("vial_dosage"),
-        *[F.sum(c).alias(c) for c in ("vials_used", "vaccine_dose", "vials_discarded")],
+    base = form.select(
+        DAY, *PLACES, F.col("vaccine_label").alias("vaccine_administered"), "vial_dosage",
+        F.col("vials_used").cast("bigint").alias("vials_used"),
+        (F.col("vial_dosage").cast("bigint") * F.col("vials_used")).alias("vaccine_dose"),
+        F.col("vials_discarded").cast("bigint").alias("vials_discarded"),
     )
+    measures = {c: F.sum(c) for c in ("vials_used", "vaccine_dose", "vials_discarded")}
+    found = _by_area(base, dims, keys, {"vial_dosage": F.max("vial_dosage"), **measures})
+    return found.withColumn("vial_dosage", F.col("vial_dosage").cast("string"))
 
 
 def _status_totals(form: DataFrame, dims: Dimensions, spine: DataFrame, as_of: date | str | None,
                    totals: Mapping[str, Sequence[str]], by: Sequence[str]) -> DataFrame:
     """Children per calendar day up to the as-of day, facility, vaccine and ``by``.
 
-    ``totals`` maps output to the statuses it adds up. Counts are added across the columns of a row
-    and combined per area code, so labels are looked up once per group and nothing is unpivoted.
+    ``totals`` maps output to the statuses it adds up. Counts are added across the columns of a row, so
+    nothing is unpivoted.
     """
-    keys = ["date", *PLACES, "latitude", "longitude", "vaccine_administered", *by]
+    place_keys = ["date", *PLACES, "latitude", "longitude", "vaccine_administered"]
     fields = [c for statuses in totals.values() for s in statuses for c in STATUS_FIELDS[s]]
-    days = on_spine(cutoff(spine, "date", as_of), _submissions(form, "vaccine"), DAY)
-    rows = explode_group(days, ACTIVITY.repeat, [k for k in keys if k not in by], only=(*by, *fields), column="vaccine")
-    cells = {
-        out: sum_of_cells(*[F.col(c).cast("bigint") for s in statuses for c in STATUS_FIELDS[s]])
+    cells = [
+        sum_of_cells(*[F.col(c).cast("bigint") for s in statuses for c in STATUS_FIELDS[s]]).alias(out)
         for out, statuses in totals.items()
-    }
-    coded = rows.groupBy(*keys).agg(*[F.sum(c).alias(out) for out, c in cells.items()])
-    named = admin_lookup(coded, dims.areas, hot=None)
-    return named.groupBy(*keys).agg(*[F.sum(out).alias(out) for out in totals])
+    ]
+
+    def age_groups(days: DataFrame) -> DataFrame:
+        rows = explode_group(days, ACTIVITY.repeat, place_keys, only=(*by, *fields), column="vaccine")
+        return rows.select(*place_keys, *by, *cells)
+
+    days = on_spine(cutoff(spine, "date", as_of), _submissions(form, "vaccine"), DAY)
+    return _by_area(days, dims, [*place_keys, *by], {out: F.sum(out) for out in totals}, age_groups)
 
 
 def target_totals(staged_targets: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.forms import RAPID_COVERAGE
@@ -10,7 +10,7 @@ from fieldtally.forms.rapid_coverage import CHILDREN_COUNTS, INFORMATION_SOURCES
 from fieldtally.functions import fixed_width, whole_number
 from fieldtally.operators.lookup import admin_lookup, choice_lookup
 from fieldtally.operators.publish import bi_projection
-from fieldtally.operators.repeat import explode_group, parse_repeat, repeat_field
+from fieldtally.operators.repeat import explode_group, group_total
 from fieldtally.operators.reshape import drop_unanswered, unpivot_crosstab, unpivot_pairs
 from fieldtally.plans.dims import PLACES, Dimensions
 
@@ -47,27 +47,18 @@ def children(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
     return long.select(*SUBMISSION, "age_group_label", "rca_category", "indicator_category", "indicator_value", "iso2_code")
 
 
-def _not_vaccinated() -> Column:
-    """Children not vaccinated over a submission's age groups; NULL when none is stated."""
-    fields = [c for status, _, c in CHILDREN_COUNTS if status == NOT_VACCINATED]
-    groups = parse_repeat("vaccination", REPEAT.path, fields)
-    cells = F.flatten(F.transform(groups, lambda g: F.array(*[repeat_field(g, REPEAT.path, f) for f in fields])))
-    known = F.filter(cells, lambda c: c.isNotNull())
-    total = F.aggregate(known, F.lit(0).cast("bigint"), lambda acc, c: acc + c.cast("bigint"))
-    return F.when(F.size(known) > 0, total)
-
-
 def submissions(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
     """Submission: doors visited, mop-up, who conducted it and children not vaccinated.
 
     The total is taken over the submission's own repeat group, without grouping or joining back.
     """
+    missed = [c for status, _, c in CHILDREN_COUNTS if status == NOT_VACCINATED]
     more = ("doors_visited", "rca_mop_up", "conducted_by", "vaccination", "submitted_at", "modified_at", "enumerator")
     named = _submissions(form, dims, labels, *more).withColumnRenamed("conducted_by", "conductor_code")
     named = choice_lookup(named, labels, "conducted_by", "conductor_code", "conducted_by")
     return named.select(
         *SUBMISSION, F.col("doors_visited").cast("bigint").alias("doors_visited"), "rca_mop_up", "conducted_by",
-        _not_vaccinated().alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
+        group_total(REPEAT, missed, "vaccination").alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
     )
 
 

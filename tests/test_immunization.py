@@ -173,6 +173,20 @@ def test_direct_totals_equal_totals_of_the_long_table(activity, dims, spine, tar
     assert rows(direct.select(F.col("date"), *columns).distinct()) == rows(pivot, "date_vaccination_activity", *columns)
 
 
+def test_large_area_tables_give_the_same_totals(spark, activity, target, dims, spine):
+    """Without broadcasts rows are combined per area code first; equal labels still meet afterwards."""
+    def results():
+        return [rows(daily(activity, target, dims, spine)), rows(im.doses(activity, dims)),
+                rows(im.daily_by_age_group(activity, im.targets(target, dims), dims, spine, "2024-03-31"))]
+
+    small = results()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert results() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_records(activity, dims):
     assert im.records(activity, dims).count() == 8
     public = im.public_records(im.records(activity, dims))
