@@ -11,7 +11,7 @@ from fieldtally.operators.join import fits_broadcast, sized_join
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[str, str],
-           **join_options) -> DataFrame:
+           size_of: Sequence[DataFrame] | None = None, **join_options) -> DataFrame:
     """Left join to a dimension: ``on`` maps fact to dimension columns, ``take`` dimension to output columns."""
     kinds = dict(df.dtypes)
     prefix = "_" + next(iter(take.values()))
@@ -20,11 +20,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping[s
     for fact, text in zip(on, fact_keys):
         if text != fact:
             df = df.withColumn(text, F.col(fact).cast("string"))
+            join_options.pop("counted", None)
     side = dim.select(
         *[F.col(key).cast("string").alias(tmp) for tmp, key in zip(side_keys, on.values())],
         *[F.col(c).alias(out) for c, out in take.items()],
     )
-    joined = sized_join(df, side, list(zip(fact_keys, side_keys)), "left", **join_options)
+    joined = sized_join(df, side, list(zip(fact_keys, side_keys)), "left", size_of=size_of or [dim], **join_options)
     return joined.drop(*side_keys, *[text for text in fact_keys if text not in on])
 
 
@@ -39,7 +40,7 @@ def admin_lookup(df: DataFrame, areas: Mapping[int, DataFrame], levels: int | Se
     wanted = range(1, levels + 1) if isinstance(levels, int) else levels
     base = out = df.withColumnsRenamed({f"admin{level}": f"admin{level}_code" for level in wanted})
     for level in wanted:
-        dim = areas[level].select(F.col("name").cast("string").alias("name"), "label")
+        dim = areas[level]
         take = {"label": f"admin{level}"}
         parts = [dim]
         if level == 2 and iso is not None:
@@ -69,7 +70,7 @@ def indicator_lookup(df: DataFrame, indicators: DataFrame, form: str, counts: Da
     """
     entries = indicators.where(F.col("form_name") == form).select("indicator_name", "indicator_label", "category")
     take = {"indicator_label": "indicators_label", "category": "indicators_category"}
-    parts = [entries]
+    parts = [indicators]
     if counts is not None:
         entries = question_count_lookup(entries, counts, "category")
         take["no_of_questions"] = "no_of_questions"

@@ -204,3 +204,13 @@ def test_malformed_json_raises(spark, dims):
     bad = clean_form(form(spark, ACTIVITY, [visit(1, NORTH, "2024-03-01", "mr", "[{broken")]), ACTIVITY)
     with pytest.raises(Exception, match="MALFORMED"):
         im.actuals(bad, dims).collect()
+
+
+def test_as_of_day_reaches_the_scan(spark, activity, target, dims, tmp_path):
+    """The calendar's last day limits the rows read from the landed form."""
+    path = str(tmp_path / "activity")
+    form(spark, ACTIVITY, [visit(1, NORTH, "2024-03-01", "mr", "[]")]).write.parquet(path)
+    landed = clean_form(spark.read.schema(ACTIVITY.landed_schema()).parquet(path), ACTIVITY)
+    plan = daily(landed, target, dims, date_spine(spark, "2024-03-01", "2024-03-31"), "2024-03-05")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(campaign_activity_details_date_vaccination_activity,2024-03-05)" in text

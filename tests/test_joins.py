@@ -103,3 +103,5 @@ def test_area_lookup_with_a_large_dimension(spark):
     large = admin_lookup(facts, areas, levels=1, limit=-1, hot_rows=10, spread_by=["id"])
     assert rows(small) == rows(large)
     assert small.count() == 300
+    numbers = facts.withColumn("admin1", F.col("admin1").cast("int"))
+    assert rows(admin_lookup(numbers, areas, levels=1, limit=-1, hot_rows=10)) == rows(small)
