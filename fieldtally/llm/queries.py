@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import packing, token_store
+from fieldtally.llm import credentials, decontaminate, packing, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,18 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.crc32_of(token_store.read(spark, path))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.judged(decontaminate.find(docs, benchmark, window=13, shingle=5), percent=5)
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return credentials.digests(credentials.find(docs, credentials.learn(docs, per_kind=2_000, miss=0.01)))
+
+
 @query
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json", end=1, capacity=4096)
