@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import credentials, decontaminate, packing, token_store
+from fieldtally.llm import chat, credentials, decontaminate, packing, token_store, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,3 +47,61 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json", end=1, capacity=4096)
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=4096)
+
+
+@query
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole(table(spark, sf_dir, "embeddings"), scale=64)
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+CHECKS["op6_exact_topk"] = """
+with whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as w
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.w, c.w)::bigint as score
+    from whole q join whole c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+    from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "values (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
+    added = spark.sql(f"select * from {probe} as t(conv_id, turn, role, text)")
+    return chat.read_back(chat.format_chats(rows.unionByName(added)))
+
+
+CHECKS["op8_chat_format"] = """
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked as (
+    select *, row_number() over w as nth, lag(role) over w as before, row_number() over (
+               partition by conv_id order by turn desc nulls last, role desc, text desc) as from_end,
+           replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[', '&lb;') as body,
+           case role when 'system' then 11 when 'user' then 13 when 'assistant' then 7
+                else 14 + length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[', '&lb;'))
+           end as marks
+    from turns window w as (partition by conv_id order by turn nulls first, role, text)),
+judged as (
+    select *, case when nth = 1 then role in ('system', 'user') else
+                  (before, role) in (('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) end as good
+    from marked)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by nth)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by nth) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length(body) + marks)::bigint as formatted_chars,
+       case when bool_and(good) then max(role) filter (from_end = 1) else 'error' end as state,
+       bool_and(good) as valid,
+       bool_and(good) and max(role) filter (from_end = 1) = 'assistant' as complete
+from judged group by conv_id
+"""
