@@ -40,7 +40,7 @@ DICTIONARY = "dictionary string, trained binary"
 def train_dictionary(docs: DataFrame, vocabulary: str, end: int, sample: int, longest: int, size: int) -> DataFrame:
     """One row: the dictionary's hash and bytes, both empty when there is too little text to train one.
 
-    It is trained on the `sample` documents of at most `longest` characters whose id hashes are smallest.
+    It is trained on the `sample` documents of at most `longest` characters whose hashes are smallest.
     """
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = []
@@ -54,9 +54,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end: int, sample: int, lo
         name = hashlib.sha256(trained).hexdigest() if trained else ""
         yield pa.RecordBatch.from_pydict({"dictionary": [name], "trained": [trained]})
 
-    chosen = (docs.where(F.length("text") <= longest)
-              .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample))
-    return chosen.select("text").coalesce(1).mapInArrow(train, DICTIONARY)
+    keyed = docs.where(F.length("text") <= longest).select("text", F.xxhash64("doc_id", "text").alias("key"))
+    chosen = keyed.select("key").distinct().orderBy("key").limit(sample)  # so many numbers at most
+    return (keyed.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).orderBy("key").select("text")
+            .coalesce(1).mapInArrow(train, DICTIONARY))
 
 
 def write(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50k.json", end: int = 2, shard_bytes: int = 1 << 20,
