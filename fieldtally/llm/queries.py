@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import chat, credentials, decontaminate, packing, token_store, topk
+from fieldtally.llm import chat, credentials, decontaminate, packing, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,3 +105,10 @@ select conv_id, count(*) as n_turns,
        bool_and(good) and max(role) filter (from_end = 1) = 'assistant' as complete
 from judged group by conv_id
 """
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), sample=10_000, longest=50_000)
+    return toxicity.judged(toxicity.score(docs, model), least=0.7)
