@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import chat, credentials, decontaminate, packing, token_store, topk, toxicity
+from fieldtally.llm import chat, context_tree, credentials, decontaminate, packing, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(decontaminate.find(docs, benchmark, window=13, shingle=5), percent=5)
 
 
+@query
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"), folds=10)
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
