@@ -1,7 +1,7 @@
 """Toxic documents and the sentences that make them so, learnt from document labels: multiple-instance learning.
 
 A document is a bag of sentences (text between `.`, `!`, `?` or line ends). A sentence's chance to be toxic is a
-logistic function of the four-byte pieces of its lower-cased words, pieces that open a word apart from others. A
+logistic function of the four-byte pieces that occur in its lower-cased words, pieces that open a word apart from others. A
 document's chance is the noisy-or of its sentences, 1 - prod(1 - p). Only documents are labelled; the likelihood
 of their labels is followed down to the sentences' weights, so no sentence label is needed, and afterwards the
 sentences with a high chance of their own are where the document offends.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from fieldtally.llm.bytescan import FOLDED, WORD, Hashed, runs, slices
 from fieldtally.llm.shared import texts
 
-BITS, PIECE = 20, 4
+BITS, PIECE = 22, 4
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n"]] = True
 SCORED = "doc_id bigint, score double, sentences array<struct<first:bigint,last:bigint,score:double>>"
@@ -59,8 +59,9 @@ class Bags:
         opening_h = h[opening] * np.uint64(0x9E3779B97F4A7C15)
         sentence = np.cumsum(new) - 1
         shift = np.uint64(64 - BITS)
-        self.feature = np.concatenate([h >> shift, opening_h >> shift]).astype(np.int64)
-        self.sentence = np.concatenate([sentence[owner], sentence[owner[opening]]])
+        pairs = np.unique((np.concatenate([sentence[owner], sentence[owner[opening]]]) << BITS)
+                          | np.concatenate([h >> shift, opening_h >> shift]).astype(np.int64))
+        self.feature, self.sentence = pairs & ((1 << BITS) - 1), pairs >> BITS
 
     def logits(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.sentence, weights=weights[self.feature], minlength=len(self.text))
@@ -68,43 +69,48 @@ class Bags:
     def noisy_or(self, logits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Chances of the sentences and of the `n` texts."""
         clear = -np.logaddexp(0, logits)  # log(1 - p)
-        return 1 / (1 + np.exp(-logits)), -np.expm1(np.bincount(self.text, weights=clear, minlength=n))
+        return np.exp(-np.logaddexp(0, -logits)), -np.expm1(np.bincount(self.text, weights=clear, minlength=n))
 
 
-def fit(bags: list[tuple[Bags, np.ndarray]], least: int = 5, rounds: int = 12, rate: float = 0.3,
-        decay: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias that make the labels likely, by adaptive gradient steps over the batches in turn."""
+def fit(bags: list[tuple[Bags, np.ndarray]], least: int = 10, rounds: int = 30, rate: float = 1.0,
+        sparse: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias that make the labels likely: adaptive gradient steps over the batches in turn, each weight
+    pulled towards zero by `sparse` of its step, so that few pieces keep one."""
     size = 1 << BITS
     met = np.zeros(size, np.int64)
     for bag, _ in bags:
-        pairs = np.unique(bag.text[bag.sentence] * size + bag.feature)
-        met += np.bincount(pairs % size, minlength=size)
-    usable = met >= least
+        met += np.bincount(np.unique(bag.text[bag.sentence] * size + bag.feature) % size, minlength=size)
+    used = np.flatnonzero(met >= least)
+    place = np.full(size, len(used))
+    place[used] = np.arange(len(used))
     labels = np.concatenate([y for _, y in bags]) if bags else np.zeros(0)
     if not len(labels) or labels.min() == labels.max():
         return np.zeros(size), -50.0
-    weights, bias = np.zeros(size), -5.0
-    seen, seen_bias = np.full(size, 1e-3), 1e-3
+    weights, bias = np.zeros(len(used) + 1), -5.0  # the last weight stands for all unused features and stays 0
+    seen, seen_bias = np.full(len(used) + 1, 1e-3), 1e-3
+    for bag, _ in bags:
+        bag.feature = place[bag.feature]
     for _ in range(rounds):
         for bag, y in bags:
-            logits = bag.logits(weights, bias)
-            p, chance = bag.noisy_or(logits, len(y))
+            p, chance = bag.noisy_or(bag.logits(weights, bias), len(y))
             # d(-log likelihood) / d(logit): p for a clean document, -p (1 - P) / P for a toxic one
-            toxic = y[bag.text] == 1
             whole = np.maximum(chance[bag.text], 1e-9)
-            slope = np.where(toxic, -p * (1 - whole) / whole, p)
-            step = np.bincount(bag.feature, weights=slope[bag.sentence], minlength=size) / len(y)
-            step[~usable] = 0
-            step += decay * weights
+            slope = np.where(y[bag.text] == 1, -p * (1 - whole) / whole, p)
+            step = np.bincount(bag.feature, weights=slope[bag.sentence], minlength=len(weights)) / len(y)
             seen += step * step
-            weights -= rate * step / np.sqrt(seen)
+            by = rate / np.sqrt(seen)
+            weights -= by * step
+            weights = np.sign(weights) * np.maximum(np.abs(weights) - by * sparse, 0)
+            weights[-1] = 0
             down = slope.sum() / len(y)
             seen_bias += down * down
             bias -= rate * down / np.sqrt(seen_bias)
-    return weights, float(bias)
+    out = np.zeros(size)
+    out[used] = weights[:-1]
+    return out, float(bias)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 10_000, longest: int = 50_000, least: int = 5,
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 10_000, longest: int = 50_000, least: int = 10,
           batch: int = 250) -> tuple[np.ndarray, np.ndarray, float]:
     """The model: features with a weight, their weights, and the bias. Reads text and `toxic` only."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
