@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import chat, context_tree, credentials, decontaminate, packing, token_store, topk, toxicity
+from fieldtally.llm import chat, context_tree, credentials, decontaminate, jaccard, packing, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,3 +117,32 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), sample=10_000, longest=50_000)
     return toxicity.judged(toxicity.score(docs, model), least=0.7)
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), n=5, threshold=0.8, recall=0.999)
+
+
+CHECKS["op10_ngram_jaccard"] = """
+with recursive docs as (
+    select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents where text is not null),
+grams as (
+    select distinct doc_id, array_to_string(w[i:i + 4], ' ') as gram
+    from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) as i from docs where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+pairs as (
+    select a.doc_id as x, b.doc_id as y
+    from grams a join grams b on a.gram = b.gram and a.doc_id <> b.doc_id
+    group by a.doc_id, b.doc_id
+    having count(*) >= 0.8 * ((select n from sizes where doc_id = a.doc_id) + (select n from sizes where doc_id = b.doc_id) - count(*))),
+reach(doc_id, other) as (select doc_id, doc_id from documents union select r.doc_id, p.y from reach r join pairs p on r.other = p.x),
+same as (
+    select doc_id, md5(string_agg(gram, '|' order by gram)) as grams from grams group by doc_id)
+select d.doc_id, (select min(other) from reach r where r.doc_id = d.doc_id) as class_id,
+       coalesce((select min(b.doc_id) from same a join same b on a.grams = b.grams where a.doc_id = d.doc_id), d.doc_id) as representative,
+       (select count(*) from pairs p where p.x = d.doc_id) as n_links
+from documents d
+"""
