@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import chat, context_tree, credentials, decontaminate, jaccard, packing, token_store, topk, toxicity
+from fieldtally.llm import chat, context_tree, credentials, decontaminate, jaccard, packing, repeats, token_store, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -146,3 +146,8 @@ select d.doc_id, (select min(other) from reach r where r.doc_id = d.doc_id) as c
        (select count(*) from pairs p where p.x = d.doc_id) as n_links
 from documents d
 """
+
+
+@query
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.remove(table(spark, sf_dir, "documents"), length=50))
