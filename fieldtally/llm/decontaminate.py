@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.bytescan import FOLDED, Hashed, buffers, slices, windows, words
-from fieldtally.llm.shared import saved, texts
+from fieldtally.llm.shared import saved, ship, texts
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -122,57 +122,63 @@ def _probes(block: Block, frequency: dict[int, np.ndarray]) -> list[tuple[int, n
     return out
 
 
-def _scan(docs: DataFrame, block: Block, probes: list) -> DataFrame:
-    """For every row: its words, and the word spans and items of the windows found in it."""
+def _hits(batches: Iterator[pa.RecordBatch], block: Block, probes: list) -> Iterator[tuple]:
+    """Parts of the batches, each with its texts' numbers of words, hit word spans and found items (by row of the part)."""
     def same(raw: bytes, window: int) -> bool:
         return tuple(words_of(raw.decode())) == block.words[window]
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right: dict[tuple[int, bytes], bool] = {}
-        for batch, data, at in slices(batches):
-            start, end, first, h = _hashed_words(data, at)
-            begins, which = [], []
-            for size, keys, window, place in probes:
-                sh, at_word = windows(h, first, size)
-                lo, hi = np.searchsorted(keys, sh), np.searchsorted(keys, sh, side="right")
-                met = np.flatnonzero(hi > lo)
-                n = (hi - lo)[met]
-                probe = np.repeat(lo[met], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                begins.append(np.repeat(at_word[met], n) - place[probe])
-                which.append(window[probe])
-            begin = np.concatenate(begins) if begins else np.zeros(0, np.int64)
-            window = np.concatenate(which) if which else np.zeros(0, np.int64)
-            # positional and length bounds, inside the document of the first word
-            ok = (begin >= 0) & (begin + block.size[window] <= len(h))
-            begin, window = begin[ok], window[ok]
-            doc = np.searchsorted(first, begin, side="right") - 1
-            ok = begin + block.size[window] <= first[doc + 1]
+    right: dict[tuple[int, bytes], bool] = {}
+    for batch, data, at in slices(batches):
+        start, end, first, h = _hashed_words(data, at)
+        begins, which = [], []
+        for size, keys, window, place in probes:
+            sh, at_word = windows(h, first, size)
+            lo, hi = np.searchsorted(keys, sh), np.searchsorted(keys, sh, side="right")
+            met = np.flatnonzero(hi > lo)
+            n = (hi - lo)[met]
+            probe = np.repeat(lo[met], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            begins.append(np.repeat(at_word[met], n) - place[probe])
+            which.append(window[probe])
+        begin = np.concatenate(begins) if begins else np.zeros(0, np.int64)
+        window = np.concatenate(which) if which else np.zeros(0, np.int64)
+        # positional and length bounds, inside the document of the first word
+        ok = (begin >= 0) & (begin + block.size[window] <= len(h))
+        begin, window = begin[ok], window[ok]
+        doc = np.searchsorted(first, begin, side="right") - 1
+        ok = begin + block.size[window] <= first[doc + 1]
+        begin, window, doc = begin[ok], window[ok], doc[ok]
+        for i in range(int(block.size.max()) if len(begin) else 0):
+            at_i = np.minimum(begin + i, len(h) - 1)
+            mine = block.hashes[np.minimum(block.begin[window] + i, len(block.hashes) - 1)]
+            ok = (i >= block.size[window]) | (h[at_i] == mine)
             begin, window, doc = begin[ok], window[ok], doc[ok]
-            for i in range(int(block.size.max()) if len(begin) else 0):
-                at_i = np.minimum(begin + i, len(h) - 1)
-                mine = block.hashes[np.minimum(block.begin[window] + i, len(block.hashes) - 1)]
-                ok = (i >= block.size[window]) | (h[at_i] == mine)
-                begin, window, doc = begin[ok], window[ok], doc[ok]
-            spans: dict[int, list[tuple[int, int]]] = {}
-            items: dict[int, set[str]] = {}
-            for b, w, d in sorted(set(zip(begin.tolist(), window.tolist(), doc.tolist()))):
-                last = b + int(block.size[w])
-                raw = data[start[b]: end[last - 1]].tobytes()
-                if (w, raw) not in right:
-                    if len(right) > 100_000:
-                        right.clear()
-                    right[w, raw] = same(raw, w)
-                if right[w, raw]:
-                    mine = spans.setdefault(d, [])
-                    b, last = b - int(first[d]), last - int(first[d])
-                    if mine and b <= mine[-1][1]:
-                        mine[-1] = (mine[-1][0], max(last, mine[-1][1]))
-                    else:
-                        mine.append((b, last))
-                    items.setdefault(d, set()).update(block.items[w])
+        spans: dict[int, list[tuple[int, int]]] = {}
+        items: dict[int, set[str]] = {}
+        for b, w, d in sorted(set(zip(begin.tolist(), window.tolist(), doc.tolist()))):
+            last = b + int(block.size[w])
+            raw = data[start[b]: end[last - 1]].tobytes()
+            if (w, raw) not in right:
+                if len(right) > 100_000:
+                    right.clear()
+                right[w, raw] = same(raw, w)
+            if right[w, raw]:
+                mine = spans.setdefault(d, [])
+                b, last = b - int(first[d]), last - int(first[d])
+                if mine and b <= mine[-1][1]:
+                    mine[-1] = (mine[-1][0], max(last, mine[-1][1]))
+                else:
+                    mine.append((b, last))
+                items.setdefault(d, set()).update(block.items[w])
+        yield batch, np.diff(first), spans, items
+
+
+def _scan(docs: DataFrame, block: Block, probes: list) -> DataFrame:
+    """For every row: its words, and the word spans and items of the windows found in it."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, n_words, spans, items in _hits(batches, block, probes):
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("row")), pa.array(np.diff(first), pa.int64()),
+                [batch.column(batch.schema.get_field_index("row")), pa.array(n_words, pa.int64()),
                  pa.array([[{"first": a, "last": z} for a, z in spans.get(i, ())] for i in range(n)], pa.list_(SPAN)),
                  pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.string()))],
                 ["row", "n_words", "spans", "items"])
@@ -218,6 +224,26 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int =
     return docs.select("row", "doc_id").join(united, "row").drop("row")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, shingle: int = 5, percent: int = 5,
+          block_words: int = 1_000_000) -> DataFrame:
+    """The rows, all columns unchanged, of documents that no block of the benchmark contaminates alone or together."""
+    if (benchmark.agg(F.sum(F.length("text"))).first()[0] or 0) > 5 * block_words:
+        numbered = saved(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "documents")
+        found = find(numbered.select(F.col("row").alias("doc_id"), "doc.text"), benchmark, window, shingle, block_words)
+        bad = judged(found, percent).where("contaminated").select(F.col("doc_id").alias("row"))
+        return numbered.join(bad, "row", "left_anti").select("doc.*")
+    ship(docs.sparkSession)
+    block = Block(next(blocks(benchmark, block_words)), window, shingle)
+    probes = _probes(block, _frequencies(texts(docs), block.tokens()))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, n_words, spans, _ in _hits(batches, block, probes):
+            hit = np.array([sum(z - a for a, z in spans.get(i, ())) for i in range(batch.num_rows)], np.int64)
+            yield batch.filter(pa.array((hit == 0) | (100 * hit < percent * n_words)))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def _united(spans: Column) -> Column:
     """Sorted spans with those that touch or overlap made one."""
     kind = "array<struct<first:bigint,last:bigint>>"

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtally.llm.bytescan import FOLDED, WORD, Hashed, runs, slices
-from fieldtally.llm.shared import texts
+from fieldtally.llm.shared import ship, texts
 
 BITS, PIECE = 22, 4
 _ENDS = np.zeros(256, bool)
@@ -164,6 +164,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], offendin
     return texts(docs).mapInArrow(scan, SCORED)
 
 
+def keep(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], least: float = 0.7) -> DataFrame:
+    """The rows, all columns unchanged, of documents that score below `least`."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.zeros(1 << BITS)
+        weights[model[0]] = model[1]
+        for rows, data, at in slices(batches, limit=1_000_000):
+            bags = Bags(data, at)
+            _, chance = bags.noisy_or(bags.logits(weights, model[2]), rows.num_rows)
+            yield rows.filter(pa.array(chance < least))
+
+    ship(docs.sparkSession)
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def judged(scored: DataFrame, least: float = 0.7) -> DataFrame:
     """The contract's columns, with the offending sentences."""
     return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score",
