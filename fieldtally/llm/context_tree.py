@@ -49,7 +49,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for i in range(8):
         shift += np.log(x + i)
     z = x + 8
-    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - shift
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - 1 / (1680 * z**7) - shift
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
