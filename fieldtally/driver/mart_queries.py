@@ -72,14 +72,19 @@ READY_FACILITIES = f"""
                      count(id) filter (where indicators_value = 'Yes') as yes_count
               from ({HCL_ASSESSMENT}) group by all)),
     facility as (
-        select {PLACE_LIST}, latitude, longitude, sum(p) as total,
+        select {PLACE_LIST}, latitude, longitude,
+               coalesce(list({{'yes': yes_count, 'size': no_of_questions}}) filter (p is not null), []) as parts,
                cast(round_even(cast(sum(case when p = 1 then 1 else 0 end) as double) / 8 * 100, 0) as int) as category_value
-        from category group by all)
-    select {PLACE_LIST}, latitude, longitude, cast(total as decimal(38,6)) as readiness_value,
-           case when total = 8 then 'Yes' else 'No' end as facility_ready, category_value,
+        from category group by all),
+    common as (
+        select *, coalesce(cast(list_aggregate(list_distinct(list_transform(parts, lambda x: x.size)), 'product') as hugeint), 1) as whole
+        from facility),
+    scored as (select *, list_sum(list_transform(parts, lambda x: x.yes * (whole // x.size))) as total from common)
+    select {PLACE_LIST}, latitude, longitude, cast(total as double) / cast(whole as double) as readiness_value,
+           case when total = 8 * whole then 'Yes' else 'No' end as facility_ready, category_value,
            case when category_value < 50 then '<50%' when category_value <= 99 then '50-99%'
                 when category_value = 100 then '100%' end as category_label
-    from facility"""
+    from scored"""
 
 _mart("mart_hc_assessment", "staging.hc_assessment", HC_ASSESSMENT, ("readiness",))
 _mart("mart_hcl_monitoring_assessment", "staging.hcl_monitoring_assessment", HCL_ASSESSMENT, ("readiness",))

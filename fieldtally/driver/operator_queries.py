@@ -560,9 +560,9 @@ def category_proportion(spark, sf_dir):
 
 
 @query("readiness_score", f"""
-    select id, cast(total as decimal(38,6)) as readiness_value, case when total = 5 then 'Yes' else 'No' end as facility_ready,
+    select id, cast(total as double) / cast(2 as double) as readiness_value, case when total = 10 then 'Yes' else 'No' end as facility_ready,
            category_value, {BAND.format('category_value')} as category_label
-    from (select id, sum(yes_category_proportion) as total, cast(round_even({SHARE} / 5 * 100, 0) as int) as category_value
+    from (select id, sum(yes_count) as total, cast(round_even({SHARE} / 5 * 100, 0) as int) as category_value
           from {VISIT_CATEGORIES} group by id)""")
 def readiness_score(spark, sf_dir):
     return aggregate.readiness_score(_proportions(spark, sf_dir), ["id"], categories=5)

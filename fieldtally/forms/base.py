@@ -6,7 +6,7 @@ A country team that changes a form (questions, administrative levels, categories
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -52,6 +52,8 @@ class Repeat:
     column: str
     path: str
     fields: dict[str, str]
+    #: What malformed text does: "raise", or "null" to read it as NULL.
+    on_error: str = "raise"
 
     def key(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -69,6 +71,12 @@ class FormSpec:
     repeat: Repeat | None = None
     questions: tuple[Question, ...] = ()
     levels: int = 5
+    on_error: str = "raise"
+
+    def lenient(self) -> FormSpec:
+        """The same form with malformed text, in its columns and its repeat group, read as NULL."""
+        repeat = self.repeat and replace(self.repeat, on_error="null")
+        return replace(self, on_error="null", repeat=repeat)
 
     def landed_columns(self) -> list[str]:
         grouped = [f"{group}_{name}" for group, names in self.groups.items() for name in names]

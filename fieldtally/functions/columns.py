@@ -36,10 +36,18 @@ def sum_of_cells(*cells: Column | str) -> Column:
     return F.when(F.coalesce(*cols).isNotNull(), total)
 
 
-def whole_number(value: Column | str) -> Column:
-    """A JSON scalar as bigint: integers directly, decimals rounded half up, other text raises."""
+def typed(value: Column | str, to: str, on_error: str = "raise") -> Column:
+    """Text as ``to``: malformed text raises, or is NULL with ``on_error='null'``."""
+    return _col(value).try_cast(to) if on_error == "null" else _col(value).cast(to)
+
+
+def whole_number(value: Column | str, on_error: str = "raise") -> Column:
+    """A JSON scalar as bigint: integers directly, decimals rounded half up, other text as ``typed`` has it.
+
+    Only for fields whose form declares them as numbers; counts that are read as text are cast plainly.
+    """
     text = _col(value)
-    return F.coalesce(text.try_cast("bigint"), F.round(text.cast("decimal(38,9)")).cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), F.round(typed(text, "decimal(38,9)", on_error)).cast("bigint"))
 
 
 def fixed_width(value: Column | str, width: int) -> Column:

@@ -38,16 +38,31 @@ def with_proportion(counts: DataFrame, questions: str = "no_of_questions") -> Da
 
 
 def readiness_score(proportions: DataFrame, keys: Sequence[str], categories: int = 8,
-                    proportion: str = "yes_category_proportion") -> DataFrame:
-    """Sum of proportions, ready flag, share of complete categories and its band per group."""
+                    proportion: str = "yes_category_proportion", yes: str = "yes_count",
+                    questions: str = "no_of_questions") -> DataFrame:
+    """Sum of proportions, ready flag, share of complete categories and its band per group.
+
+    Proportions are added as fractions over the product of the group's category sizes, so neither the
+    value nor the flag depends on the order of addition. A group has one row a category.
+    """
+    fraction = F.when(F.col(proportion).isNotNull(), F.struct(
+        F.col(yes).cast("decimal(38,0)").alias("yes"), F.col(questions).cast("decimal(38,0)").alias("size")))
+    whole = F.lit(1).cast("decimal(38,0)")
+
+    def common(sizes: Column) -> Column:
+        return F.aggregate(sizes, whole, lambda product, size: (product * size).cast("decimal(38,0)"))
+
     scored = proportions.groupBy(*keys).agg(
-        F.sum(proportion).alias("_total"),
+        F.collect_list(fraction).alias("_parts"),
         half_even_percent(complete_share(proportion, categories)).alias("category_value"),
-    )
+    ).withColumn("_whole", common(F.array_distinct(F.col("_parts.size"))))
+    scored = scored.withColumn("_total", F.when(F.size("_parts") > 0, F.aggregate(
+        "_parts", F.lit(0).cast("decimal(38,0)"),
+        lambda total, part: (total + part["yes"] * F.floor(F.col("_whole") / part["size"])).cast("decimal(38,0)"))))
     return scored.select(
         *keys,
-        F.col("_total").cast("decimal(38,6)").alias("readiness_value"),
-        F.when(F.col("_total") == float(categories), "Yes").otherwise("No").alias("facility_ready"),
+        (F.col("_total").cast("double") / F.col("_whole").cast("double")).alias("readiness_value"),
+        F.when(F.col("_total") == F.col("_whole") * categories, "Yes").otherwise("No").alias("facility_ready"),
         "category_value",
         score_band("category_value").alias("category_label"),
     )

@@ -37,6 +37,9 @@ def apply_types(df: DataFrame, types: Mapping[str, str], default: str = "string"
     return df.selectExpr(*[_typed(c, types.get(c, default), c, on_error) for c in df.columns])
 
 
-def clean_form(raw: DataFrame, spec: FormSpec, on_error: str = "raise") -> DataFrame:
-    """The clean form declared by ``spec``. Only columns used downstream reach the scan."""
-    return raw.selectExpr(*[_typed(landed, to, clean, on_error) for landed, clean, to in spec.clean_columns()])
+def clean_form(raw: DataFrame, spec: FormSpec, on_error: str | None = None) -> DataFrame:
+    """The clean form declared by ``spec``, malformed text as the spec or ``on_error`` has it.
+
+    Only columns used downstream reach the scan.
+    """
+    return raw.selectExpr(*[_typed(landed, to, clean, on_error or spec.on_error) for landed, clean, to in spec.clean_columns()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("clean", "staging", "public")
@@ -22,14 +22,41 @@ def bi_projection(df: DataFrame, columns: Sequence[str], date_columns: Sequence[
     )
 
 
+def month_column(month_of: str) -> str:
+    return f"{month_of}_month"
+
+
+def versions(name: str) -> tuple[str, str]:
+    """The two tables that take turns behind the view ``layer.name``."""
+    return f"{name}__a", f"{name}__b"
+
+
+def current_version(spark: SparkSession, name: str) -> str | None:
+    """The table that the view ``layer.name`` reads now."""
+    if not spark.catalog.tableExists(name):
+        return None
+    text = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+    return next((v for v in versions(name) if v.split(".")[-1] in text), None)
+
+
+def from_month(df: DataFrame, day: Column, since: str) -> DataFrame:
+    """Rows whose day, or month, is not before the month of ``since``, and rows without one."""
+    return df.where((day >= F.trunc(F.lit(since).cast("date"), "month")) | day.isNull())
+
+
 def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, since: str | None = None,
             format: str = "parquet") -> DataFrame:
-    """Expose ``layer.name`` as a replaceable session view or as a table, and return what readers see.
+    """Expose ``layer.name`` as a replaceable session view or as written rows, and return what readers see.
 
-    Tables with ``month_of`` are partitioned by the month of that day. With ``since``, an existing such
-    table only has the months from that day's month on rewritten; the filter reaches the scan of the
-    landed form. The rebalance hint sizes the files: large months are split over several tasks, small
-    ones share one.
+    In table mode readers use the catalog view ``layer.name``. Rows are written to the one of two tables
+    behind it that is not read, and the view then changes over: readers always find a complete table, and
+    a failed write leaves the old one.
+
+    Rows with ``month_of`` are partitioned by the month of that day. With ``since``, every month from that
+    day's on and the rows without a day are replaced in place, months that have no rows any more are
+    dropped, and earlier months stay; the filter reaches the scan of what ``df`` reads. Columns are
+    matched by name; a table with other columns is written in full. The rebalance hint sizes the files:
+    large months are split over several tasks, small ones share one.
     """
     spark = df.sparkSession
     if mode == "view":
@@ -38,30 +65,57 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
         return spark.table(view)
     if mode != "table":
         raise ValueError(f"unknown mode {mode!r}")
+    now = current_version(spark, name)
     if month_of is None:
-        df.write.mode("overwrite").format(format).saveAsTable(name)
-        return spark.table(name)
-    month = f"{month_of}_month"
-    if since is not None and spark.catalog.tableExists(name):
-        first = F.trunc(F.lit(since).cast("date"), "month")
-        recent = df.where(F.col(month_of) >= first).withColumn(month, F.trunc(month_of, "month"))
-        _overwrite_partitions(recent.hint("rebalance", F.col(month)), name)
-    else:
-        dated = df.withColumn(month, F.trunc(month_of, "month"))
-        writer = dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format)
-        writer.partitionBy(month).saveAsTable(name)
-    return spark.table(name).select(*df.columns)
-
-
-def _overwrite_partitions(df: DataFrame, name: str) -> None:
-    """Replace only the partitions that ``df`` has rows for; tables take this mode from the session alone."""
-    conf, setting = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(setting)
-    conf.set(setting, "dynamic")
+        target = versions(name)[now == versions(name)[0]]
+        df.write.mode("overwrite").format(format).saveAsTable(target)
+        return publish_alias(spark, name, target, df.columns)
+    month = month_column(month_of)
+    dated = df.withColumn(month, F.trunc(month_of, "month"))
+    if since is not None and now is not None and set(spark.table(now).columns) == set(dated.columns):
+        columns = spark.table(now).columns
+        recent = from_month(df, F.col(month_of), since).withColumn(month, F.trunc(month_of, "month"))
+        _replace_months(recent.select(*columns).hint("rebalance", F.col(month)), now, month, since)
+        return publish_alias(spark, name, now, df.columns)
+    target = versions(name)[now == versions(name)[0]]
+    dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format).partitionBy(month).saveAsTable(target)
+    return publish_alias(spark, name, target, df.columns)
+
+
+def _replace_months(df: DataFrame, table: str, month: str, since: str) -> None:
+    """Replace all partitions from ``since`` on, and that of NULL, by the rows of ``df``.
+
+    Partitions with new rows are replaced by a dynamic overwrite, which sessions are set to; partitions
+    that had rows before and have none now are dropped by name. Months are few, a dozen a year.
+    """
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    old = {r[0] for r in from_month(spark.table(table), F.col(month), since).select(month).distinct().collect()}
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
     try:
-        df.write.mode("overwrite").insertInto(name)
+        df.write.mode("overwrite").insertInto(table)
     finally:
-        conf.set(setting, before)
+        spark.conf.set(setting, before)
+    # what the overwrite did not replace is still there: partitions without rows in the new data
+    kept = {r[0] for r in df.select(month).distinct().collect()} if old else set()
+    for gone in old - kept:
+        value = "null" if gone is None else f"date'{gone}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({month} = {value})")
+    spark.catalog.refreshTable(table)
+
+
+def recent_rows(spark: SparkSession, name: str, month_of: str, since: str) -> DataFrame:
+    """Published rows of the months from ``since`` on and without a day, by a filter on the partitions."""
+    table = current_version(spark, name)
+    return from_month(spark.table(table), F.col(month_column(month_of)), since).select(*spark.table(name).columns)
+
+
+def publish_projection(spark: SparkSession, name: str, source: str, columns: Sequence[str],
+                       date_columns: Sequence[str] = ()) -> DataFrame:
+    """``bi_projection`` of a written table as a catalog view: nothing is copied."""
+    listed = ", ".join(f"CAST(`{c}` AS date) AS `{c}`" if c in date_columns else f"`{c}`" for c in columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {source}")
+    return spark.table(name)
 
 
 def publish_alias(spark: SparkSession, name: str, source: str, columns: Sequence[str]) -> DataFrame:

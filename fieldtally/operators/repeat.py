@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.forms import Repeat
-from fieldtally.functions import option_tokens, whole_number
+from fieldtally.functions import option_tokens, typed, whole_number
 
 
 def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error: str = "raise") -> Column:
@@ -23,12 +23,12 @@ def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error:
     return F.from_json(F.col(json) if isinstance(json, str) else json, schema, {"mode": mode})
 
 
-def repeat_field(element: Column, path: str, name: str, to: str = "string") -> Column:
+def repeat_field(element: Column, path: str, name: str, to: str = "string", on_error: str = "raise") -> Column:
     """A field of a parsed element."""
     value = element[f"{path}/{name}"]
     if to == "string":
         return value
-    return whole_number(value) if to == "bigint" else value.cast(to)
+    return whole_number(value, on_error) if to == "bigint" else typed(value, to, on_error)
 
 
 def short_name(name: str) -> str:
@@ -45,7 +45,7 @@ def explode_repeat(df: DataFrame, json_col: str, path: str, fields: Mapping[str,
     parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error)
     rows = df.select(*keys, (F.explode_outer if outer else F.explode)(parsed).alias("_element"))
     return rows.select(
-        *keys, *[repeat_field(F.col("_element"), path, f, to).alias(short_name(f)) for f, to in fields.items()]
+        *keys, *[repeat_field(F.col("_element"), path, f, to, on_error).alias(short_name(f)) for f, to in fields.items()]
     )
 
 
@@ -53,18 +53,23 @@ def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequ
                   column: str | None = None, outer: bool = False) -> DataFrame:
     """``explode_repeat`` of a declared repeat group; ``only`` limits the fields by short name."""
     fields = {f: to for f, to in repeat.fields.items() if only is None or short_name(f) in only}
-    return explode_repeat(df, column or repeat.column, repeat.path, fields, keys, outer)
+    return explode_repeat(df, column or repeat.column, repeat.path, fields, keys, outer, repeat.on_error)
 
 
 def group_total(repeat: Repeat, only: Sequence[str], column: str | None = None) -> Column:
     """Sum of the named count fields over all rows of a submission's repeat group, within the submission.
 
-    NULL when no count is stated, as a filtered sum over the exploded rows would be.
+    NULL when no count is stated, as a filtered sum over the exploded rows would be. Counts that the
+    group declares as text are cast as they are for the exploded rows.
     """
     fields = [f for f in repeat.fields if short_name(f) in only]
-    elements = parse_repeat(column or repeat.column, repeat.path, fields)
-    cells = F.flatten(F.transform(
-        elements, lambda e: F.array(*[repeat_field(e, repeat.path, f, "bigint") for f in fields])))
+    elements = parse_repeat(column or repeat.column, repeat.path, fields, repeat.on_error)
+
+    def count(element: Column, name: str) -> Column:
+        value = repeat_field(element, repeat.path, name, repeat.fields[name], repeat.on_error)
+        return typed(value, "bigint", repeat.on_error)
+
+    cells = F.flatten(F.transform(elements, lambda e: F.array(*[count(e, f) for f in fields])))
     stated = F.filter(cells, lambda c: c.isNotNull())
     total = F.aggregate(stated, F.lit(0).cast("bigint"), lambda acc, c: acc + c)
     return F.when(F.size(stated) > 0, total)

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.forms import ACTIVITY, TARGET
+from fieldtally.forms import ACTIVITY, TARGET, FormSpec
 from fieldtally.forms.activity import (
     COVERAGE_COUNTS,
     DEFERRED,
@@ -42,21 +42,21 @@ def _submissions(form: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def actuals(form: DataFrame, dims: Dimensions) -> DataFrame:
+def actuals(form: DataFrame, dims: Dimensions, spec: FormSpec = ACTIVITY) -> DataFrame:
     """Submission × age group × status × sex: number of children."""
     named = admin_lookup(_submissions(form, "vaccine"), dims.areas, spread_by=["submission_id"])
     keys = ["submission_id", DAY, *PLACES[:4], "latitude", "longitude", "admin5", "vaccine_administered"]
-    rows = explode_group(named, ACTIVITY.repeat, keys,
+    rows = explode_group(named, spec.repeat, keys,
                          only=("age_group_label", *[c for _, _, c in COVERAGE_COUNTS]), column="vaccine")
     return unpivot_crosstab(rows, [*keys, "age_group_label"], COVERAGE_COUNTS,
                             ("coverage_category", "indicator_category", "indicator_value"))
 
 
-def unreached_reasons(form: DataFrame, dims: Dimensions) -> DataFrame:
+def unreached_reasons(form: DataFrame, dims: Dimensions, spec: FormSpec = ACTIVITY) -> DataFrame:
     """Submission × age group × deferral or refusal reason: number of children, answered only."""
     named = admin_lookup(_submissions(form, "vaccine"), dims.areas, spread_by=["submission_id"])
     keys = ["submission_id", DAY, *PLACES, "vaccine_administered"]
-    rows = explode_group(named, ACTIVITY.repeat, keys,
+    rows = explode_group(named, spec.repeat, keys,
                          only=("age_group_label", *[c for _, _, c in REASON_COUNTS]), column="vaccine")
     long = unpivot_crosstab(rows, [*keys, "age_group_label"], REASON_COUNTS,
                             ("reason_category", "coverage_category", "reasons_value"))
@@ -65,7 +65,7 @@ def unreached_reasons(form: DataFrame, dims: Dimensions) -> DataFrame:
     )
 
 
-def targets(form: DataFrame, dims: Dimensions) -> DataFrame:
+def targets(form: DataFrame, dims: Dimensions, spec: FormSpec = TARGET) -> DataFrame:
     """Campaign × age group: target; campaigns without age groups stay."""
     base = form.select(
         *PLACES,
@@ -78,7 +78,7 @@ def targets(form: DataFrame, dims: Dimensions) -> DataFrame:
         "campaign_days", days_between("campaign_end_date", "campaign_start_date")
     )
     keys = [*PLACES, "campaign_start_date", "campaign_end_date", "campaign_days", "vaccine_administered"]
-    rows = explode_group(named, TARGET.repeat, keys, only=("no_children", "age_group_label"),
+    rows = explode_group(named, spec.repeat, keys, only=("no_children", "age_group_label"),
                          column="target_children", outer=True)
     return rows.select(*keys, F.col("no_children").alias("campaign_target"), "age_group_label")
 
@@ -113,7 +113,7 @@ def doses(form: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def _status_totals(form: DataFrame, dims: Dimensions, spine: DataFrame, as_of: date | str | None,
-                   totals: Mapping[str, Sequence[str]], by: Sequence[str]) -> DataFrame:
+                   totals: Mapping[str, Sequence[str]], by: Sequence[str], spec: FormSpec) -> DataFrame:
     """Children per calendar day up to the as-of day, facility, vaccine and ``by``.
 
     ``totals`` maps output to the statuses it adds up. Counts are added across the columns of a row, so
@@ -127,7 +127,7 @@ def _status_totals(form: DataFrame, dims: Dimensions, spine: DataFrame, as_of: d
     ]
 
     def age_groups(days: DataFrame) -> DataFrame:
-        rows = explode_group(days, ACTIVITY.repeat, place_keys, only=(*by, *fields), column="vaccine")
+        rows = explode_group(days, spec.repeat, place_keys, only=(*by, *fields), column="vaccine")
         return rows.select(*place_keys, *by, *cells)
 
     days = on_spine(cutoff(spine, "date", as_of), _submissions(form, "vaccine"), DAY)
@@ -141,9 +141,9 @@ def target_totals(staged_targets: DataFrame) -> DataFrame:
 
 
 def daily_against_target(form: DataFrame, staged_targets: DataFrame, staged_doses: DataFrame, dims: Dimensions,
-                         spine: DataFrame, as_of: date | str | None = None) -> DataFrame:
+                         spine: DataFrame, as_of: date | str | None = None, spec: FormSpec = ACTIVITY) -> DataFrame:
     """Day × facility × vaccine: children reached, campaign target, vials and doses."""
-    facts = _status_totals(form, dims, spine, as_of, {"total_vaccinated": REACHED}, ())
+    facts = _status_totals(form, dims, spine, as_of, {"total_vaccinated": REACHED}, (), spec)
     goals = _prefixed(target_totals(staged_targets), "_t_", "campaign_target")
     facts = campaign_window_join(
         facts, goals, [("vaccine_administered", "_t_vaccine_administered"), ("admin5", "_t_admin5")],
@@ -165,7 +165,7 @@ def daily_against_target(form: DataFrame, staged_targets: DataFrame, staged_dose
 
 
 def daily_by_age_group(form: DataFrame, staged_targets: DataFrame, dims: Dimensions, spine: DataFrame,
-                       as_of: date | str | None = None) -> DataFrame:
+                       as_of: date | str | None = None, spec: FormSpec = ACTIVITY) -> DataFrame:
     """Day × facility × vaccine × age group: five measures, campaign target, province ISO code."""
     totals = {
         "total_vaccinated": (VACCINATED,),
@@ -174,7 +174,7 @@ def daily_by_age_group(form: DataFrame, staged_targets: DataFrame, dims: Dimensi
         "total_vaccinated_previously_deferred": (DEFERRED_VACCINATED,),
         "total_vaccinated_previously_refused": (REFUSED_VACCINATED,),
     }
-    facts = _status_totals(form, dims, spine, as_of, totals, ("age_group_label",))
+    facts = _status_totals(form, dims, spine, as_of, totals, ("age_group_label",), spec)
     goals = _prefixed(
         staged_targets.select("admin5", "vaccine_administered", "age_group_label", "campaign_start_date",
                               "campaign_end_date", "campaign_target"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.forms import MONITORING
+from fieldtally.forms import MONITORING, FormSpec
 from fieldtally.forms.monitoring import CATEGORIES, DICTIONARY_NAME, TEAM_QUESTIONS
 from fieldtally.operators.aggregate import category_proportion, monitoring_score
 from fieldtally.operators.lookup import admin_lookup, indicator_lookup, require_label
@@ -20,32 +20,32 @@ TEAMS = "vaccination_team_info"
 ANSWER = ("indicators_value", "indicators_remarks", "indicators_label", "indicators_category")
 
 
-def _visit_answers(visits: DataFrame, keys: tuple[str, ...], remarks: bool = True) -> DataFrame:
-    return unpivot_questions(visits, keys, MONITORING.questions, remarks)
+def _visit_answers(visits: DataFrame, keys: tuple[str, ...], spec: FormSpec, remarks: bool = True) -> DataFrame:
+    return unpivot_questions(visits, keys, spec.questions, remarks)
 
 
-def _team_answers(visits: DataFrame, keys: tuple[str, ...], remarks: bool = True) -> DataFrame:
+def _team_answers(visits: DataFrame, keys: tuple[str, ...], spec: FormSpec, remarks: bool = True) -> DataFrame:
     used = [q.name for q in TEAM_QUESTIONS] + ([q.remark for q in TEAM_QUESTIONS] if remarks else [])
-    teams = explode_group(visits, MONITORING.repeat, keys, only=used, column=TEAMS)
+    teams = explode_group(visits, spec.repeat, keys, only=used, column=TEAMS)
     return unpivot_questions(teams, keys, TEAM_QUESTIONS, remarks)
 
 
-def visit_questions(form: DataFrame, dims: Dimensions) -> DataFrame:
+def visit_questions(form: DataFrame, dims: Dimensions, spec: FormSpec = MONITORING) -> DataFrame:
     """Submission × microplan and vaccine-management question."""
-    keyed = form.select(F.col("id").cast("bigint").alias("id"), *_question_columns())
-    answers = _visit_answers(keyed, ("id",))
+    keyed = form.select(F.col("id").cast("bigint").alias("id"), *_question_columns(spec))
+    answers = _visit_answers(keyed, ("id",), spec)
     return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME).select("id", *ANSWER)
 
 
-def team_questions(form: DataFrame, dims: Dimensions) -> DataFrame:
+def team_questions(form: DataFrame, dims: Dimensions, spec: FormSpec = MONITORING) -> DataFrame:
     """Submission × team × vaccination-site question."""
     keyed = form.select(F.col("id").cast("bigint").alias("parent_id"), TEAMS)
-    answers = _team_answers(keyed, ("parent_id",))
+    answers = _team_answers(keyed, ("parent_id",), spec)
     return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME).select("parent_id", *ANSWER)
 
 
-def _question_columns(remarks: bool = True) -> list[str]:
-    return [q.value for q in MONITORING.questions] + ([q.remark for q in MONITORING.questions] if remarks else [])
+def _question_columns(spec: FormSpec, remarks: bool = True) -> list[str]:
+    return [q.value for q in spec.questions] + ([q.remark for q in spec.questions] if remarks else [])
 
 
 def _visits(form: DataFrame, dims: Dimensions, *columns: str) -> DataFrame:
@@ -59,30 +59,30 @@ def _visits(form: DataFrame, dims: Dimensions, *columns: str) -> DataFrame:
     return require_label(admin_lookup(visits, dims.areas, spread_by=["id"]), "admin5")
 
 
-def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool) -> DataFrame:
+def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool, spec: FormSpec) -> DataFrame:
     """Submission-level and team-level answers as one table, with labels and category sizes.
 
     Submission columns ride along, so neither branch joins back to its parent; each branch reads only
     its own columns of the landed form.
     """
-    visits = _visits(form, dims, *_question_columns(remarks), TEAMS)
-    answers = union_positional(_visit_answers(visits, VISIT, remarks), _team_answers(visits, VISIT, remarks))
+    visits = _visits(form, dims, *_question_columns(spec, remarks), TEAMS)
+    answers = union_positional(_visit_answers(visits, VISIT, spec, remarks), _team_answers(visits, VISIT, spec, remarks))
     return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME, dims.monitoring_questions)
 
 
-def monitoring_tool(form: DataFrame, dims: Dimensions) -> DataFrame:
+def monitoring_tool(form: DataFrame, dims: Dimensions, spec: FormSpec = MONITORING) -> DataFrame:
     """Submission × (57 questions + 18 per team) with areas, labels and category sizes."""
-    return _all_answers(form, dims, remarks=True).select(
+    return _all_answers(form, dims, True, spec).select(
         *VISIT, *ANSWER, F.col("no_of_questions").cast("int").alias("no_of_questions")
     )
 
 
-def facility_scores(form: DataFrame, dims: Dimensions, categories: int = CATEGORIES) -> DataFrame:
+def facility_scores(form: DataFrame, dims: Dimensions, categories: int = CATEGORIES, spec: FormSpec = MONITORING) -> DataFrame:
     """Submission: percent of complete categories and its band.
 
     The answers of all teams of a visit count against one category size.
     """
-    answered = drop_unanswered(_all_answers(form, dims, remarks=False), "indicators_value")
+    answered = drop_unanswered(_all_answers(form, dims, False, spec), "indicators_value")
     scored = monitoring_score(category_proportion(answered, VISIT), VISIT, categories)
     return scored.withColumnRenamed("vaccine_label", "vaccine_administered").select(
         "id", DAY, *PLACES, "latitude", "longitude", "vaccine_administered", "overall_facility_proportion",

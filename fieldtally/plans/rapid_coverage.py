@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.forms import RAPID_COVERAGE
+from fieldtally.forms import RAPID_COVERAGE, FormSpec
 from fieldtally.forms.rapid_coverage import CHILDREN_COUNTS, INFORMATION_SOURCES, NOT_VACCINATED, REASONS
-from fieldtally.functions import fixed_width, whole_number
+from fieldtally.functions import fixed_width, typed
 from fieldtally.operators.lookup import admin_lookup, choice_lookup
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.repeat import explode_group, group_total
 from fieldtally.operators.reshape import drop_unanswered, unpivot_crosstab, unpivot_pairs
 from fieldtally.plans.dims import PLACES, Dimensions
 
-REPEAT = RAPID_COVERAGE.repeat
 SUBMISSION = ("submission_id", "rca_date", *PLACES[:4], "latitude", "longitude", "admin5", "vaccine_administered")
 
 
@@ -34,12 +33,13 @@ def _submissions(form: DataFrame, dims: Dimensions, labels: DataFrame, *more: st
     return named.withColumn("iso2_code", fixed_width("iso2_code", 50))
 
 
-def children(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
+def children(form: DataFrame, dims: Dimensions, labels: DataFrame, spec: FormSpec = RAPID_COVERAGE) -> DataFrame:
     """Submission × age group × status × sex: number of children."""
     rows = explode_group(
-        _submissions(form, dims, labels, "vaccination"), REPEAT, [*SUBMISSION, "iso2_code"],
+        _submissions(form, dims, labels, "vaccination"), spec.repeat, [*SUBMISSION, "iso2_code"],
         only=("age_group_label", *[c for _, _, c in CHILDREN_COUNTS]), column="vaccination",
     )
+    rows = rows.withColumns({c: typed(c, "bigint", spec.repeat.on_error) for _, _, c in CHILDREN_COUNTS})
     long = unpivot_crosstab(
         rows, [*SUBMISSION, "age_group_label", "iso2_code"], CHILDREN_COUNTS,
         ("rca_category", "indicator_category", "indicator_value"),
@@ -47,7 +47,7 @@ def children(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
     return long.select(*SUBMISSION, "age_group_label", "rca_category", "indicator_category", "indicator_value", "iso2_code")
 
 
-def submissions(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
+def submissions(form: DataFrame, dims: Dimensions, labels: DataFrame, spec: FormSpec = RAPID_COVERAGE) -> DataFrame:
     """Submission: doors visited, mop-up, who conducted it and children not vaccinated.
 
     The total is taken over the submission's own repeat group, without grouping or joining back.
@@ -58,7 +58,7 @@ def submissions(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFra
     named = choice_lookup(named, labels, "conducted_by", "conductor_code", "conducted_by")
     return named.select(
         *SUBMISSION, F.col("doors_visited").cast("bigint").alias("doors_visited"), "rca_mop_up", "conducted_by",
-        group_total(REPEAT, missed, "vaccination").alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
+        group_total(spec.repeat, missed, "vaccination").alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
     )
 
 
@@ -70,11 +70,12 @@ def information_sources(form: DataFrame, dims: Dimensions, labels: DataFrame) ->
     )
 
 
-def not_vaccinated_reasons(form: DataFrame, dims: Dimensions, labels: DataFrame) -> DataFrame:
+def not_vaccinated_reasons(form: DataFrame, dims: Dimensions, labels: DataFrame,
+                           spec: FormSpec = RAPID_COVERAGE) -> DataFrame:
     """Submission × age group × reason: number of children, answered only; id and date stay text."""
     named = _submissions(form, dims, labels, "vaccination", as_text=True)
-    rows = explode_group(named, REPEAT, SUBMISSION, only=[c for _, c in REASONS], column="vaccination")
-    cells = rows.withColumns({c: whole_number(c) for _, c in REASONS})
+    rows = explode_group(named, spec.repeat, SUBMISSION, only=[c for _, c in REASONS], column="vaccination")
+    cells = rows.withColumns({c: typed(c, "bigint", spec.repeat.on_error) for _, c in REASONS})
     return drop_unanswered(unpivot_pairs(cells, SUBMISSION, REASONS, "reasons", "reasons_value"), "reasons_value")
 
 

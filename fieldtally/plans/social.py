@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.forms import SOCIAL
+from fieldtally.forms import SOCIAL, FormSpec
 from fieldtally.forms.social import MOBILIZATION, REFUSALS_ADDRESSED, RUMOURS
-from fieldtally.functions import fixed_width, resolve_other
+from fieldtally.functions import fixed_width, resolve_other, typed
 from fieldtally.operators.lookup import admin_lookup
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.repeat import parse_repeat, repeat_field
@@ -19,7 +19,7 @@ COLUMNS = (
 )
 
 
-def indicators(form: DataFrame, dims: Dimensions, fanout: bool = True) -> DataFrame:
+def indicators(form: DataFrame, dims: Dimensions, fanout: bool = True, spec: FormSpec = SOCIAL) -> DataFrame:
     """Submission × indicator (rumours, mobilization activities, one per refusal row).
 
     Each indicator row appears once per refusal row of its submission, beside that row's vaccine, and
@@ -27,20 +27,20 @@ def indicators(form: DataFrame, dims: Dimensions, fanout: bool = True) -> DataFr
     (9 + n) × max(n, 1) rows. ``fanout=False`` keeps one row per indicator and no vaccine. Both
     expansions happen inside the submission, whose repeat group the form bounds.
     """
-    repeat = SOCIAL.repeat
+    repeat = spec.repeat
     base = form.select(
         F.col("id").cast("bigint").alias("id"),
         F.col("assessment_date").cast("date").alias("assessment_date"),
-        *[f"admin{i}" for i in range(1, SOCIAL.levels + 1)],
+        *[f"admin{i}" for i in range(1, spec.levels + 1)],
         resolve_other("conducted_by", "conducted_by_other").alias("conducted_by"),
         "submitted_at", "modified_at", "enumerator",
         *[c for _, c in RUMOURS + MOBILIZATION],
-        parse_repeat("refusals", repeat.path, ("vaccine_label", "refusals_addressed")).alias("_refusals"),
+        parse_repeat("refusals", repeat.path, ("vaccine_label", "refusals_addressed"), repeat.on_error).alias("_refusals"),
     )
-    named = admin_lookup(base, dims.areas, SOCIAL.levels, iso=dims.iso, spread_by=["id"])
+    named = admin_lookup(base, dims.areas, spec.levels, iso=dims.iso, spread_by=["id"])
 
     def cell(label: str, value: Column) -> Column:
-        return F.struct(F.lit(label).alias("indicators_category"), value.cast("bigint").alias("indicators_value"))
+        return F.struct(F.lit(label).alias("indicators_category"), typed(value, "bigint", repeat.on_error).alias("indicators_value"))
 
     counted = F.array(*[cell(label, F.col(c)) for label, c in RUMOURS + MOBILIZATION])
     addressed = F.transform(

@@ -8,10 +8,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldtally.forms import ACTIVITY, FORMS, MONITORING, RAPID_COVERAGE, SOCIAL, TARGET
-from fieldtally.forms.base import Repeat
+from fieldtally.forms import FORMS, FormSpec
 from fieldtally.operators.ingest import clean_form
-from fieldtally.operators.publish import ensure_namespaces, publish, publish_alias
+from fieldtally.operators.publish import ensure_namespaces, publish, publish_alias, publish_projection, recent_rows
 from fieldtally.operators.repeat import explode_group
 from fieldtally.plans import immunization, monitoring, rapid_coverage, readiness, social
 from fieldtally.plans.dims import Dimensions
@@ -20,13 +19,21 @@ from fieldtally.sources import rename_choices
 
 @dataclass(frozen=True)
 class Inputs:
-    """Landed forms and choice tables by form name, dimensions, calendar, and the day reports are as of."""
+    """Landed forms and choice tables by form name, dimensions, calendar, and the day reports are as of.
+
+    ``specs`` declares the forms: a country changes questions, groups or types with
+    ``dataclasses.replace`` and reads malformed text as NULL with ``spec.lenient()``. The two counts are
+    how many question categories make a complete readiness assessment and a complete monitoring visit.
+    """
 
     forms: dict[str, DataFrame]
     choices: dict[str, DataFrame]
     dims: Dimensions
     spine: DataFrame
     as_of: date | str | None = None
+    specs: dict[str, FormSpec] = field(default_factory=lambda: dict(FORMS))
+    readiness_categories: int = readiness.CATEGORIES
+    monitoring_categories: int = monitoring.CATEGORIES
 
 
 Get = Callable[[str], DataFrame]
@@ -34,21 +41,25 @@ Get = Callable[[str], DataFrame]
 
 @dataclass(frozen=True)
 class Table:
-    """One table: how to build it, the day its partitions follow, and whether it only renames another."""
+    """One table: how to build it, the day its partitions follow, and whether it only renames another
+    or shows the listed columns of another."""
 
     name: str
     build: Callable[[Get, Inputs], DataFrame]
     month_of: str | None = None
     same_as: str | None = None
+    shown_from: tuple[str, tuple[str, ...]] | None = None
 
 
-def _repeat_rows(form: DataFrame, repeat: Repeat, column: str, *keys: str) -> DataFrame:
-    rows = explode_group(form, repeat, keys, column=column)
-    return rows.select(*[c for c in rows.columns if c not in keys], *keys)
+def _repeat(form: str, column: str, *keys: str) -> Callable[[Get, Inputs], DataFrame]:
+    def build(get: Get, src: Inputs) -> DataFrame:
+        rows = explode_group(get(f"clean.{form}"), src.specs[form].repeat, keys, column=column)
+        return rows.select(*[c for c in rows.columns if c not in keys], *keys)
+    return build
 
 
 def _clean(name: str) -> Callable[[Get, Inputs], DataFrame]:
-    return lambda get, src: clean_form(src.forms[name], FORMS[name])
+    return lambda get, src: clean_form(src.forms[name], src.specs[name])
 
 
 def _choices(name: str) -> Callable[[Get, Inputs], DataFrame]:
@@ -59,6 +70,12 @@ def _same(name: str, as_: str) -> Table:
     return Table(name, lambda get, src: get(as_), same_as=as_)
 
 
+def _shown(name: str, source: str, columns: Sequence[str], build: Callable[[DataFrame], DataFrame]) -> Table:
+    return Table(name, lambda get, src: build(get(source)), shown_from=(source, tuple(columns)))
+
+
+#: Columns that reporting views show as dates.
+STAMPS = ("submitted_at", "modified_at")
 DAY = "date_vaccination_activity"
 RAW_KEYS = ("_airbyte_ab_id", "_airbyte_emitted_at")
 
@@ -66,24 +83,27 @@ TABLES: tuple[Table, ...] = (
     Table("clean.readiness_labels", _choices("readiness")),
     Table("clean.readiness", _clean("readiness")),
     Table("staging.hc_assessment",
-          lambda get, src: readiness.question_answers(get("clean.readiness"), src.dims)),
+          lambda get, src: readiness.question_answers(get("clean.readiness"), src.dims, src.specs["readiness"])),
     Table("staging.hcl_monitoring_assessment",
-          lambda get, src: readiness.assessment(get("clean.readiness"), src.dims)),
+          lambda get, src: readiness.assessment(get("clean.readiness"), src.dims, src.specs["readiness"])),
     Table("staging.ready_facilities",
-          lambda get, src: readiness.ready_facilities(get("clean.readiness"), src.dims)),
-    Table("public.hcl_monitoring_assessment",
-          lambda get, src: readiness.public_assessment(get("staging.hcl_monitoring_assessment"))),
+          lambda get, src: readiness.ready_facilities(
+              get("clean.readiness"), src.dims, src.specs["readiness"], src.readiness_categories)),
+    _shown("public.hcl_monitoring_assessment", "staging.hcl_monitoring_assessment",
+           readiness.ASSESSMENT_COLUMNS, readiness.public_assessment),
     _same("public.ready_facilities", "staging.ready_facilities"),
 
     Table("clean.rca_labels", _choices("rapid_coverage")),
     Table("clean.rapid_coverage", _clean("rapid_coverage")),
     Table("clean.rapid_coverage_vaccination",
-          lambda get, src: _repeat_rows(get("clean.rapid_coverage"), RAPID_COVERAGE.repeat, "vaccination", *RAW_KEYS)),
+          _repeat("rapid_coverage", "vaccination", *RAW_KEYS)),
     Table("staging.rca_actuals",
-          lambda get, src: rapid_coverage.children(get("clean.rapid_coverage"), src.dims, get("clean.rca_labels")),
+          lambda get, src: rapid_coverage.children(
+              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"]),
           month_of="rca_date"),
     Table("staging.rca",
-          lambda get, src: rapid_coverage.submissions(get("clean.rapid_coverage"), src.dims, get("clean.rca_labels")),
+          lambda get, src: rapid_coverage.submissions(
+              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"]),
           month_of="rca_date"),
     Table("staging.rca_sources_info",
           lambda get, src: rapid_coverage.information_sources(
@@ -91,69 +111,71 @@ TABLES: tuple[Table, ...] = (
           month_of="rca_date"),
     Table("staging.rca_not_vaccinated_reasons",
           lambda get, src: rapid_coverage.not_vaccinated_reasons(
-              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"))),
+              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"])),
     _same("public.rca_actuals", "staging.rca_actuals"),
-    Table("public.rca", lambda get, src: rapid_coverage.public_submissions(get("staging.rca"))),
+    _shown("public.rca", "staging.rca",
+           rapid_coverage.PUBLIC_COLUMNS, rapid_coverage.public_submissions),
     _same("public.rca_sources_info", "staging.rca_sources_info"),
     _same("public.rca_not_vaccinated_reasons", "staging.rca_not_vaccinated_reasons"),
 
     Table("clean.sia_labels", _choices("activity")),
     Table("clean.activity", _clean("activity"), month_of=DAY),
     Table("clean.activity_vaccine",
-          lambda get, src: _repeat_rows(get("clean.activity"), ACTIVITY.repeat, "vaccine", "_airbyte_ab_id")),
+          _repeat("activity", "vaccine", "_airbyte_ab_id")),
     Table("clean.target", _clean("target")),
     Table("clean.target_children",
-          lambda get, src: _repeat_rows(get("clean.target"), TARGET.repeat, "target_children", "_airbyte_ab_id")),
+          _repeat("target", "target_children", "_airbyte_ab_id")),
     Table("staging.sia_actuals",
-          lambda get, src: immunization.actuals(get("clean.activity"), src.dims), month_of=DAY),
-    Table("staging.sia_targets", lambda get, src: immunization.targets(get("clean.target"), src.dims)),
+          lambda get, src: immunization.actuals(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY),
+    Table("staging.sia_targets", lambda get, src: immunization.targets(get("clean.target"), src.dims, src.specs["target"])),
     Table("staging.sia_vaccine_dose",
           lambda get, src: immunization.doses(get("clean.activity"), src.dims), month_of=DAY),
     Table("staging.aggregated_sia_actuals_target",
           lambda get, src: immunization.daily_against_target(
               get("clean.activity"), get("staging.sia_targets"), get("staging.sia_vaccine_dose"), src.dims,
-              src.spine, src.as_of),
+              src.spine, src.as_of, src.specs["activity"]),
           month_of="date"),
     Table("staging.sia_actuals_target",
           lambda get, src: immunization.daily_by_age_group(
-              get("clean.activity"), get("staging.sia_targets"), src.dims, src.spine, src.as_of),
+              get("clean.activity"), get("staging.sia_targets"), src.dims, src.spine, src.as_of, src.specs["activity"]),
           month_of="date"),
     Table("staging.deferred_refused_reasons",
-          lambda get, src: immunization.unreached_reasons(get("clean.activity"), src.dims), month_of=DAY),
+          lambda get, src: immunization.unreached_reasons(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY),
     Table("staging.sia_records",
           lambda get, src: immunization.records(get("clean.activity"), src.dims), month_of=DAY),
     _same("public.sia_actuals", "staging.sia_actuals"),
     _same("public.aggregated_sia_actuals_target", "staging.aggregated_sia_actuals_target"),
     _same("public.sia_actuals_targets", "staging.sia_actuals_target"),
     _same("public.sia_deferred_refused_reasons", "staging.deferred_refused_reasons"),
-    Table("public.sia_records", lambda get, src: immunization.public_records(get("staging.sia_records"))),
+    _shown("public.sia_records", "staging.sia_records",
+           immunization.RECORD_COLUMNS, immunization.public_records),
 
     Table("clean.social", _clean("social")),
     Table("clean.social_refusals",
-          lambda get, src: _repeat_rows(get("clean.social"), SOCIAL.repeat, "refusals", "id")),
+          _repeat("social", "refusals", "id")),
     Table("staging.social_mobilization_indicators",
-          lambda get, src: social.indicators(get("clean.social"), src.dims)),
-    Table("public.social_mobilization_indicators",
-          lambda get, src: social.public_indicators(get("staging.social_mobilization_indicators"))),
+          lambda get, src: social.indicators(get("clean.social"), src.dims, spec=src.specs["social"])),
+    _shown("public.social_mobilization_indicators", "staging.social_mobilization_indicators",
+           social.COLUMNS, social.public_indicators),
 
     Table("clean.monitoring", _clean("monitoring"), month_of=DAY),
     Table("clean.monitoring_team_info",
-          lambda get, src: _repeat_rows(get("clean.monitoring"), MONITORING.repeat, "vaccination_team_info", *RAW_KEYS)),
+          _repeat("monitoring", "vaccination_team_info", *RAW_KEYS)),
     Table("staging.microplan_vaccine_management",
-          lambda get, src: monitoring.visit_questions(get("clean.monitoring"), src.dims)),
+          lambda get, src: monitoring.visit_questions(get("clean.monitoring"), src.dims, src.specs["monitoring"])),
     Table("staging.vaccination_site_questions_monitoring_tool",
-          lambda get, src: monitoring.team_questions(get("clean.monitoring"), src.dims)),
+          lambda get, src: monitoring.team_questions(get("clean.monitoring"), src.dims, src.specs["monitoring"])),
     Table("staging.monitoring_tool",
-          lambda get, src: monitoring.monitoring_tool(get("clean.monitoring"), src.dims), month_of=DAY),
+          lambda get, src: monitoring.monitoring_tool(get("clean.monitoring"), src.dims, src.specs["monitoring"]), month_of=DAY),
     Table("staging.monitored_facilities_overall_proportion",
-          lambda get, src: monitoring.facility_scores(get("clean.monitoring"), src.dims), month_of=DAY),
+          lambda get, src: monitoring.facility_scores(
+              get("clean.monitoring"), src.dims, src.monitoring_categories, src.specs["monitoring"]), month_of=DAY),
     Table("staging.vaccinated_children_under_monitoring_tool",
           lambda get, src: monitoring.vaccinated_children(get("clean.monitoring"), src.dims), month_of=DAY),
     _same("public.monitoring_tool", "staging.monitoring_tool"),
     _same("public.monitored_facilities_overall_proportion", "staging.monitored_facilities_overall_proportion"),
-    Table("public.vaccinated_children_under_monitoring_tool",
-          lambda get, src: monitoring.public_vaccinated_children(
-              get("staging.vaccinated_children_under_monitoring_tool"))),
+    _shown("public.vaccinated_children_under_monitoring_tool", "staging.vaccinated_children_under_monitoring_tool",
+           monitoring.CHILDREN_COLUMNS, monitoring.public_vaccinated_children),
 )
 
 
@@ -175,22 +197,39 @@ class Warehouse:
         """Publish the named tables (all by default) in dependency order; run it on a schedule.
 
         In table mode every later table reads the written earlier ones: each landed form is parsed
-        once, and a lost executor costs at most the tasks of the table being written. ``since`` limits
-        the rewrite of month-partitioned tables to submissions of that month and later; it has to
-        reach back to the earliest day, old or new, of a submission changed since the last refresh.
+        once, and a lost executor costs at most the tasks of the table being written. Tables that rename
+        or show another become catalog views of it, for all sessions. ``since`` limits the rewrite of
+        month-partitioned tables, and what they read of such tables, to that month and later and to rows
+        without a day; it has to reach back to the earliest day, old or new, of a submission changed
+        since the last refresh.
         """
         if mode == "table":
             ensure_namespaces(spark)
         for table in TABLES:
             if names is not None and table.name not in names:
                 continue
-            frame = table.build(self.__getitem__, self.inputs)
-            if table.same_as in self.published and mode == "table":
-                self.frames[table.name] = publish_alias(spark, table.name, table.same_as, frame.columns)
+            source, columns = table.shown_from or (table.same_as, ())
+            if mode == "table" and source in self.published:
+                if table.shown_from:
+                    frame = publish_projection(spark, table.name, source, columns, STAMPS)
+                else:
+                    frame = publish_alias(spark, table.name, source, self[source].columns)
             else:
-                self.frames[table.name] = publish(frame, table.name, mode, table.month_of, since)
+                frame = table.build(self._reader(spark, table, mode, since), self.inputs)
+                frame = publish(frame, table.name, mode, table.month_of, since)
+            self.frames[table.name] = frame
             self.published.add(table.name)
         return {t.name: self.frames[t.name] for t in TABLES if t.name in self.frames}
 
+    def _reader(self, spark: SparkSession, table: Table, mode: str, since: str | None) -> Get:
+        """What ``table`` is built from: of written tables that follow the same day only the recent months,
+        when only these are replaced. Days of such tables are days of their sources."""
+        def get(name: str) -> DataFrame:
+            month_of = _BY_NAME[name].month_of
+            if mode == "table" and since and table.month_of and month_of and name in self.published:
+                return recent_rows(spark, name, month_of, since)
+            return self[name]
+        return get
+
 
 _BY_NAME = {t.name: t for t in TABLES}

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # a small landed file is split among the cores: opening one costs less than an idle core
+    "spark.sql.files.openCostInBytes": "262144",
 }
 
 

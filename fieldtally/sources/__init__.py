@@ -5,9 +5,7 @@ from fieldtally.sources.tables import (
     read_form,
     rename_choices,
     spine_between,
-    spread,
 )
 
 __all__ = [
-    "date_spine", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between", "spread",
-]
+    "date_spine", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between", ]

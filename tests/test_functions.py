@@ -1,9 +1,12 @@
+import itertools
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
 from conftest import rows
 from fieldtally.functions import (
     count_where, days_between, fixed_width, half_even_percent, option_tokens, resolve_other, score_band,
-    sum_of_cells, sum_where, whole_number,
+    sum_of_cells, sum_where, typed, whole_number,
 )
 from fieldtally.operators.aggregate import category_proportion, monitoring_score, readiness_score
 import pytest
@@ -78,3 +81,28 @@ def test_category_without_questions_raises(spark):
                                     "id long, indicators_category string, no_of_questions int, indicators_value string")
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         category_proportion(answers, ["id"]).collect()
+
+
+def test_readiness_is_exact_in_any_order(spark):
+    """Categories of 3, 7, 9 and 11 questions whose shares are above and below one and add up to exactly 4."""
+    sizes = {"a": (3, 4), "b": (7, 5), "c": (9, 11), "d": (21, 15), "e": (9, 4)}  # 4/3 + 5/7 + 11/9 + 15/21 + 4/9
+    total = sum(Fraction(yes, size) for size, yes in sizes.values())
+    sizes["f"] = ((4 - total) * total.denominator).denominator * total.denominator, int((4 - total) * total.denominator)
+    assert sum(Fraction(yes, size) for size, yes in sizes.values()) == 4
+    for order in itertools.islice(itertools.permutations(sizes), 0, 720, 90):
+        rows_ = [(1, c, sizes[c][0], sizes[c][1], sizes[c][1] / sizes[c][0]) for c in order] + [(1, None, None, 1, None)]
+        frame = spark.createDataFrame(
+            rows_, "id long, indicators_category string, no_of_questions int, yes_count long, yes_category_proportion double")
+        assert rows(readiness_score(frame.coalesce(1), ["id"], categories=4), "readiness_value", "facility_ready") == [(4.0, "Yes")]
+    third = frame.where("indicators_category = 'a'")
+    assert rows(readiness_score(third, ["id"]), "readiness_value", "facility_ready") == [(4 / 3, "No")]
+    none = frame.where("indicators_category is null")
+    assert rows(readiness_score(none, ["id"]), "readiness_value", "facility_ready") == [(None, "No")]
+
+
+def test_lenient_numbers(spark):
+    frame = spark.createDataFrame([("5",), ("5.0",), ("many",)], "t string")
+    assert rows(frame, typed("t", "bigint", "null")) == [(5,), (None,), (None,)]
+    assert rows(frame, whole_number("t", "null")) == [(5,), (5,), (None,)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        frame.select(typed("t", "bigint")).collect()

@@ -10,7 +10,7 @@ from fieldtally.forms import ACTIVITY, FORMS, MONITORING, READINESS, SOCIAL, Que
 from fieldtally.operators.ingest import apply_types, clean_form, clean_name, strip_group_prefix
 from fieldtally.operators.repeat import explode_group, explode_repeat, explode_select_multiple
 from fieldtally.operators.reshape import unpivot_crosstab, unpivot_pairs, unpivot_questions
-from fieldtally.sources import date_spine, read_choice_labels, read_dim, read_form, spine_between, spread
+from fieldtally.sources import date_spine, read_choice_labels, read_dim, read_form, spine_between
 from landed import form, group
 
 
@@ -137,8 +137,12 @@ def test_landed_json_and_choices(spark, tmp_path):
     assert read_choice_labels(spark, "choices").columns == ["question", "code", "label"]
 
 
-def test_spread_only_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, 1, cores // 2)
-    assert spread(wide) is wide
+def test_building_a_frame_starts_no_job(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) as `_id`").write.parquet(str(tmp_path / "form"))
+    spark.range(10).selectExpr("cast(id % 3 as string) as `_id`").groupBy("_id").count().createOrReplaceTempView("grouped")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    frame = clean_form(read_form(spark, SOCIAL, str(tmp_path / "form")), SOCIAL)
+    spark.table("grouped").select("_id")
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert frame.count() == 100
