@@ -5,11 +5,12 @@ All suffixes of a large corpus cannot meet in one merge, so strings that can be
 A string of `length` bytes is keyed by the smallest hash among the `GRAM`-byte pieces inside it. Equal strings have
 equal keys, and neighbouring strings mostly have the same one, so a text falls into segments: runs of places with
 one key, with the bytes that the last of these strings reaches. Two strings can only be equal if their segments'
-keys are, and a key that occurs under one document id only cannot repeat anything.
+keys are, and a key that occurs in copies of one text only cannot repeat anything but the whole text.
 
 * Documents are packed into compressed chunks of about 8 MB of text, each one row, written to the shared folder.
-* Each chunk gives its distinct keys with the smallest and largest id; keys met under two ids return to the chunks
-  that have them. A key has at most one row a chunk, however often its passage occurs.
+* Whole texts are compared by a hash: a copy of a text with a smaller id is removed as a whole.
+* Each chunk gives its distinct keys with the smallest and largest hash of a text; keys met in two texts return to
+  the chunks that have them. A key has at most one row a chunk, however often its passage occurs.
 * Each chunk sends the distinct segments under such keys with their smallest ids. Keys are dealt into buckets of
   bounded size. In a bucket equal segments are put together; a key left with one segment has nothing to be merged
   with. All others are dealt into shards, the shards' transforms are built and merged by interleave refinement
@@ -17,8 +18,8 @@ keys are, and a key that occurs under one document id only cannot repeat anythin
 * Back come the places of a segment where a smaller id than the chunk's own was found, as bits of one number. In
   the chunk, a later document with the same segment repeats it whole.
 
-Segment contents are told apart by 64-bit hashes when they are put together and sent back; the merge works on the
-bytes. Defined cases: null and empty texts have nothing to remove; strings never cross documents; rows with equal
+Texts and segment contents are told apart by 64-bit hashes when they are put together and sent back, texts that
+share a key by 40 bits; the merge works on the bytes. Defined cases: null and empty texts have nothing to remove; strings never cross documents; rows with equal
 ids do not remove each other's bytes; a null id counts as larger than all others; cuts may fall inside a
 character, so kept bytes are bytes, not text.
 """
@@ -30,9 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtally.llm.bwt import least_by_repeat
@@ -43,7 +45,7 @@ GRAM = 16
 #: Places of a segment, at most; their bits fit a long.
 MOST = 63
 LAST_ID = 2**63 - 1
-CHUNK = "chunk bigint, doc_ids array<bigint>, ends array<bigint>, body binary"
+CHUNK = "chunk bigint, doc_ids array<bigint>, prints array<bigint>, ends array<bigint>, body binary"
 KEPT = "doc_id bigint, n_bytes bigint, spans array<struct<first:bigint,last:bigint>>, kept binary"
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 _HERE = 256_000  # bytes scanned together: the arrays stay in a core's cache
@@ -53,23 +55,25 @@ def pack(docs: DataFrame, chunk_bytes: int = 8_000_000) -> DataFrame:
     """Chunks of documents, each with the ids, where each text ends, and all texts compressed together."""
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        ids, parts, sizes, held = [], [], [], 0
+        ids, prints, parts, sizes, held = [], [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            body = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+            body = zstandard.ZstdCompressor(level=5).compress(b"".join(parts))
             return pa.RecordBatch.from_pydict(
-                {"chunk": [(part << 32) | number], "doc_ids": [np.concatenate(ids)], "ends": [np.cumsum(np.concatenate(sizes))],
-                 "body": [body]}, schema=pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-                                                    ("ends", pa.list_(pa.int64())), ("body", pa.binary())]))
+                {"chunk": [(part << 32) | number], "doc_ids": [np.concatenate(ids)], "prints": [np.concatenate(prints)],
+                 "ends": [np.cumsum(np.concatenate(sizes))], "body": [body]},
+                schema=pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("prints", pa.list_(pa.int64())),
+                                  ("ends", pa.list_(pa.int64())), ("body", pa.binary())]))
 
         for batch, data, at in slices(batches, limit=chunk_bytes // 4):
             ids.append(batch.column(0).fill_null(LAST_ID).to_numpy())
             sizes.append(np.diff(at))
             parts.append(data.tobytes())
+            prints.append(np.array([xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(at[:-1], at[1:])], np.uint64).view(np.int64))
             held += len(data)
             if held >= chunk_bytes:
                 yield closed()
-                number, ids, parts, sizes, held = number + 1, [], [], [], 0
+                number, ids, prints, parts, sizes, held = number + 1, [], [], [], [], 0
         if ids:
             yield closed()
 
@@ -153,18 +157,21 @@ def _least(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _keys(chunks: DataFrame, length: int) -> DataFrame:
-    """chunk, key, low, high: each chunk's distinct keys with the smallest and largest id under them."""
+    """chunk, key, low, high: each chunk's distinct keys with the smallest and largest hash of a text under them; high
+    is 0 where they are the same."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk, ids, ends, body = _row(batch, i, "chunk", "doc_ids", "ends", "body")
+                chunk, prints, ends, body = _row(batch, i, "chunk", "prints", "ends", "body")
+                prints = (prints.view(np.uint64) >> np.uint64(24)).astype(np.int64)
                 held = [(np.zeros(0, np.int64),) * 3]
-                for own, data, at in _parts(ids, ends, body):
+                for own, data, at in _parts(prints, ends, body):
                     s = Segments(data, at, length)
                     held.append(_least(s.key, own[s.text]) if len(s.key) else held[0])
                 k, low, high = (np.concatenate([x[j] for x in held]) for j in range(3))
                 key, low, _ = _least(k, low)
                 _, _, high = _least(k, high)
+                high[high == low] = 0
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), chunk)), pa.array(key), pa.array(low), pa.array(high)],
                                                  ["chunk", "key", "low", "high"])
 
@@ -179,14 +186,14 @@ def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _segments(chunks: DataFrame, length: int) -> DataFrame:
-    """chunk, key, content (its hash), low, segment: the distinct segments under the keys each chunk got back."""
+    """chunk, key, low, segment: the distinct segments under the keys each chunk got back, and their smallest ids."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk, ids, ends, body, shared = _row(batch, i, "chunk", "doc_ids", "ends", "body", "shared")
                 shared = np.sort(shared)
                 seen: dict[int, int] = {}
-                keys, contents, lows, bodies = [], [], [], []
+                keys, lows, bodies = [], [], []
                 for own, data, at in _parts(ids, ends, body):
                     s = Segments(data, at, length)
                     of = np.flatnonzero(_member(shared, s.key))
@@ -201,21 +208,23 @@ def _segments(chunks: DataFrame, length: int) -> DataFrame:
                         else:
                             seen[c] = len(keys)
                             keys.append(s.key[j])
-                            contents.append(c)
                             lows.append(least)
                             bodies.append(raw[s.first[j]: s.last[j] + length - 1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()), pa.array(contents, pa.int64()),
-                     pa.array(lows, pa.int64()), pa.array(bodies, pa.binary())], ["chunk", "key", "content", "low", "segment"])
+                    [pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()),
+                     pa.array(lows, pa.int64()), pa.array(bodies, pa.binary())], ["chunk", "key", "low", "segment"])
 
-    return chunks.mapInArrow(scan, "chunk bigint, key bigint, content bigint, low bigint, segment binary")
+    return chunks.mapInArrow(scan, "chunk bigint, key bigint, low bigint, segment binary")
 
 
 def _repeated(segments: DataFrame, length: int, buckets: int, shard_bytes: int) -> DataFrame:
     """chunk, content, places: bits of the places at which a string starts that has a smaller id than `low`."""
     def merge(group: pa.Table) -> pa.Table:
-        key, content, low, chunk = (group[c].combine_chunks().to_numpy() for c in ("key", "content", "low", "chunk"))
+        key, low, chunk = (group[c].combine_chunks().to_numpy() for c in ("key", "low", "chunk"))
         segment = group["segment"].combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(pa.compute.binary_length(segment).to_numpy().astype(np.int64))])
+        data = np.frombuffer(b"".join(segment.to_pylist()), np.uint8)
+        content = Hashed(data).spans(ends[:-1], ends[1:]).view(np.int64)
         _, first, which = np.unique(content, return_index=True, return_inverse=True)
         least = np.full(len(first), LAST_ID)
         np.minimum.at(least, which, low)
@@ -224,7 +233,7 @@ def _repeated(segments: DataFrame, length: int, buckets: int, shard_bytes: int)
         strings = segment.take(pa.array(first[several])).to_pylist()
         places = np.zeros(len(content), np.int64)
         # a key's only segment: all its strings have its smallest id
-        size = pa.compute.binary_length(segment).to_numpy().astype(np.int64) - length + 1
+        size = np.diff(ends) - length + 1
         single = n[under][which] == 1
         smaller = single & (least[which] < low)
         places[smaller] = (np.int64(1) << size[smaller]) - 1
@@ -253,9 +262,11 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, ends, body, shared, contents, places = _row(
-                    batch, i, "doc_ids", "ends", "body", "shared", "contents", "places")
-                shared = np.sort(shared)
+                ids, ends, body, shared, contents, places, copies = _row(
+                    batch, i, "doc_ids", "ends", "body", "shared", "contents", "places", "copies")
+                shared, done = np.sort(shared), 0
+                copied = np.zeros(len(ids), bool)
+                copied[copies] = True
                 order = np.argsort(contents, kind="stable")
                 contents, places = contents[order], places[order]
                 # first the smallest id of each shared segment in this chunk, then its documents' places
@@ -268,10 +279,14 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
                     low.append(_least(content, doc)[:2] if len(of) else low[0])
                 known, least, _ = _least(*(np.concatenate([x[j] for x in low]) for j in range(2)))
                 for own, data, at, first, last, content, doc in kept:
-                    yield _cleaned(own, data, at, first, last, content, doc, known, least, contents, places, length)
+                    whole = copied[done: done + len(own)] & (np.diff(at) >= length)
+                    done += len(own)
+                    yield _cleaned(own, data, at, whole, first, last, content, doc, known, least, contents, places, length)
 
-    def _cleaned(own, data, at, first, last, content, doc, known, least, contents, places, length):
+    def _cleaned(own, data, at, whole, first, last, content, doc, known, least, contents, places, length):
         starts = np.zeros(len(data) + 1, np.int32)
+        np.add.at(starts, at[:-1][whole], 1)
+        np.add.at(starts, at[1:][whole], -1)
         if len(first):
             later = doc > least[np.searchsorted(known, content)]
             np.add.at(starts, first[later], 1)
@@ -309,15 +324,20 @@ def remove(docs: DataFrame, length: int = 50, chunk_bytes: int = 8_000_000, buck
         raise ValueError(f"strings have to be {GRAM} bytes long or longer")
     chunks = pack(texts(docs), chunk_bytes)
     n = partitions(docs.sparkSession)
-    # one shuffle serves both the smallest and largest id of a key and what returns to the chunks
-    keys = _keys(chunks, length).repartition(n, "key")
-    met = keys.groupBy("key").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("key")
-    shared = saved(keys.select("key", "chunk").join(met.hint("shuffle_hash"), "key").groupBy("chunk")
-                   .agg(F.collect_list("key").alias("shared")), "shared")
-    asking = chunks.join(shared, "chunk", "left")
-    segments = saved(_segments(asking.where(F.col("shared").isNotNull()), length), "segments")
-    size = segments.agg(F.sum(F.length("segment") + 40)).first()[0] or 0
-    found = (_repeated(segments, length, max(n, -(-size // bucket_bytes)), shard_bytes)
+    under = Window.partitionBy("key")  # a row a chunk and key
+    met = (_keys(chunks, length).repartition(n, "key")
+           .withColumn("least", F.min("low").over(under)).withColumn("most", F.max(F.greatest("low", "high")).over(under))
+           .where("least < most").groupBy("chunk").agg(F.collect_list("key").alias("shared")))
+    texts_of = chunks.select("chunk", F.posexplode(F.arrays_zip("prints", "doc_ids")).alias("place", "of")).select(
+        "chunk", "place", F.col("of.prints").alias("print"), F.col("of.doc_ids").alias("id"))
+    first = texts_of.groupBy("print").agg(F.min("id").alias("first"))
+    copies = (texts_of.join(first, "print").where("id > first").groupBy("chunk")
+              .agg(F.collect_list(F.col("place").cast("long")).alias("copies")))
+    known = saved(met.join(copies, "chunk", "full_outer"), "shared")
+    pairs = known.agg(F.sum(F.size("shared"))).first()[0] or 0
+    asking = chunks.join(known, "chunk", "left")
+    segments = _segments(asking.where(F.col("shared").isNotNull()), length)
+    found = (_repeated(segments, length, max(n, -(-2 * length * pairs // bucket_bytes)), shard_bytes)
              .groupBy("chunk").agg(F.collect_list("content").alias("contents"), F.collect_list("places").alias("places")))
     return _removed(asking.join(found, "chunk", "left"), length)
 
