@@ -61,7 +61,7 @@ class Bags:
         shift = np.uint64(64 - BITS)
         pairs = np.unique((np.concatenate([sentence[owner], sentence[owner[opening]]]) << BITS)
                           | np.concatenate([h >> shift, opening_h >> shift]).astype(np.int64))
-        self.feature, self.sentence = pairs & ((1 << BITS) - 1), pairs >> BITS
+        self.feature, self.sentence = (pairs & ((1 << BITS) - 1)).astype(np.int32), (pairs >> BITS).astype(np.int32)
 
     def logits(self, weights: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.sentence, weights=weights[self.feature], minlength=len(self.text))
@@ -79,17 +79,19 @@ def fit(bags: list[tuple[Bags, np.ndarray]], least: int = 10, rounds: int = 30,
     size = 1 << BITS
     met = np.zeros(size, np.int64)
     for bag, _ in bags:
-        met += np.bincount(np.unique(bag.text[bag.sentence] * size + bag.feature) % size, minlength=size)
+        features, texts_with = np.unique(np.unique(bag.text[bag.sentence] * size + bag.feature) % size, return_counts=True)
+        met[features] += texts_with
     used = np.flatnonzero(met >= least)
-    place = np.full(size, len(used))
+    place = np.full(size, -1, np.int32)
     place[used] = np.arange(len(used))
     labels = np.concatenate([y for _, y in bags]) if bags else np.zeros(0)
     if not len(labels) or labels.min() == labels.max():
         return np.zeros(size), -50.0
-    weights, bias = np.zeros(len(used) + 1), -5.0  # the last weight stands for all unused features and stays 0
-    seen, seen_bias = np.full(len(used) + 1, 1e-3), 1e-3
+    weights, bias = np.zeros(len(used)), -5.0
+    seen, seen_bias = np.full(len(used), 1e-3), 1e-3
     for bag, _ in bags:
-        bag.feature = place[bag.feature]
+        known = place[bag.feature] >= 0
+        bag.feature, bag.sentence = place[bag.feature[known]], bag.sentence[known]
     for _ in range(rounds):
         for bag, y in bags:
             p, chance = bag.noisy_or(bag.logits(weights, bias), len(y))
@@ -101,12 +103,11 @@ def fit(bags: list[tuple[Bags, np.ndarray]], least: int = 10, rounds: int = 30,
             by = rate / np.sqrt(seen)
             weights -= by * step
             weights = np.sign(weights) * np.maximum(np.abs(weights) - by * sparse, 0)
-            weights[-1] = 0
             down = slope.sum() / len(y)
             seen_bias += down * down
             bias -= rate * down / np.sqrt(seen_bias)
     out = np.zeros(size)
-    out[used] = weights[:-1]
+    out[used] = weights
     return out, float(bias)
 
 
