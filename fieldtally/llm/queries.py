@@ -151,3 +151,44 @@ from documents d
 @query
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(repeats.remove(table(spark, sf_dir, "documents"), length=50))
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+CHECKS["op2_decontamination"] = f"""
+with docs as (select doc_id, {_WORDS} as w from documents),
+items as (select coalesce(item_id::varchar, '') as item, {_WORDS} as w from benchmark),
+windows as (
+    select distinct item, least(13, len(w)) as n, array_to_string(w[i:i + 12], ' ') as t
+    from (select item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) as i from items where len(w) > 0)),
+places as (
+    select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as t
+    from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+          from docs, (select distinct n from windows) where len(w) >= n)),
+hits as (select doc_id, i, p.n, item from places p join windows using (n, t)),
+counted as (select doc_id, count(distinct word) as n_hit from (select doc_id, unnest(range(i, i + n)) as word from hits) group by doc_id),
+found as (select doc_id, list_sort(list(distinct item)) as items from hits group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(items), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join counted using (doc_id) left join found using (doc_id)
+"""
+
+CHECKS["op7_suffix_repeats"] = """
+with docs as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n from documents),
+starts as (select doc_id, i, substr(h, 2 * i + 1, 100) as s from (select doc_id, h, unnest(range(0, n - 49)) as i from docs where n >= 50)),
+least as (select s, min(doc_id) as first from starts group by s having count(distinct doc_id) > 1),
+gone as (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from starts join least using (s) where first < doc_id),
+runs as (select doc_id, i, sum((before is null or i > before + 50)::int) over (partition by doc_id order by i) as run from gone),
+spans as (
+    select doc_id, min(i) as a, max(i) + 50 as z, lag(max(i) + 50, 1, 0) over (partition by doc_id order by min(i)) as kept_from
+    from runs group by doc_id, run),
+cut as (
+    select doc_id, sum(z - a)::bigint as n_removed, count(*) as n_spans, max(z) as last,
+           string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' order by a) as kept
+    from spans join docs using (doc_id) group by doc_id)
+select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) as kept_sha256
+from docs left join cut using (doc_id)
+"""
