@@ -10,7 +10,7 @@ keys are, and a key that occurs in copies of one text only cannot repeat anythin
 * Documents are packed into compressed chunks of about 8 MB of text, each one row, written to the shared folder.
 * Whole texts are compared by a hash: a copy of a text with a smaller id is removed as a whole.
 * Each chunk gives its distinct keys with the smallest and largest hash of a text; keys met in two texts return to
-  the chunks that have them. A key has at most one row a chunk, however often its passage occurs.
+  the chunks that have them. A key has at most two rows a chunk, however often its passage occurs.
 * Each chunk sends the distinct segments under such keys with their smallest ids. Keys are dealt into buckets of
   bounded size. In a bucket equal segments are put together; a key left with one segment has nothing to be merged
   with. All others are dealt into shards, the shards' transforms are built and merged by interleave refinement
@@ -157,8 +157,8 @@ def _least(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _keys(chunks: DataFrame, length: int) -> DataFrame:
-    """chunk, key, low, high: each chunk's distinct keys with the smallest and largest hash of a text under them; high
-    is 0 where they are the same."""
+    """chunk, key, print: each chunk's distinct keys with the smallest and, if it differs, the largest hash of a text
+    under them."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -171,11 +171,12 @@ def _keys(chunks: DataFrame, length: int) -> DataFrame:
                 k, low, high = (np.concatenate([x[j] for x in held]) for j in range(3))
                 key, low, _ = _least(k, low)
                 _, _, high = _least(k, high)
-                high[high == low] = 0
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), chunk)), pa.array(key), pa.array(low), pa.array(high)],
-                                                 ["chunk", "key", "low", "high"])
+                more = np.flatnonzero(high != low)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key) + len(more), chunk)), pa.array(np.append(key, key[more])),
+                     pa.array(np.append(low, high[more]))], ["chunk", "key", "print"])
 
-    return chunks.mapInArrow(scan, "chunk bigint, key bigint, low bigint, high bigint")
+    return chunks.mapInArrow(scan, "chunk bigint, key bigint, print bigint")
 
 
 def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -210,9 +211,11 @@ def _segments(chunks: DataFrame, length: int) -> DataFrame:
                             keys.append(s.key[j])
                             lows.append(least)
                             bodies.append(raw[s.first[j]: s.last[j] + length - 1])
-                yield pa.RecordBatch.from_arrays(
+                # by key, so that segments that are much alike are neighbours where they are compressed
+                rows = pa.RecordBatch.from_arrays(
                     [pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()),
                      pa.array(lows, pa.int64()), pa.array(bodies, pa.binary())], ["chunk", "key", "low", "segment"])
+                yield rows.take(pa.array(np.argsort(np.array(keys, np.int64), kind="stable")))
 
     return chunks.mapInArrow(scan, "chunk bigint, key bigint, low bigint, segment binary")
 
@@ -317,16 +320,16 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
     return chunks.mapInArrow(apply, KEPT)
 
 
-def remove(docs: DataFrame, length: int = 50, chunk_bytes: int = 8_000_000, bucket_bytes: int = 4_000_000,
+def remove(docs: DataFrame, length: int = 50, chunk_bytes: int = 8_000_000, bucket_bytes: int = 1_000_000,
            shard_bytes: int = 128_000) -> DataFrame:
     """For every document: doc_id, n_bytes, spans (maximal removed byte ranges, ends exclusive), kept (remaining bytes)."""
     if length < GRAM:
         raise ValueError(f"strings have to be {GRAM} bytes long or longer")
     chunks = pack(texts(docs), chunk_bytes)
     n = partitions(docs.sparkSession)
-    under = Window.partitionBy("key")  # a row a chunk and key
+    under = Window.partitionBy("key")  # two rows a chunk and key at most
     met = (_keys(chunks, length).repartition(n, "key")
-           .withColumn("least", F.min("low").over(under)).withColumn("most", F.max(F.greatest("low", "high")).over(under))
+           .withColumn("least", F.min("print").over(under)).withColumn("most", F.max("print").over(under))
            .where("least < most").groupBy("chunk").agg(F.collect_list("key").alias("shared")))
     texts_of = chunks.select("chunk", F.posexplode(F.arrays_zip("prints", "doc_ids")).alias("place", "of")).select(
         "chunk", "place", F.col("of.prints").alias("print"), F.col("of.doc_ids").alias("id"))
