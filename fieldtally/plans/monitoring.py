@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.forms import MONITORING, FormSpec
+from fieldtally.forms import MONITORING, FormSpec, Question
 from fieldtally.forms.monitoring import CATEGORIES, DICTIONARY_NAME, TEAM_QUESTIONS
 from fieldtally.operators.aggregate import category_proportion, monitoring_score
 from fieldtally.operators.lookup import admin_lookup, indicator_lookup, require_label
 from fieldtally.operators.publish import bi_projection
-from fieldtally.operators.repeat import explode_group
-from fieldtally.operators.reshape import drop_unanswered, union_positional, unpivot_questions
+from fieldtally.operators.repeat import explode_group, parse_repeat, repeat_field, short_name
+from fieldtally.operators.reshape import drop_unanswered, unpivot_questions
 from fieldtally.plans.dims import PLACES, Dimensions
 
 DAY = "date_vaccination_activity"
@@ -62,11 +64,23 @@ def _visits(form: DataFrame, dims: Dimensions, *columns: str) -> DataFrame:
 def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool, spec: FormSpec) -> DataFrame:
     """Submission-level and team-level answers as one table, with labels and category sizes.
 
-    Submission columns ride along, so neither branch joins back to its parent; each branch reads only
-    its own columns of the landed form.
+    All answers of a submission, its own and those of all its teams, are laid out as one array and
+    expanded at once: the form is read and its areas are labelled once.
     """
     visits = _visits(form, dims, *_question_columns(spec, remarks), TEAMS)
-    answers = union_positional(_visit_answers(visits, VISIT, spec, remarks), _team_answers(visits, VISIT, spec, remarks))
+    full = {short_name(f): f for f in spec.repeat.fields}
+    teams = parse_repeat(TEAMS, spec.repeat.path, [
+        full[c] for q in TEAM_QUESTIONS for c in ((q.value, q.remark) if remarks else (q.value,))], spec.repeat.on_error)
+
+    def cells(questions: Sequence[Question], value: Callable[[str], Column]) -> Column:
+        return F.array(*[F.struct(
+            F.lit(q.name).alias("indicator_name"), value(q.value).alias("indicators_value"),
+            *([value(q.remark).alias("indicators_remarks")] if remarks else [])) for q in questions])
+
+    asked = F.transform(teams, lambda t: cells(
+        TEAM_QUESTIONS, lambda c: repeat_field(t, spec.repeat.path, full[c], spec.repeat.fields[full[c]], spec.repeat.on_error)))
+    own = cells(spec.questions, F.col)
+    answers = visits.select(*VISIT, F.inline(F.coalesce(F.concat(own, F.flatten(asked)), own)))
     return indicator_lookup(answers, dims.indicators, DICTIONARY_NAME, dims.monitoring_questions)
 
 
