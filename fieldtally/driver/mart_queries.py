@@ -432,3 +432,18 @@ _mart("clean_social", "clean.social", f"""
            {_filled({c: f"cast({raw.social_cell(c)} as varchar)" for c in raw.SOCIAL_COLUMNS})}
     from events""", ("social",),
       columns=("id", "assessment_date", "conducted_by", "submitted_at", "modified_at", *_AREA_NAMES[:4], *raw.SOCIAL_COLUMNS))
+
+
+# ---------------------------------------------------------------- public tables that rename a staged one
+
+_mart("public_ready_facilities", "public.ready_facilities", READY_FACILITIES, ("readiness",))
+_mart("public_rca_actuals", "public.rca_actuals", RCA_ACTUALS, ("rapid_coverage",))
+_mart("public_rca_sources_info", "public.rca_sources_info", RCA_SOURCES, ("rapid_coverage",))
+_mart("public_rca_not_vaccinated_reasons", "public.rca_not_vaccinated_reasons", RCA_REASONS, ("rapid_coverage",))
+_mart("public_sia_actuals", "public.sia_actuals", SIA_ACTUALS, ("activity",))
+_mart("public_aggregated_sia_actuals_target", "public.aggregated_sia_actuals_target", AGGREGATED, ("activity", "target"))
+_mart("public_sia_actuals_targets", "public.sia_actuals_targets", BY_AGE_GROUP, ("activity", "target"))
+_mart("public_sia_deferred_refused_reasons", "public.sia_deferred_refused_reasons", SIA_REASONS, ("activity",))
+_mart("public_monitoring_tool", "public.monitoring_tool", MONITORING_TOOL, ("monitoring",))
+_mart("public_monitored_facilities_overall_proportion", "public.monitored_facilities_overall_proportion",
+      FACILITY_SCORES, ("monitoring",))

@@ -446,8 +446,9 @@ def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
         return small_table(spark, list(rows.values()), "indicators_category no_of_questions").withColumn(
             "no_of_questions", F.col("no_of_questions").cast("int"))
 
-    iso = table(spark, sf_dir, "nation").where(f"n_nationkey % {ISO_GAP} <> 0").selectExpr(
-        "n_nationkey as admin2_id", "n_name as province_label", "concat('ISO-', n_nationkey) as iso2_code"
+    iso = table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey as admin2_id", "n_name as province_label",
+        f"case when n_nationkey % {ISO_GAP} <> 0 then concat('ISO-', n_nationkey) end as iso2_code"
     )
     indicators = small_table(spark, dictionary_rows(), "form_name indicator_name indicator_label category")
     return Dimensions(
