@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from fieldtally.llm.bytescan import FOLDED, Hashed, slices, windows, words
 from fieldtally.llm.components import components, forest
-from fieldtally.llm.shared import partitions, saved, texts
+from fieldtally.llm.shared import saved, texts
 
 SIGNED = "doc_id bigint, set_a bigint, set_b bigint, n_grams bigint, bands array<bigint>"
 _SEED = 20260
@@ -116,18 +116,23 @@ def _linked(one: list[np.ndarray], other: list[np.ndarray] | None, threshold: fl
         yield i, np.flatnonzero(alike)
 
 
-def _check(members: DataFrame, n: int, threshold: float, chunk: int) -> DataFrame:
-    """`members` (component, doc_id, weight, text): for each member the weight of its links and ties (u, v) to linked ones."""
+def _check(members: DataFrame, docs: DataFrame, n: int, threshold: float, chunk: int) -> DataFrame:
+    """`members` (component, doc_id, weight): for each member the weight of its links and ties (u, v) to linked ones.
+
+    Texts join only the members, once these are dealt into pairs of chunks.
+    """
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     parts = F.ceil(F.col("size") / chunk).cast("int")
     dealt = (members.join(sizes.withColumn("parts", parts), "component")
              .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("low", F.least("part", "with")).withColumn("high", F.greatest("part", "with"))
-             .select("component", "low", "high", "part", "doc_id", "weight", "text"))
+             .select("component", "low", "high", "part", "doc_id", "weight").join(docs, "doc_id"))
 
     def check(group: pa.Table) -> pa.Table:
         group = group.sort_by("doc_id")
+        ids = group["doc_id"].combine_chunks().to_numpy()
+        group = group.filter(pa.array(np.append(True, ids[1:] != ids[:-1])))  # a repeated row came along
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         part, ids, weight = (group[c].combine_chunks().to_numpy() for c in ("part", "doc_id", "weight"))
         sets: list[np.ndarray] = []
@@ -158,9 +163,10 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
          chunk: int = 2_000) -> DataFrame:
     """For every document: doc_id, class_id (the smallest id of its near-duplicate class), representative (the smallest
     id with the same n-gram set), n_links (documents it is similar to, copies included)."""
-    docs = texts(docs).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    docs = texts(docs).where(F.col("doc_id").isNotNull())
     bands, rows = choose_bands(threshold, recall, hashes)
-    signed = saved(sign(docs, n, bands, rows), "signed")
+    # repeated rows go here, where a row is a few hundred bytes whatever its text
+    signed = saved(sign(docs, n, bands, rows).dropDuplicates(["doc_id"]), "signed")
     classes = signed.groupBy("set_a", "set_b", "n_grams").agg(F.min("doc_id").alias("representative"), F.count("*").alias("weight"))
     member = saved(signed.select("doc_id", "set_a", "set_b", "n_grams").join(classes, ["set_a", "set_b", "n_grams"])
                    .select("doc_id", "representative", "weight"), "classes")
@@ -171,12 +177,12 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.
     ties = banded.join(buckets.select("band", "least"), "band").where("doc_id <> least").select(
         F.col("doc_id").alias("u"), F.col("least").alias("v"))
     near = components(ties)
-    met = (near.select(F.col("node").alias("doc_id"), "component").join(heads, "doc_id").join(docs, "doc_id"))
-    checked = saved(_check(met, n, threshold, chunk), "links")
+    met = near.select(F.col("node").alias("doc_id"), "component").join(heads, "doc_id")
+    checked = saved(_check(met, docs, n, threshold, chunk), "links")
     links = checked.where("u = v").groupBy(F.col("u").alias("representative")).agg(F.sum("links").alias("links"))
     groups = components(checked.where("u <> v").select("u", "v")).select(
         F.col("node").alias("representative"), F.col("component").alias("class_id"))
-    return (docs.select("doc_id").join(member, "doc_id", "left").join(links, "representative", "left")
+    return (docs.select("doc_id").distinct().join(member, "doc_id", "left").join(links, "representative", "left")
             .join(groups, "representative", "left")
             .select("doc_id", F.coalesce("class_id", "representative", "doc_id").alias("class_id"),
                     F.coalesce("representative", "doc_id").alias("representative"),
