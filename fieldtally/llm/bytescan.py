@@ -143,7 +143,6 @@ def windows(h: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np
     count = np.diff(first)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(h * _power("up", n + 1)[:n], out=sums[1:])
-    whole = np.ones(n, bool)
     owner_end = np.repeat(first[1:], count)
     begin = np.arange(n, dtype=np.int64)
     whole = begin + size <= owner_end
