@@ -193,6 +193,8 @@ def _segments(chunks: DataFrame, length: int) -> DataFrame:
             for i in range(batch.num_rows):
                 chunk, ids, ends, body, shared = _row(batch, i, "chunk", "doc_ids", "ends", "body", "shared")
                 shared = np.sort(shared)
+                if not len(shared):
+                    continue
                 seen: dict[int, int] = {}
                 keys, lows, bodies = [], [], []
                 for own, data, at in _parts(ids, ends, body):
@@ -339,7 +341,8 @@ def remove(docs: DataFrame, length: int = 50, chunk_bytes: int = 8_000_000, buck
     known = saved(met.join(copies, "chunk", "full_outer"), "shared")
     pairs = known.agg(F.sum(F.size("shared"))).first()[0] or 0
     asking = chunks.join(known, "chunk", "left")
-    segments = _segments(asking.where(F.col("shared").isNotNull()), length)
+    # the same join as below, so that its shuffles are written once
+    segments = _segments(asking, length)
     found = (_repeated(segments, length, max(n, -(-2 * length * pairs // bucket_bytes)), shard_bytes)
              .groupBy("chunk").agg(F.collect_list("content").alias("contents"), F.collect_list("places").alias("places")))
     return _removed(asking.join(found, "chunk", "left"), length)
