@@ -129,6 +129,23 @@ def test_formats_are_learnt(docs):
     assert digest[5000].spans == "format:7:25" and digest[0].n_assign == 1
 
 
+def test_long_values_count_whole(docs):
+    draw = random.Random(11)
+
+    def value(n):
+        return "".join(draw.choice("ghjkmnpq2345") for _ in range(n))
+
+    head = value(256)
+    rows = [(i, f"text password={value(300)} text") for i in range(200)]
+    rows += [(500 + i, f"text password={head}{value(44)} text") for i in range(60)]
+    alike, other, late = value(900) + "2g", value(256) + "ZYXWVUT/" * 60, "ZYXWVUT/9" * 30 + value(60)
+    rows += [(1000, f"bare {alike} here"), (1001, f"bare {other} here"), (1002, f"bare {late} here")]
+    formats = credentials.learn(docs(*rows), per_kind=400)
+    assert formats.automata["assign"].came[0] >= 260  # no two values became one
+    got = {r.doc_id: [s.kind for s in r.spans] for r in credentials.find(docs(*rows), formats).collect()}
+    assert got[1000] == ["format"] and got[1001] == [] and got[1002] == []
+
+
 def test_no_credentials(docs):
     formats = credentials.learn(docs(*enumerate(odd_texts())))
     assert not formats.automata
