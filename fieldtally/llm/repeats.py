@@ -11,6 +11,9 @@ keys are, and a key that occurs in copies of one text only cannot repeat anythin
 * Whole texts are compared by a hash: a copy of a text with a smaller id is removed as a whole.
 * Each chunk gives its distinct keys with the smallest and largest hash of a text; keys met in two texts return to
   the chunks that have them. A key has at most two rows a chunk, however often its passage occurs.
+* A key under which more bytes of segments lie than a bucket should hold, say of a line that many texts share and
+  go on from differently, is split: its segments are cut into single strings, each under a key of its own made
+  from all its bytes, so equal strings still meet and nothing else does.
 * Each chunk sends the distinct segments under such keys with their smallest ids. Keys are dealt into buckets of
   bounded size. In a bucket equal segments are put together; a key left with one segment has nothing to be merged
   with. All others are dealt into shards, the shards' transforms are built and merged by interleave refinement
@@ -48,6 +51,8 @@ LAST_ID = 2**63 - 1
 CHUNK = "chunk bigint, doc_ids array<bigint>, prints array<bigint>, ends array<bigint>, body binary"
 KEPT = "doc_id bigint, n_bytes bigint, spans array<struct<first:bigint,last:bigint>>, kept binary"
 _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
+_CUT = np.int64(-2**63)  # marks the key of a single string
+_ROWS = 100_000  # segments sent in one batch
 _HERE = 256_000  # bytes scanned together: the arrays stay in a core's cache
 
 
@@ -120,6 +125,20 @@ class Segments:
         """Hashes of the segments' bytes."""
         return self.hashed.spans(self.first[of], self.last[of] + length - 1).view(np.int64)
 
+    def under(self, shared: np.ndarray, hot: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+        """Key, text, first, last and content of the segments under the keys `shared`, those under `hot` cut into
+        single strings with negative keys. Both lists of keys are in order."""
+        of = np.flatnonzero(_member(shared, self.key))
+        wide = _member(hot, self.key[of])
+        size = np.where(wide, self.last[of] - self.first[of], 1)
+        own = np.repeat(of, size)
+        nth = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+        cut = np.repeat(wide, size)
+        first = self.first[own] + nth
+        last = np.where(cut, first + 1, self.last[own])
+        content = self.hashed.spans(first, last + length - 1).view(np.int64)
+        return np.where(cut, content | _CUT, self.key[own]), self.text[own], first, last, content
+
 
 def _parts(ids: np.ndarray, ends: np.ndarray, body: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, bytes and offsets of a chunk's texts, some at a time."""
@@ -157,26 +176,30 @@ def _least(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _keys(chunks: DataFrame, length: int) -> DataFrame:
-    """chunk, key, print: each chunk's distinct keys with the smallest and, if it differs, the largest hash of a text
-    under them."""
+    """chunk, key, print, n: each chunk's distinct keys with the smallest and, if it differs, the largest hash of a text
+    under them; n has the number of different segments, in the first of the two rows."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 chunk, prints, ends, body = _row(batch, i, "chunk", "prints", "ends", "body")
                 prints = (prints.view(np.uint64) >> np.uint64(24)).astype(np.int64)
-                held = [(np.zeros(0, np.int64),) * 3]
+                held, different = [(np.zeros(0, np.int64),) * 3], [(np.zeros(0, np.int64),) * 2]
                 for own, data, at in _parts(prints, ends, body):
                     s = Segments(data, at, length)
                     held.append(_least(s.key, own[s.text]) if len(s.key) else held[0])
+                    different.append(_least(s.content(np.arange(len(s.key)), length), s.key)[:2])
                 k, low, high = (np.concatenate([x[j] for x in held]) for j in range(3))
                 key, low, _ = _least(k, low)
                 _, _, high = _least(k, high)
+                _, of, _ = _least(*(np.concatenate([x[j] for x in different]) for j in range(2)))
+                n = np.bincount(np.searchsorted(key, of), minlength=len(key))
                 more = np.flatnonzero(high != low)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(key) + len(more), chunk)), pa.array(np.append(key, key[more])),
-                     pa.array(np.append(low, high[more]))], ["chunk", "key", "print"])
+                     pa.array(np.append(low, high[more])),
+                     pa.array(np.append(n, np.zeros(len(more), n.dtype)).astype(np.int32))], ["chunk", "key", "print", "n"])
 
-    return chunks.mapInArrow(scan, "chunk bigint, key bigint, print bigint")
+    return chunks.mapInArrow(scan, "chunk bigint, key bigint, print bigint, n int")
 
 
 def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -191,33 +214,36 @@ def _segments(chunks: DataFrame, length: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                chunk, ids, ends, body, shared = _row(batch, i, "chunk", "doc_ids", "ends", "body", "shared")
-                shared = np.sort(shared)
+                chunk, ids, ends, body, shared, hot = _row(batch, i, "chunk", "doc_ids", "ends", "body", "shared", "hot")
+                shared, hot = np.sort(shared), np.sort(hot)
                 if not len(shared):
                     continue
-                seen: dict[int, int] = {}
-                keys, lows, bodies = [], [], []
+                held, raw, begin = [(np.zeros(0, np.int64),) * 5], [], 0
                 for own, data, at in _parts(ids, ends, body):
                     s = Segments(data, at, length)
-                    of = np.flatnonzero(_member(shared, s.key))
-                    content = s.content(of, length)
-                    content, first, which = np.unique(content, return_index=True, return_inverse=True)
+                    key, text, first, last, content = s.under(shared, hot, length)
+                    content, one, which = np.unique(content, return_index=True, return_inverse=True)
                     low = np.full(len(content), LAST_ID)
-                    np.minimum.at(low, which, own[s.text[of]])
-                    raw = data.tobytes()
-                    for c, j, least in zip(content.tolist(), of[first].tolist(), low.tolist()):
-                        if c in seen:
-                            lows[seen[c]] = min(lows[seen[c]], least)
-                        else:
-                            seen[c] = len(keys)
-                            keys.append(s.key[j])
-                            lows.append(least)
-                            bodies.append(raw[s.first[j]: s.last[j] + length - 1])
+                    np.minimum.at(low, which, own[text])
+                    held.append((content, low, key[one], first[one] + begin, last[one] - first[one] + length - 1))
+                    raw.append(data)
+                    begin += len(data)
+                raw = np.concatenate(raw)
+                content, low, key, first, size = (np.concatenate([x[j] for x in held]) for j in range(5))
+                content, one, which = np.unique(content, return_index=True, return_inverse=True)
+                least = np.full(len(content), LAST_ID)
+                np.minimum.at(least, which, low)
                 # by key, so that segments that are much alike are neighbours where they are compressed
-                rows = pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(keys), pa.int64()), pa.array(keys, pa.int64()),
-                     pa.array(lows, pa.int64()), pa.array(bodies, pa.binary())], ["chunk", "key", "low", "segment"])
-                yield rows.take(pa.array(np.argsort(np.array(keys, np.int64), kind="stable")))
+                order = np.argsort(key[one], kind="stable")
+                for at in range(0, len(order), _ROWS):
+                    here = order[at: at + _ROWS]
+                    row = one[here]
+                    bounds = np.concatenate([[0], np.cumsum(size[row])]).astype(np.int32)
+                    segment = pa.Array.from_buffers(pa.binary(), len(row), [
+                        None, pa.py_buffer(bounds), pa.py_buffer(raw[gather(first[row], size[row])])])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(row), chunk)), pa.array(key[row]), pa.array(least[here]), segment],
+                        ["chunk", "key", "low", "segment"])
 
     return chunks.mapInArrow(scan, "chunk bigint, key bigint, low bigint, segment binary")
 
@@ -230,7 +256,8 @@ def _repeated(segments: DataFrame, length: int, buckets: int, shard_bytes: int)
         ends = np.concatenate([[0], np.cumsum(pa.compute.binary_length(segment).to_numpy().astype(np.int64))])
         data = np.frombuffer(b"".join(segment.to_pylist()), np.uint8)
         content = Hashed(data).spans(ends[:-1], ends[1:]).view(np.int64)
-        _, first, which = np.unique(content, return_index=True, return_inverse=True)
+        # rows of single strings stay apart, so that the transforms tell which are equal
+        _, first, which = np.unique(np.where(key < 0, np.arange(len(key)), content), return_index=True, return_inverse=True)
         least = np.full(len(first), LAST_ID)
         np.minimum.at(least, which, low)
         _, under, n = np.unique(key[first], return_inverse=True, return_counts=True)
@@ -267,9 +294,9 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, ends, body, shared, contents, places, copies = _row(
-                    batch, i, "doc_ids", "ends", "body", "shared", "contents", "places", "copies")
-                shared, done = np.sort(shared), 0
+                ids, ends, body, shared, hot, contents, places, copies = _row(
+                    batch, i, "doc_ids", "ends", "body", "shared", "hot", "contents", "places", "copies")
+                shared, hot, done = np.sort(shared), np.sort(hot), 0
                 copied = np.zeros(len(ids), bool)
                 copied[copies] = True
                 order = np.argsort(contents, kind="stable")
@@ -278,10 +305,10 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
                 kept, low = [], [(np.zeros(0, np.int64),) * 2]
                 for own, data, at in _parts(ids, ends, body):
                     s = Segments(data, at, length)
-                    of = np.flatnonzero(_member(shared, s.key))
-                    content, doc = s.content(of, length), own[s.text[of]]
-                    kept.append((own, data, at, s.first[of], s.last[of], content, doc))
-                    low.append(_least(content, doc)[:2] if len(of) else low[0])
+                    _, text, first, last, content = s.under(shared, hot, length)
+                    doc = own[text]
+                    kept.append((own, data, at, first, last, content, doc))
+                    low.append(_least(content, doc)[:2] if len(first) else low[0])
                 known, least, _ = _least(*(np.concatenate([x[j] for x in low]) for j in range(2)))
                 for own, data, at, first, last, content, doc in kept:
                     whole = copied[done: done + len(own)] & (np.diff(at) >= length)
@@ -330,20 +357,25 @@ def remove(docs: DataFrame, length: int = 50, chunk_bytes: int = 8_000_000, buck
     chunks = pack(texts(docs), chunk_bytes)
     n = partitions(docs.sparkSession)
     under = Window.partitionBy("key")  # two rows a chunk and key at most
+    hot = F.col("bytes") > bucket_bytes
     met = (_keys(chunks, length).repartition(n, "key")
            .withColumn("least", F.min("print").over(under)).withColumn("most", F.max("print").over(under))
-           .where("least < most").groupBy("chunk").agg(F.collect_list("key").alias("shared")))
+           .withColumn("bytes", F.sum("n").over(under) * (MOST + length - 1))
+           .where("least < most").groupBy("chunk")
+           .agg(F.collect_list("key").alias("shared"), F.collect_set(F.when(hot, F.col("key"))).alias("hot"),
+                # a segment's strings, cut, are as many as a key's run has places
+                F.sum(F.when(hot, F.col("n") * (length - GRAM + 1) * length).otherwise(F.col("n") * 2 * length)).alias("bytes")))
     texts_of = chunks.select("chunk", F.posexplode(F.arrays_zip("prints", "doc_ids")).alias("place", "of")).select(
         "chunk", "place", F.col("of.prints").alias("print"), F.col("of.doc_ids").alias("id"))
     first = texts_of.groupBy("print").agg(F.min("id").alias("first"))
     copies = (texts_of.join(first, "print").where("id > first").groupBy("chunk")
               .agg(F.collect_list(F.col("place").cast("long")).alias("copies")))
     known = saved(met.join(copies, "chunk", "full_outer"), "shared")
-    pairs = known.agg(F.sum(F.size("shared"))).first()[0] or 0
+    sent = known.agg(F.sum("bytes")).first()[0] or 0
     asking = chunks.join(known, "chunk", "left")
     # the same join as below, so that its shuffles are written once
     segments = _segments(asking, length)
-    found = (_repeated(segments, length, max(n, -(-2 * length * pairs // bucket_bytes)), shard_bytes)
+    found = (_repeated(segments, length, max(n, -(-sent // bucket_bytes)), shard_bytes)
              .groupBy("chunk").agg(F.collect_list("content").alias("contents"), F.collect_list("places").alias("places")))
     return _removed(asking.join(found, "chunk", "left"), length)
 

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.llm import bwt, bytescan, components, decontaminate, jaccard, repeats
@@ -106,6 +107,24 @@ def test_repeats(docs, length, parts):
     assert mine == plain_repeats(rows, length)
 
 
+def test_repeats_of_one_line_that_goes_on_differently(docs, monkeypatch):
+    draw = random.Random(9)
+    rows = [(i, "".join(draw.choices("abcdefgh ", k=20)) + "A line that all of these texts share, word for word: "
+             + "".join(draw.choices("abcdefgh ", k=40))) for i in range(400)]
+    rows += [(1000 + i, "x" + rows[draw.randrange(400)][1][i % 7:]) for i in range(40)]
+    groups, whole = [], repeats._repeated
+
+    def spied(segments, length, buckets, shard_bytes):
+        groups.extend(r.n for r in segments.groupBy("key").agg(F.sum(F.length("segment")).alias("n")).collect())
+        return whole(segments, length, buckets, shard_bytes)
+
+    monkeypatch.setattr(repeats, "_repeated", spied)
+    got = repeats.remove(docs(*rows), chunk_bytes=8_000, bucket_bytes=5_000, shard_bytes=500).collect()
+    mine = sorted((str(r.doc_id), r.n_bytes, sum(s.last - s["first"] for s in r.spans), len(r.spans), bytes(r.kept)) for r in got)
+    assert mine == plain_repeats(rows, 50)
+    assert groups and max(groups) <= 5_000
+
+
 def test_repeats_of_nothing(docs):
     assert repeats.remove(docs()).collect() == []
 
