@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldtally.llm import chat, context_tree, credentials, decontaminate, jaccard, packing, repeats, token_store, topk, toxicity
+from fieldtally.llm import (
+    chat, context_tree, credentials, decontaminate, hard_negatives, jaccard, learned_partitions, packing, repeats, stratified, token_store,
+    topk, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,3 +195,68 @@ select doc_id, n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spa
        sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) as kept_sha256
 from docs left join cut using (doc_id)
 """
+
+
+@query
+def op11_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = learned_partitions.usable(table(spark, sf_dir, "embeddings"))
+    model, index = learned_partitions.learn(learned_partitions.candidates(vectors, k=20), k=20, target=0.95)
+    return learned_partitions.search(model, index, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.whole(vectors, scale=256, label_column=label)
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 50 == 0), positives=5, negatives=3, low=50, high=95)
+
+
+CHECKS["op12_hard_negatives"] = """
+with whole as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as w
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.w, c.w)::bigint as score
+    from whole a join whole c on a.vec_id % 50 = 0 and a.vec_id <> c.vec_id),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score
+    from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
+"""
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stratified.index(table(spark, sf_dir, "documents"))
+    return stratified.rank(index, stratified.items(table(spark, sf_dir, "benchmark")), k=50)
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+CHECKS["op13_lexical_search"] = f"""
+with docs as (select row_number() over () as doc, doc_id, {_TERMS} as w from documents),
+items as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+totals as (select count(*)::bigint as n_docs, sum(len(w))::bigint as n_terms from docs where len(w) > 0),
+tfs as (select doc, term, count(*)::bigint as tf from (select doc, unnest(w) as term from docs) where term in (select term from items) group by doc, term),
+weights as (
+    select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as weight
+    from (select term, count(*) as df from tfs group by term), totals),
+norms as (select doc, doc_id, 100 - 50 + (50 * len(w) * n_docs) // n_terms as m from docs, totals where len(w) > 0),
+scored as (
+    select item_id, doc, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+    from items join tfs using (term) join weights using (term) join norms using (doc) group by item_id, doc, doc_id)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id)::integer as rank, doc_id, score
+from scored where score > 0
+qualify rank <= 50
+"""

@@ -12,15 +12,33 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where none is named (one machine, tests), a new local one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by spark.checkpoint.dir, or the one that the session's checkpoints go to.
+
+    On one machine a session without either gets a new local folder. On a cluster that would be a folder which
+    executors do not share, so there it is an error.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        spark.sparkContext.setCheckpointDir(named)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
+        named = context.getCheckpointDir()
     return named
 
 
+def session_dir(spark: SparkSession) -> str:
+    """The folder inside the shared one that holds all intermediate tables of this application."""
+    return f"{shared_dir(spark).rstrip('/')}/fieldtally-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. To be called once results that read them are written."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once a session: their Python workers import the operators' helpers."""
     context = spark.sparkContext
@@ -40,7 +58,7 @@ def ship(spark: SparkSession) -> None:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as Parquet to the shared folder and read them back, which also cuts the lineage."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{session_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
