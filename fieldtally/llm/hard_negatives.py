@@ -5,8 +5,7 @@ rows of other labels whose score lies in a window below the positive's. Both are
 wanted whose inner product with the anchor reaches a threshold, and thresholds are lowered until the lists fill.
 
 The rows are written once, spread evenly, and never shuffled after. Anchors come in blocks of a bounded number of
-bytes; each block is broadcast and meets all rows. In a task every Arrow batch of rows is turned into an inverted
-index. Dimensions are put in order of their energy and taken in groups. A row is indexed under its first groups
+bytes; each block is broadcast and meets all rows. In a task every SLICE rows are turned into an inverted index. Dimensions are put in order of their energy and taken in groups. A row is indexed under its first groups
 only: the rest is left out as soon as the norm of its remaining components times that of any anchor's stays below
 the threshold, so that a row found under no indexed group cannot reach it (rows whose whole norm is too small are
 in no posting at all). Postings of a group are a leading part of the rows, which lie in order of how many groups
@@ -14,8 +13,8 @@ they are indexed under. Scores are accumulated group by group; a pair whose part
 remaining norms stays below the threshold is dropped, and the survivors' remaining components are added exactly.
 
 The first threshold is high. While a list does not hold enough rows the threshold is lowered and the index made
-anew for it, down to the window's lower edge, or to none at all for positives; from the second batch of a task on,
-it is the last score of the list so far, so later batches are pruned by what earlier ones held. Lists of tasks are
+anew for it, down to the window's lower edge, or to none at all for positives; from the second index of a task on,
+it is the last score of the list so far, so later rows are pruned by what earlier ones held. Lists of tasks are
 merged by a window; what a task returns is bounded by the number of lists.
 
 Equal rows of one label score alike, so of copies of a label and a vector only those with the smallest ids can
@@ -44,11 +43,13 @@ from fieldtally.llm.vectors import Best, finite, floored, matrix, query_blocks,
 MINED = ("anchor_id bigint, positive_id bigint, rank int, negative_id bigint, positive_score bigint, "
          "negative_score bigint")
 #: Groups of dimensions, and how many of them are accumulated for all pairs of a row and an anchor in one product.
-GROUPS, LEAD = 16, 12
+GROUPS, LEAD = 16, 14
 #: Anchors whose partial scores with a batch of rows are held at once.
 CHUNK = 64
-#: First thresholds as shares of the largest possible score, then none.
-STEPS = (0.6, 0.4, 0.25, 0.1)
+#: Rows that are indexed together.
+SLICE = 2048
+#: First thresholds as shares of the largest score that a list still takes, then none.
+STEPS = (0.9, 0.8, 0.65, 0.5, 0.35, 0.2)
 
 
 def whole(vectors: DataFrame, scale: float = 256, id_column: str = "vec_id", label_column: str | Column = "label",
@@ -113,6 +114,7 @@ def _reaching(rows: _Rows, anchors: np.ndarray, rest: np.ndarray, thresholds: np
     row_rest, row_labels = rows.rest[index.order], rows.labels[index.order]
     at = np.minimum(index.depth, lead)
     open_rest = row_rest[np.arange(len(at)), at]
+    segments = np.flatnonzero(np.diff(at, prepend=-1, append=-1))  # rows of equal depth
     for lo in range(0, len(anchors), CHUNK):
         mine, mine_rest, edge = anchors[lo: lo + CHUNK], rest[lo: lo + CHUNK], thresholds[lo: lo + CHUNK]
         partial = np.zeros((len(weights), len(mine)))
@@ -120,10 +122,13 @@ def _reaching(rows: _Rows, anchors: np.ndarray, rest: np.ndarray, thresholds: np
             n = index.postings[g]
             if n:
                 partial[:n] += weights[:n, rows.groups[g]] @ mine[:, rows.groups[g]].T
-        bound = partial + open_rest[:, None] * mine_rest[:, at].T
-        alive = (bound >= edge[None, :] - _slack(edge)[None, :])
-        alive &= (row_labels[:, None] == labels[None, lo: lo + CHUNK]) == same
+        alive = np.zeros(partial.shape, bool)
+        least = edge - _slack(edge)
+        for x, y in zip(segments[:-1], segments[1:]):
+            alive[x:y] = partial[x:y] + open_rest[x:y, None] * mine_rest[None, :, at[x]] >= least
         r, a = np.nonzero(alive)
+        fits = (row_labels[r] == labels[lo + a]) == same
+        r, a = r[fits], a[fits]
         score, depth = partial[r, a], at[r]
         for g in range(int(depth.min()) if len(depth) else 0, len(rows.groups)):
             due = depth <= g
@@ -132,7 +137,7 @@ def _reaching(rows: _Rows, anchors: np.ndarray, rest: np.ndarray, thresholds: np
             dims = rows.groups[g]
             score[due] += np.einsum("ij,ij->i", weights[r[due]][:, dims], mine[a[due]][:, dims])
             depth[due] = g + 1
-            keep = score + row_rest[r, depth] * mine_rest[a, depth] >= (edge - _slack(edge))[a]
+            keep = score + row_rest[r, depth] * mine_rest[a, depth] >= least[a]
             r, a, score, depth = r[keep], a[keep], score[keep], depth[keep]
         keep = score >= edge[a]
         yield lo + a[keep], index.order[r[keep]], score[keep]
@@ -165,9 +170,8 @@ class _Lists:
 
     def find(self, batches: Iterator[pa.RecordBatch]) -> Best:
         best = Best(self.low.size, self.k)
-        for batch in batches:
-            if not batch.num_rows or not len(self.ids):
-                continue
+        slices = (batch.slice(lo, SLICE) for batch in batches for lo in range(0, batch.num_rows, SLICE))
+        for batch in slices if len(self.ids) else ():
             table = pa.Table.from_batches([batch])
             ids, labels = table["vec_id"].to_numpy(), np.array(table["label"].to_pylist(), object)
             weights = matrix(table["weights"])
@@ -192,15 +196,18 @@ class _Lists:
         high = np.where(self.there, self.high, -np.inf).max(axis=1)
         before = np.full(len(mine), np.inf)
         while len(open_):
-            first = STEPS[step] * top if step < len(STEPS) else np.full(len(mine), -np.inf)
-            edge = np.minimum(before, np.maximum(np.minimum(first, high), need.min(axis=1)))
+            first = STEPS[step] * np.minimum(top, high) if step < len(STEPS) else np.full(len(mine), -np.inf)
+            edge = np.minimum(before, np.maximum(first, need.min(axis=1)))
+            met = []
             for a, r, score in _reaching(rows, mine[open_], rest[open_], edge[open_], own[open_], self.same):
                 a = open_[a]
                 keep = (ids[r] != self.ids[a]) & (score < before[a])
                 a, r, score = a[keep], r[keep], score[keep]
                 for column in range(shape[1]):
                     fits = self.there[a, column] & (score >= self.low[a, column]) & (score <= self.high[a, column])
-                    best.add(a[fits] * shape[1] + column, ids[r[fits]], score[fits])
+                    met.append((a[fits] * shape[1] + column, ids[r[fits]], score[fits]))
+            if met:
+                best.add(*map(np.concatenate, zip(*met)))
             before[open_] = edge[open_]
             last = best.last().reshape(shape)
             done = ~self.there | (last >= edge[:, None]) | (edge[:, None] <= self.low)
