@@ -5,9 +5,9 @@ terms has the normaliser m = 100 - b + (b * n * N) div L with b = 50 (N document
 term of weight w = floor(1000 * ln((2N + 2) / (2 df + 1))) that occurs tf times in it adds
 w * ((10^9 * tf) div (1000 * tf + 20 * m)).
 
-*Index*: texts are cut into terms once. Documents are put in order of m by a range shuffle on (m, doc_id), which
-splits a length that very many documents share, and each stratum, the documents of one m, is written in rows
-of bounded size. Such a row holds the documents, the distinct terms, and postings in runs of one term and one tf, largest tf
+*Index*: texts are cut into terms once. Ranges of m that hold equally many postings make the shards; an m that very
+many documents share fills several, over which its documents are dealt by a hash of their ids. In a shard each stratum, the documents of one m,
+is written in rows of bounded size. Such a row holds the documents, the distinct terms, and postings in runs of one term and one tf, largest tf
 first.
 
 *Search*: items come in blocks of bounded size, as distinct terms only, and are broadcast; a scan of the
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtally.llm.bytescan import gather, slices
@@ -47,6 +47,8 @@ STRATA = ("m bigint, docs array<bigint>, terms array<string>, run_term array<int
           "run_length array<int>, members array<int>")
 #: Postings in one row of a stratum; a document is never cut.
 ROW_POSTINGS = 400_000
+#: Shards a shuffle partition, on the mean, so that partitions hold about equally many postings.
+SHARDS = 4
 B = 50
 
 
@@ -93,15 +95,27 @@ def index(docs: DataFrame) -> Index:
     counted = saved(forward(docs), "lexical-forward")
     documents, terms = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     m = F.expr(f"{100 - B} + ({B} * n * {documents}L) div {max(1, terms)}L")
-    dealt = (counted.withColumn("m", m).repartitionByRange(partitions(docs.sparkSession), "m", "doc_id")
+    n = partitions(docs.sparkSession)
+    counted = counted.withColumn("m", m)
+    dealt = (counted.withColumn("shard", _shard(counted, SHARDS * n)).repartition(n, "shard")
              .sortWithinPartitions("m", "doc_id"))
     return Index(saved(dealt.mapInArrow(_strata, STRATA), "lexical-strata"), documents, terms)
 
 
-def _portions(batches: Iterator[pa.RecordBatch], postings: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut where their documents' terms come to more than `postings`."""
+def _shard(counted: DataFrame, n: int) -> Column:
+    """Shards of equally many postings in order of m; only their limits reach the driver."""
+    shares = F.lit([i / n for i in range(1, n)])
+    limits = counted.agg(F.percentile("m", shares, F.size("terms")).alias("limits")).first()["limits"] or []
+    limits = F.array(*[F.lit(float(x)) for x in limits])
+    low = F.size(F.filter(limits, lambda x: x < F.col("m")))
+    several = F.size(F.filter(limits, lambda x: x == F.col("m"))) + 1
+    return low + F.pmod(F.xxhash64("doc_id", "terms"), several).cast("int")
+
+
+def _portions(batches: Iterator[pa.RecordBatch], postings: int, column: str = "terms") -> Iterator[pa.RecordBatch]:
+    """Batches cut where the lists of a column come to more than `postings`."""
     for batch in batches:
-        ends = np.cumsum(np.diff(batch.column("terms").offsets.to_numpy())) if batch.num_rows else []
+        ends = np.cumsum(np.diff(batch.column(column).offsets.to_numpy())) if batch.num_rows else []
         first, before = 0, 0
         while first < batch.num_rows:
             last = max(first + 1, int(np.searchsorted(ends, before + postings, side="right")))
@@ -261,9 +275,7 @@ def _ranked(batches: Iterator[pa.RecordBatch], block: Block, k: int) -> tuple[np
     ids = [np.zeros(0, np.int64) for _ in block.terms]
     scores = [np.zeros(0, np.int64) for _ in block.terms]
     last = np.ones(len(block.terms), np.int64)  # only scores above 0 count
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _portions(batches, 4 * ROW_POSTINGS, "members"):
         strata = _read(batch, block)
         bounds = np.stack([s.bound for s in strata])
         order = np.argsort(-bounds, axis=0, kind="stable")
