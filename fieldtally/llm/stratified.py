@@ -46,7 +46,7 @@ FORWARD = "doc_id bigint, n bigint, terms array<string>, tfs array<int>"
 STRATA = ("m bigint, docs array<bigint>, terms array<string>, run_term array<int>, run_tf array<int>, "
           "run_length array<int>, members array<int>")
 #: Postings in one row of a stratum; a document is never cut.
-ROW_POSTINGS = 400_000
+ROW_POSTINGS = 150_000
 #: Shards a shuffle partition, on the mean, so that partitions hold about equally many postings.
 SHARDS = 4
 B = 50
