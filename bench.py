@@ -21,7 +21,7 @@ from fieldtally.driver.raw_forms import LANDED, inputs
 from fieldtally.forms import FORMS
 from fieldtally.plans.warehouse import TABLES, Inputs, Warehouse
 from fieldtally.session import local_session
-from fieldtally.sources import read_form
+from fieldtally.sources import land_form, read_form
 
 OPERATORS = (
     "admin_lookup", "attach_parent", "attach_children", "campaign_window", "dose_join", "latest_per_key",
@@ -33,7 +33,7 @@ def land(spark, sf_dir: str) -> tuple[Inputs, float]:
     start = time.perf_counter()
     folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_TMP", "/tmp"))
     for name, form in LANDED.items():
-        form(spark, sf_dir).write.parquet(f"{folder}/{name}")
+        land_form(form(spark, sf_dir), f"{folder}/{name}")
     forms = {name: read_form(spark, FORMS[name], f"{folder}/{name}") for name in LANDED}
     return dataclasses.replace(inputs(spark, sf_dir), forms=forms), time.perf_counter() - start
 

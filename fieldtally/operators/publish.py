@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Collection, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LAYERS = ("clean", "staging", "public")
+#: The view's property that lists the batch of every month it shows.
+_BATCHES = "shown_batches"
 
 
-def ensure_namespaces(spark: SparkSession, names: Sequence[str] = LAYERS) -> None:
+def ensure_namespaces(spark: SparkSession, names: Sequence[str] = LAYERS, location: str | None = None) -> None:
+    """Create the namespaces that are not there, their tables below ``location`` where one is given."""
     for name in names:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        place = f" LOCATION '{location}/{name}.db'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
 
 
 def bi_projection(df: DataFrame, columns: Sequence[str], date_columns: Sequence[str] = ()) -> DataFrame:
@@ -26,6 +32,10 @@ def month_column(month_of: str) -> str:
     return f"{month_of}_month"
 
 
+def batch_column(month_of: str) -> str:
+    return f"{month_of}_batch"
+
+
 def versions(name: str) -> tuple[str, str]:
     """The two tables that take turns behind the view ``layer.name``."""
     return f"{name}__a", f"{name}__b"
@@ -39,29 +49,44 @@ def current_version(spark: SparkSession, name: str) -> str | None:
     return next((v for v in versions(name) if v.split(".")[-1] in text), None)
 
 
+def in_months(df: DataFrame, month: Column, months: Collection[date | None]) -> DataFrame:
+    """Rows of the given months; None stands for rows without one."""
+    known = [F.lit(m) for m in sorted(m for m in months if m is not None)]
+    wanted = month.isin(*known) if known else F.lit(False)
+    return df.where(wanted | month.isNull() if None in months else wanted)
+
+
 def from_month(df: DataFrame, day: Column, since: str) -> DataFrame:
     """Rows whose day, or month, is not before the month of ``since``, and rows without one."""
     return df.where((day >= F.trunc(F.lit(since).cast("date"), "month")) | day.isNull())
 
 
 def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, since: str | None = None,
-            format: str = "parquet") -> DataFrame:
+            format: str = "parquet", months: Collection[date | None] | None = None, retain: int = 0,
+            hidden: Sequence[str] = ()) -> DataFrame:
     """Expose ``layer.name`` as a replaceable session view or as written rows, and return what readers see.
 
-    In table mode readers use the catalog view ``layer.name``. Rows are written to the one of two tables
-    behind it that is not read, and the view then changes over: readers always find a complete table, and
-    a failed write leaves the old one.
-
-    Rows with ``month_of`` are partitioned by the month of that day. With ``since``, every month from that
-    day's on and the rows without a day are replaced in place, months that have no rows any more are
-    dropped, and earlier months stay; the filter reaches the scan of what ``df`` reads. Columns are
-    matched by name; a table with other columns is written in full. The rebalance hint sizes the files:
-    large months are split over several tasks, small ones share one.
+    In table mode readers use the catalog view ``layer.name``, and every change reaches them by one replacement of
+    that view: they find the old rows or the new ones, never a mix, and a failed write leaves the old ones. A full
+    write goes to the one of two tables behind the view that is not read.
+
+    Rows with ``month_of`` are partitioned by the month of that day and by the batch that wrote them; the view
+    names the batch of every month. With ``months`` (None among them stands for rows without a day), or with
+    ``since`` for every month from that day's on and rows without a day, only those are replaced: their new rows are
+    appended as a new batch beside the old one, which the view then leaves out. ``df`` may hold rows of other
+    months; the filter on them reaches the scan of what it reads. A month without new rows is left out too. Which
+    months a batch holds is read from the list of partitions, so ``df`` is evaluated once. Replaced partitions
+    are dropped, but for the last ``retain`` batches, which readers that began before may still be reading.
+
+    Columns are matched by name; a table with other columns is written in full. ``hidden`` columns are written but
+    not shown by the view. The rebalance hint sizes the files: large months are split over several tasks, small
+    ones share one.
     """
     spark = df.sparkSession
+    shown = [c for c in df.columns if c not in hidden]
     if mode == "view":
         view = name.replace(".", "__")
-        df.createOrReplaceTempView(view)
+        df.select(*shown).createOrReplaceTempView(view)
         return spark.table(view)
     if mode != "table":
         raise ValueError(f"unknown mode {mode!r}")
@@ -69,45 +94,95 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
     if month_of is None:
         target = versions(name)[now == versions(name)[0]]
         df.write.mode("overwrite").format(format).saveAsTable(target)
-        return publish_alias(spark, name, target, df.columns)
-    month = month_column(month_of)
-    dated = df.withColumn(month, F.trunc(month_of, "month"))
-    if since is not None and now is not None and set(spark.table(now).columns) == set(dated.columns):
-        columns = spark.table(now).columns
-        recent = from_month(df, F.col(month_of), since).withColumn(month, F.trunc(month_of, "month"))
-        _replace_months(recent.select(*columns).hint("rebalance", F.col(month)), now, month, since)
-        return publish_alias(spark, name, now, df.columns)
+        return publish_alias(spark, name, target, shown)
+    month, batch = month_column(month_of), batch_column(month_of)
+    dated = df.withColumn(month, F.trunc(F.col(month_of).try_cast("date"), "month"))
+    partial = since is not None or months is not None
+    if partial and now is not None and set(spark.table(now).columns) == {*dated.columns, batch}:
+        recent = in_months(dated, F.col(month), months) if months is not None else from_month(dated, F.col(month), since)
+        written = _partitions(spark, now, month, batch)
+        new = max((b for _, b in written), default=0) + 1
+        ordered = recent.withColumn(batch, F.lit(new)).select(*spark.table(now).columns)
+        ordered.hint("rebalance", F.col(month)).write.mode("append").insertInto(now)
+        spark.catalog.refreshTable(now)
+        added = {m: new for m, b in _partitions(spark, now, month, batch) if b == new}
+        first = None if since is None else date.fromisoformat(since[:10]).replace(day=1)
+        before = batches(spark, name)
+        kept = {m: b for m, b in before.items()
+                if (m not in months if months is not None else m is not None and m < first)}
+        _show(spark, name, now, shown, month, batch, kept | added)
+        for m, b in written:
+            if kept.get(m) != b and b <= new - 1 - retain:
+                spark.sql(f"ALTER TABLE {now} DROP IF EXISTS PARTITION ({month} = {_literal(m)}, {batch} = {b})")
+        spark.catalog.refreshTable(now)
+        return spark.table(name)
     target = versions(name)[now == versions(name)[0]]
-    dated.hint("rebalance", F.col(month)).write.mode("overwrite").format(format).partitionBy(month).saveAsTable(target)
-    return publish_alias(spark, name, target, df.columns)
+    full = dated.withColumn(batch, F.lit(1)).hint("rebalance", F.col(month))
+    full.write.mode("overwrite").format(format).partitionBy(month, batch).saveAsTable(target)
+    return _show(spark, name, target, shown, month, batch, {m: b for m, b in _partitions(spark, target, month, batch)})
 
 
-def _replace_months(df: DataFrame, table: str, month: str, since: str) -> None:
-    """Replace all partitions from ``since`` on, and that of NULL, by the rows of ``df``.
+def _literal(month: date | None) -> str:
+    return "null" if month is None else f"date'{month}'"
 
-    Partitions with new rows are replaced by a dynamic overwrite, which sessions are set to; partitions
-    that had rows before and have none now are dropped by name. Months are few, a dozen a year.
-    """
-    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
-    old = {r[0] for r in from_month(spark.table(table), F.col(month), since).select(month).distinct().collect()}
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        df.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(setting, before)
-    # what the overwrite did not replace is still there: partitions without rows in the new data
-    kept = {r[0] for r in df.select(month).distinct().collect()} if old else set()
-    for gone in old - kept:
-        value = "null" if gone is None else f"date'{gone}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({month} = {value})")
-    spark.catalog.refreshTable(table)
+
+def _partitions(spark: SparkSession, table: str, month: str, batch: str) -> list[tuple[date | None, int]]:
+    """Month and batch of every partition, from the catalog: no rows are read. Months are few, a dozen a year."""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = dict(part.split("=", 1) for part in row.partition.split("/"))
+        missing = values[month] in ("null", "__HIVE_DEFAULT_PARTITION__")
+        found.append((None if missing else date.fromisoformat(values[month]), int(values[batch])))
+    return found
+
+
+def batches(spark: SparkSession, name: str) -> dict[date | None, int]:
+    """The batch that the view ``layer.name`` shows of each month."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == _BATCHES).collect()
+    listed = json.loads(rows[0]["value"]) if rows else []
+    return {None if m is None else date.fromisoformat(m): b for m, b in listed}
+
+
+def _in_batches(shown: dict[date | None, int], month: str, batch: str) -> str:
+    """A filter on the partitions that are shown."""
+    terms = []
+    for b in sorted(set(shown.values())):
+        months = sorted(m for m, x in shown.items() if x == b and m is not None)
+        which = [f"`{month}` IN ({', '.join(map(_literal, months))})"] if months else []
+        which += [f"`{month}` IS NULL"] if shown.get(None) == b else []
+        terms.append(f"(`{batch}` = {b} AND ({' OR '.join(which)}))")
+    return " OR ".join(terms) or "false"
+
+
+def _show(spark: SparkSession, name: str, table: str, columns: Sequence[str], month: str, batch: str,
+          shown: dict[date | None, int]) -> DataFrame:
+    """Point the view at the given batches: the one step by which readers get a partial or full write."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    value = json.dumps([[None if m is None else str(m), b] for m, b in shown.items()])
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_BATCHES}' = '{value}') AS "
+              f"SELECT {listed} FROM {table} WHERE {_in_batches(shown, month, batch)}")
+    return spark.table(name)
+
+
+def published_rows(spark: SparkSession, name: str, month_of: str | None = None, since: str | None = None,
+                   months: Collection[date | None] | None = None) -> DataFrame:
+    """Published rows with their hidden columns, of all months or of those that ``since`` or ``months`` name, by a
+    filter on the partitions."""
+    table = spark.table(current_version(spark, name))
+    if month_of is None:
+        return table
+    month, batch = month_column(month_of), batch_column(month_of)
+    rows = table
+    if months is not None:
+        rows = in_months(rows, F.col(month), months)
+    elif since is not None:
+        rows = from_month(rows, F.col(month), since)
+    return rows.where(_in_batches(batches(spark, name), month, batch)).drop(month, batch)
 
 
 def recent_rows(spark: SparkSession, name: str, month_of: str, since: str) -> DataFrame:
     """Published rows of the months from ``since`` on and without a day, by a filter on the partitions."""
-    table = current_version(spark, name)
-    return from_month(spark.table(table), F.col(month_column(month_of)), since).select(*spark.table(name).columns)
+    return published_rows(spark, name, month_of, since).select(*spark.table(name).columns)
 
 
 def publish_projection(spark: SparkSession, name: str, source: str, columns: Sequence[str],

@@ -12,15 +12,32 @@ from fieldtally.forms import Repeat
 from fieldtally.functions import option_tokens, typed, whole_number
 
 
-def parse_repeat(json: Column | str, path: str, fields: Sequence[str], on_error: str = "raise") -> Column:
-    """The JSON array as structs holding only the wanted fields, each as text.
+def _elements(path: str, fields: Sequence[str]) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(f"{path}/{f}", T.StringType()) for f in fields]))
 
-    A missing key and a JSON null both read as NULL. Malformed text raises, or reads as NULL with
-    ``on_error='null'``.
+
+def is_parsed(df: DataFrame, column: str) -> bool:
+    """Whether a repeat group is stored as an array of structs, as ``parsed_group`` makes it, and not as JSON text."""
+    return isinstance(df.schema[column].dataType, T.ArrayType)
+
+
+def parse_repeat(group: Column | str, path: str, fields: Sequence[str], on_error: str = "raise",
+                 parsed: bool = False) -> Column:
+    """The repeat group as structs holding only the wanted fields, each as text.
+
+    From JSON text a missing key and a JSON null both read as NULL, and malformed text raises, or reads as NULL with
+    ``on_error='null'``. From a ``parsed`` group the wanted fields alone reach the scan.
     """
-    schema = T.ArrayType(T.StructType([T.StructField(f"{path}/{f}", T.StringType()) for f in fields]))
+    group = F.col(group) if isinstance(group, str) else group
+    if parsed:
+        return F.arrays_zip(*[group.getField(f"{path}/{f}") for f in fields]).cast(_elements(path, fields))
     mode = "FAILFAST" if on_error == "raise" else "PERMISSIVE"
-    return F.from_json(F.col(json) if isinstance(json, str) else json, schema, {"mode": mode})
+    return F.from_json(group, _elements(path, fields), {"mode": mode})
+
+
+def parsed_group(repeat: Repeat, column: str) -> Column:
+    """All fields of a repeat group, as text, from its JSON: parsed once to be stored beside the text."""
+    return parse_repeat(f"`{column}`", repeat.path, list(repeat.fields), repeat.on_error)
 
 
 def repeat_field(element: Column, path: str, name: str, to: str = "string", on_error: str = "raise") -> Column:
@@ -42,7 +59,7 @@ def explode_repeat(df: DataFrame, json_col: str, path: str, fields: Mapping[str,
     The array is parsed and exploded once for all fields, in place: children need no join back to
     their parent. Parents without children disappear unless ``outer``.
     """
-    parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error)
+    parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error, is_parsed(df, json_col))
     rows = df.select(*keys, (F.explode_outer if outer else F.explode)(parsed).alias("_element"))
     return rows.select(
         *keys, *[repeat_field(F.col("_element"), path, f, to, on_error).alias(short_name(f)) for f, to in fields.items()]
@@ -56,14 +73,14 @@ def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequ
     return explode_repeat(df, column or repeat.column, repeat.path, fields, keys, outer, repeat.on_error)
 
 
-def group_total(repeat: Repeat, only: Sequence[str], column: str | None = None) -> Column:
+def group_total(repeat: Repeat, only: Sequence[str], column: str | None = None, parsed: bool = False) -> Column:
     """Sum of the named count fields over all rows of a submission's repeat group, within the submission.
 
     NULL when no count is stated, as a filtered sum over the exploded rows would be. Counts that the
     group declares as text are cast as they are for the exploded rows.
     """
     fields = [f for f in repeat.fields if short_name(f) in only]
-    elements = parse_repeat(column or repeat.column, repeat.path, fields, repeat.on_error)
+    elements = parse_repeat(column or repeat.column, repeat.path, fields, repeat.on_error, parsed)
 
     def count(element: Column, name: str) -> Column:
         value = repeat_field(element, repeat.path, name, repeat.fields[name], repeat.on_error)

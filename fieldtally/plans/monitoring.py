@@ -12,7 +12,7 @@ from fieldtally.forms.monitoring import CATEGORIES, DICTIONARY_NAME, TEAM_QUESTI
 from fieldtally.operators.aggregate import category_proportion, monitoring_score
 from fieldtally.operators.lookup import admin_lookup, indicator_lookup, require_label
 from fieldtally.operators.publish import bi_projection
-from fieldtally.operators.repeat import explode_group, parse_repeat, repeat_field, short_name
+from fieldtally.operators.repeat import explode_group, is_parsed, parse_repeat, repeat_field, short_name
 from fieldtally.operators.reshape import drop_unanswered, unpivot_questions
 from fieldtally.plans.dims import PLACES, Dimensions
 
@@ -70,7 +70,8 @@ def _all_answers(form: DataFrame, dims: Dimensions, remarks: bool, spec: FormSpe
     visits = _visits(form, dims, *_question_columns(spec, remarks), TEAMS)
     full = {short_name(f): f for f in spec.repeat.fields}
     teams = parse_repeat(TEAMS, spec.repeat.path, [
-        full[c] for q in TEAM_QUESTIONS for c in ((q.value, q.remark) if remarks else (q.value,))], spec.repeat.on_error)
+        full[c] for q in TEAM_QUESTIONS for c in ((q.value, q.remark) if remarks else (q.value,))], spec.repeat.on_error,
+        is_parsed(form, TEAMS))
 
     def cells(questions: Sequence[Question], value: Callable[[str], Column]) -> Column:
         return F.array(*[F.struct(

@@ -10,7 +10,7 @@ from fieldtally.forms.rapid_coverage import CHILDREN_COUNTS, INFORMATION_SOURCES
 from fieldtally.functions import fixed_width, typed
 from fieldtally.operators.lookup import admin_lookup, choice_lookup
 from fieldtally.operators.publish import bi_projection
-from fieldtally.operators.repeat import explode_group, group_total
+from fieldtally.operators.repeat import explode_group, group_total, is_parsed
 from fieldtally.operators.reshape import drop_unanswered, unpivot_crosstab, unpivot_pairs
 from fieldtally.plans.dims import PLACES, Dimensions
 
@@ -58,7 +58,7 @@ def submissions(form: DataFrame, dims: Dimensions, labels: DataFrame, spec: Form
     named = choice_lookup(named, labels, "conducted_by", "conductor_code", "conducted_by")
     return named.select(
         *SUBMISSION, F.col("doors_visited").cast("bigint").alias("doors_visited"), "rca_mop_up", "conducted_by",
-        group_total(spec.repeat, missed, "vaccination").alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
+        group_total(spec.repeat, missed, "vaccination", is_parsed(form, "vaccination")).alias("total_not_vaccinated"), "iso2_code", "submitted_at", "modified_at", "enumerator",
     )
 
 

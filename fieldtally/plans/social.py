@@ -10,7 +10,7 @@ from fieldtally.forms.social import MOBILIZATION, REFUSALS_ADDRESSED, RUMOURS
 from fieldtally.functions import fixed_width, resolve_other, typed
 from fieldtally.operators.lookup import admin_lookup
 from fieldtally.operators.publish import bi_projection
-from fieldtally.operators.repeat import parse_repeat, repeat_field
+from fieldtally.operators.repeat import is_parsed, parse_repeat, repeat_field
 from fieldtally.plans.dims import Dimensions
 
 COLUMNS = (
@@ -35,7 +35,8 @@ def indicators(form: DataFrame, dims: Dimensions, fanout: bool = True, spec: For
         resolve_other("conducted_by", "conducted_by_other").alias("conducted_by"),
         "submitted_at", "modified_at", "enumerator",
         *[c for _, c in RUMOURS + MOBILIZATION],
-        parse_repeat("refusals", repeat.path, ("vaccine_label", "refusals_addressed"), repeat.on_error).alias("_refusals"),
+        parse_repeat("refusals", repeat.path, ("vaccine_label", "refusals_addressed"), repeat.on_error,
+                     is_parsed(form, "refusals")).alias("_refusals"),
     )
     named = admin_lookup(base, dims.areas, spec.levels, iso=dims.iso, spread_by=["id"])
 

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from fieldtally.forms import FORMS, FormSpec
+from fieldtally.operators.changes import STATE, changed, digests, read_state
 from fieldtally.operators.ingest import clean_form
-from fieldtally.operators.publish import ensure_namespaces, publish, publish_alias, publish_projection, recent_rows
-from fieldtally.operators.repeat import explode_group
+from fieldtally.operators.publish import (
+    LAYERS, current_version, ensure_namespaces, in_months, publish, publish_alias, publish_projection, published_rows,
+)
+from fieldtally.operators.relate import cutoff
+from fieldtally.operators.repeat import explode_group, parsed_group
 from fieldtally.plans import immunization, monitoring, rapid_coverage, readiness, social
 from fieldtally.plans.dims import Dimensions
 from fieldtally.sources import rename_choices
@@ -41,25 +47,54 @@ Get = Callable[[str], DataFrame]
 
 @dataclass(frozen=True)
 class Table:
-    """One table: how to build it, the day its partitions follow, and whether it only renames another
-    or shows the listed columns of another."""
+    """One table: how to build it, the day its partitions follow and the form whose day that is, columns that are
+    written for the refresh but not shown, sources it reads beside its tables and the dimensions, and whether
+    it only renames another table or shows the listed columns of another."""
 
     name: str
     build: Callable[[Get, Inputs], DataFrame]
     month_of: str | None = None
+    follows: str | None = None
+    hidden: tuple[str, ...] = ()
+    reads: tuple[str, ...] = ()
     same_as: str | None = None
     shown_from: tuple[str, tuple[str, ...]] | None = None
 
 
-def _repeat(form: str, column: str, *keys: str) -> Callable[[Get, Inputs], DataFrame]:
-    def build(get: Get, src: Inputs) -> DataFrame:
-        rows = explode_group(get(f"clean.{form}"), src.specs[form].repeat, keys, column=column)
-        return rows.select(*[c for c in rows.columns if c not in keys], *keys)
-    return build
+#: Day of a repeat row's submission, by which its table is partitioned.
+SUBMITTED_DAY = "submission_day"
+
+
+def parsed_column(column: str) -> str:
+    """The hidden column that holds a repeat group parsed."""
+    return f"{column}_rows"
 
 
-def _clean(name: str) -> Callable[[Get, Inputs], DataFrame]:
-    return lambda get, src: clean_form(src.forms[name], src.specs[name])
+def _repeat(form: str, column: str, day: str | None, *keys: str) -> Table:
+    """The rows of a form's repeat group with the listed keys."""
+    def build(get: Get, src: Inputs) -> DataFrame:
+        clean = get(f"clean.{form}")
+        kept = [*keys, SUBMITTED_DAY] if day else keys
+        if day:
+            clean = clean.withColumn(SUBMITTED_DAY, F.col(day).try_cast("date"))
+        rows = explode_group(clean, src.specs[form].repeat, kept, column=column)
+        return rows.select(*[c for c in rows.columns if c not in kept], *kept)
+
+    name = {"vaccine": "activity_vaccine", "target_children": "target_children", "refusals": "social_refusals",
+            "vaccination": "rapid_coverage_vaccination", "vaccination_team_info": "monitoring_team_info"}[column]
+    if day is None:
+        return Table(f"clean.{name}", build)
+    return Table(f"clean.{name}", build, month_of=SUBMITTED_DAY, follows=form, hidden=(SUBMITTED_DAY,))
+
+
+def _clean(name: str, day: str | None = None, group: str | None = None) -> Table:
+    """The clean form; its repeat group is parsed once and stored beside the text."""
+    def build(get: Get, src: Inputs) -> DataFrame:
+        form = clean_form(src.forms[name], src.specs[name])
+        return form.withColumn(parsed_column(group), parsed_group(src.specs[name].repeat, group)) if group else form
+
+    return Table(f"clean.{name}", build, month_of=day, follows=name if day else None,
+                 hidden=(parsed_column(group),) if group else (), reads=(name,))
 
 
 def _choices(name: str) -> Callable[[Get, Inputs], DataFrame]:
@@ -80,8 +115,8 @@ DAY = "date_vaccination_activity"
 RAW_KEYS = ("_airbyte_ab_id", "_airbyte_emitted_at")
 
 TABLES: tuple[Table, ...] = (
-    Table("clean.readiness_labels", _choices("readiness")),
-    Table("clean.readiness", _clean("readiness")),
+    Table("clean.readiness_labels", _choices("readiness"), reads=("readiness_choices",)),
+    _clean("readiness", "assessment_date"),
     Table("staging.hc_assessment",
           lambda get, src: readiness.question_answers(get("clean.readiness"), src.dims, src.specs["readiness"])),
     Table("staging.hcl_monitoring_assessment",
@@ -93,56 +128,54 @@ TABLES: tuple[Table, ...] = (
            readiness.ASSESSMENT_COLUMNS, readiness.public_assessment),
     _same("public.ready_facilities", "staging.ready_facilities"),
 
-    Table("clean.rca_labels", _choices("rapid_coverage")),
-    Table("clean.rapid_coverage", _clean("rapid_coverage")),
-    Table("clean.rapid_coverage_vaccination",
-          _repeat("rapid_coverage", "vaccination", *RAW_KEYS)),
+    Table("clean.rca_labels", _choices("rapid_coverage"), reads=("rapid_coverage_choices",)),
+    _clean("rapid_coverage", "rca_date", "vaccination"),
+    _repeat("rapid_coverage", "vaccination", "rca_date", *RAW_KEYS),
     Table("staging.rca_actuals",
           lambda get, src: rapid_coverage.children(
               get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"]),
-          month_of="rca_date"),
+          month_of="rca_date", follows="rapid_coverage"),
     Table("staging.rca",
           lambda get, src: rapid_coverage.submissions(
               get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"]),
-          month_of="rca_date"),
+          month_of="rca_date", follows="rapid_coverage"),
     Table("staging.rca_sources_info",
           lambda get, src: rapid_coverage.information_sources(
               get("clean.rapid_coverage"), src.dims, get("clean.rca_labels")),
-          month_of="rca_date"),
+          month_of="rca_date", follows="rapid_coverage"),
     Table("staging.rca_not_vaccinated_reasons",
           lambda get, src: rapid_coverage.not_vaccinated_reasons(
-              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"])),
+              get("clean.rapid_coverage"), src.dims, get("clean.rca_labels"), src.specs["rapid_coverage"]),
+          month_of="rca_date", follows="rapid_coverage"),
     _same("public.rca_actuals", "staging.rca_actuals"),
     _shown("public.rca", "staging.rca",
            rapid_coverage.PUBLIC_COLUMNS, rapid_coverage.public_submissions),
     _same("public.rca_sources_info", "staging.rca_sources_info"),
     _same("public.rca_not_vaccinated_reasons", "staging.rca_not_vaccinated_reasons"),
 
-    Table("clean.sia_labels", _choices("activity")),
-    Table("clean.activity", _clean("activity"), month_of=DAY),
-    Table("clean.activity_vaccine",
-          _repeat("activity", "vaccine", "_airbyte_ab_id")),
-    Table("clean.target", _clean("target")),
-    Table("clean.target_children",
-          _repeat("target", "target_children", "_airbyte_ab_id")),
+    Table("clean.sia_labels", _choices("activity"), reads=("activity_choices",)),
+    _clean("activity", DAY, "vaccine"),
+    _repeat("activity", "vaccine", DAY, "_airbyte_ab_id"),
+    _clean("target", "campaign_start_date", "target_children"),
+    _repeat("target", "target_children", "campaign_start_date", "_airbyte_ab_id"),
     Table("staging.sia_actuals",
-          lambda get, src: immunization.actuals(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY),
+          lambda get, src: immunization.actuals(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY, follows="activity"),
     Table("staging.sia_targets", lambda get, src: immunization.targets(get("clean.target"), src.dims, src.specs["target"])),
     Table("staging.sia_vaccine_dose",
-          lambda get, src: immunization.doses(get("clean.activity"), src.dims), month_of=DAY),
+          lambda get, src: immunization.doses(get("clean.activity"), src.dims), month_of=DAY, follows="activity"),
     Table("staging.aggregated_sia_actuals_target",
           lambda get, src: immunization.daily_against_target(
               get("clean.activity"), get("staging.sia_targets"), get("staging.sia_vaccine_dose"), src.dims,
               src.spine, src.as_of, src.specs["activity"]),
-          month_of="date"),
+          month_of="date", follows="activity", reads=("calendar",)),
     Table("staging.sia_actuals_target",
           lambda get, src: immunization.daily_by_age_group(
               get("clean.activity"), get("staging.sia_targets"), src.dims, src.spine, src.as_of, src.specs["activity"]),
-          month_of="date"),
+          month_of="date", follows="activity", reads=("calendar",)),
     Table("staging.deferred_refused_reasons",
-          lambda get, src: immunization.unreached_reasons(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY),
+          lambda get, src: immunization.unreached_reasons(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY, follows="activity"),
     Table("staging.sia_records",
-          lambda get, src: immunization.records(get("clean.activity"), src.dims), month_of=DAY),
+          lambda get, src: immunization.records(get("clean.activity"), src.dims), month_of=DAY, follows="activity"),
     _same("public.sia_actuals", "staging.sia_actuals"),
     _same("public.aggregated_sia_actuals_target", "staging.aggregated_sia_actuals_target"),
     _same("public.sia_actuals_targets", "staging.sia_actuals_target"),
@@ -150,28 +183,27 @@ TABLES: tuple[Table, ...] = (
     _shown("public.sia_records", "staging.sia_records",
            immunization.RECORD_COLUMNS, immunization.public_records),
 
-    Table("clean.social", _clean("social")),
-    Table("clean.social_refusals",
-          _repeat("social", "refusals", "id")),
+    _clean("social", "assessment_date", "refusals"),
+    _repeat("social", "refusals", "assessment_date", "id"),
     Table("staging.social_mobilization_indicators",
-          lambda get, src: social.indicators(get("clean.social"), src.dims, spec=src.specs["social"])),
+          lambda get, src: social.indicators(get("clean.social"), src.dims, spec=src.specs["social"]),
+          month_of="assessment_date", follows="social"),
     _shown("public.social_mobilization_indicators", "staging.social_mobilization_indicators",
            social.COLUMNS, social.public_indicators),
 
-    Table("clean.monitoring", _clean("monitoring"), month_of=DAY),
-    Table("clean.monitoring_team_info",
-          _repeat("monitoring", "vaccination_team_info", *RAW_KEYS)),
+    _clean("monitoring", DAY, "vaccination_team_info"),
+    _repeat("monitoring", "vaccination_team_info", DAY, *RAW_KEYS),
     Table("staging.microplan_vaccine_management",
           lambda get, src: monitoring.visit_questions(get("clean.monitoring"), src.dims, src.specs["monitoring"])),
     Table("staging.vaccination_site_questions_monitoring_tool",
           lambda get, src: monitoring.team_questions(get("clean.monitoring"), src.dims, src.specs["monitoring"])),
     Table("staging.monitoring_tool",
-          lambda get, src: monitoring.monitoring_tool(get("clean.monitoring"), src.dims, src.specs["monitoring"]), month_of=DAY),
+          lambda get, src: monitoring.monitoring_tool(get("clean.monitoring"), src.dims, src.specs["monitoring"]), month_of=DAY, follows="monitoring"),
     Table("staging.monitored_facilities_overall_proportion",
           lambda get, src: monitoring.facility_scores(
-              get("clean.monitoring"), src.dims, src.monitoring_categories, src.specs["monitoring"]), month_of=DAY),
+              get("clean.monitoring"), src.dims, src.monitoring_categories, src.specs["monitoring"]), month_of=DAY, follows="monitoring"),
     Table("staging.vaccinated_children_under_monitoring_tool",
-          lambda get, src: monitoring.vaccinated_children(get("clean.monitoring"), src.dims), month_of=DAY),
+          lambda get, src: monitoring.vaccinated_children(get("clean.monitoring"), src.dims), month_of=DAY, follows="monitoring"),
     _same("public.monitoring_tool", "staging.monitoring_tool"),
     _same("public.monitored_facilities_overall_proportion", "staging.monitored_facilities_overall_proportion"),
     _shown("public.vaccinated_children_under_monitoring_tool", "staging.vaccinated_children_under_monitoring_tool",
@@ -179,17 +211,38 @@ TABLES: tuple[Table, ...] = (
 )
 
 
+#: What the labels, scores and daily totals of the staging layer are looked up in.
+_DIMENSIONS = ("admin1", "admin2", "admin3", "admin4", "admin5", "iso", "indicators", "readiness_questions",
+               "monitoring_questions")
+
+
+#: Digests of all sources as of the last refresh by change.
+STATE_TABLE = "clean.refresh_state"
+
+
 @dataclass
 class Warehouse:
-    """Lazy access to every table; published tables are read back instead of recomputed."""
+    """Lazy access to every table; published tables are read back instead of recomputed.
+
+    Several warehouses share a catalog under different ``suffix``es of their namespaces (``clean_za.activity``);
+    ``location`` is the folder of the namespaces that have to be created.
+    """
 
     inputs: Inputs
     frames: dict[str, DataFrame] = field(default_factory=dict)
     published: set[str] = field(default_factory=set)
+    suffix: str = ""
+    location: str | None = None
+
+    def catalog_name(self, name: str) -> str:
+        """Where readers find a table."""
+        layer, table = name.split(".")
+        return f"{layer}{self.suffix}.{table}"
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:
-            self.frames[name] = _BY_NAME[name].build(self.__getitem__, self.inputs)
+            table = _BY_NAME[name]
+            self.frames[name] = table.build(self.__getitem__, self.inputs).drop(*table.hidden)
         return self.frames[name]
 
     def refresh(self, spark: SparkSession, names: Sequence[str] | None = None, mode: str = "view",
@@ -197,39 +250,136 @@ class Warehouse:
         """Publish the named tables (all by default) in dependency order; run it on a schedule.
 
         In table mode every later table reads the written earlier ones: each landed form is parsed
-        once, and a lost executor costs at most the tasks of the table being written. Tables that rename
+        once, its repeat group included, and a lost executor costs at most the tasks of the table being written. Tables that rename
         or show another become catalog views of it, for all sessions. ``since`` limits the rewrite of
         month-partitioned tables, and what they read of such tables, to that month and later and to rows
         without a day; it has to reach back to the earliest day, old or new, of a submission changed
-        since the last refresh.
+        since the last refresh. ``refresh_changed`` finds the months itself.
         """
         if mode == "table":
-            ensure_namespaces(spark)
+            self._namespaces(spark)
         for table in TABLES:
-            if names is not None and table.name not in names:
-                continue
-            source, columns = table.shown_from or (table.same_as, ())
-            if mode == "table" and source in self.published:
-                if table.shown_from:
-                    frame = publish_projection(spark, table.name, source, columns, STAMPS)
-                else:
-                    frame = publish_alias(spark, table.name, source, self[source].columns)
-            else:
-                frame = table.build(self._reader(spark, table, mode, since), self.inputs)
-                frame = publish(frame, table.name, mode, table.month_of, since)
-            self.frames[table.name] = frame
-            self.published.add(table.name)
+            if names is None or table.name in names:
+                self._publish(spark, table, mode, since=since)
         return {t.name: self.frames[t.name] for t in TABLES if t.name in self.frames}
 
-    def _reader(self, spark: SparkSession, table: Table, mode: str, since: str | None) -> Get:
-        """What ``table`` is built from: of written tables that follow the same day only the recent months,
-        when only these are replaced. Days of such tables are days of their sources."""
+    def refresh_changed(self, spark: SparkSession, names: Sequence[str] | None = None, state: str = STATE_TABLE,
+                        stamps: Mapping[str, Sequence[str]] | None = None) -> dict[str, set[date | None] | None]:
+        """Publish what changed since the last call: the months rewritten of each table, None for a whole table.
+
+        Every source is digested by month and compared with the digests of the last call (``state`` keeps them, one state for
+        one set of ``names``). A table whose months follow a form's day is rewritten in the months in which
+        that form changed, edited, moved, undated and vanished submissions included; a table that has no day, or
+        reads another changed source, such as a dimension, is rewritten in full; others are left alone. ``stamps`` lists, by form,
+        landed columns that change whenever a submission does, which makes the digest a narrow scan.
+
+        Digests are taken before anything is written and kept after everything is, so what changes in
+        between, or is left over by a failure, is found by the next call.
+        """
+        self._namespaces(spark)
+        wanted = [t for t in TABLES if names is None or t.name in names]
+        sources = {t.name: self.sources(t.name) for t in wanted}
+        now = self._digests(set().union(*sources.values()), stamps or {})
+        state = self.catalog_name(state)
+        moved = changed(now, read_state(spark, state))
+        done: dict[str, set[date | None] | None] = {}
+        for table in wanted:
+            mine = {s: moved[s] for s in sources[table.name] if s in moved}
+            public = self.catalog_name(table.name)
+            there = spark.catalog.tableExists(public)
+            if not mine and there:
+                self.frames[table.name] = spark.table(public)
+                self.published.add(table.name)
+                continue
+            months: set[date | None] | None = set()
+            for source, days in mine.items():
+                local = source in (table.follows, "calendar") and table.month_of
+                months = months | days if local and days is not None and months is not None else None
+            source = table.same_as or (table.shown_from or (None,))[0]
+            self._publish(spark, table, "table", months=months if there else None)
+            done[table.name] = done.get(source, months) if source else months if there else None
+        if moved:
+            publish(spark.createDataFrame(now, STATE), state, "table")
+        return done
+
+    def _namespaces(self, spark: SparkSession) -> None:
+        ensure_namespaces(spark, [f"{layer}{self.suffix}" for layer in LAYERS], self.location)
+
+    def sources(self, name: str) -> frozenset[str]:
+        """The forms, choices, dimensions and calendar that a table is built from. Frames are built for it, no job is run."""
+        table, met = _BY_NAME[name], set()
+
+        def get(read: str) -> DataFrame:
+            met.add(read)
+            return self[read]
+
+        table.build(get, self.inputs)
+        own = {*table.reads, *(_DIMENSIONS if name.startswith("staging.") else ())}
+        return frozenset(own.union(*[self.sources(read) for read in met]))
+
+    def _digests(self, sources: set[str], stamps: Mapping[str, Sequence[str]]) -> list[Row]:
+        """Digests of the named sources, one row a source and month."""
+        src = self.inputs
+        calendar = cutoff(src.spine, "date", src.as_of)
+        frames = {"calendar": digests(calendar, "calendar", "date")}
+        for name, choices in src.choices.items():
+            frames[f"{name}_choices"] = digests(choices, f"{name}_choices")
+        for level, area in src.dims.areas.items():
+            frames[f"admin{level}"] = digests(area, f"admin{level}")
+        for name in ("iso", "indicators", "readiness_questions", "monitoring_questions"):
+            frames[name] = digests(getattr(src.dims, name), name)
+        for name, form in src.forms.items():
+            frames[name] = digests(form, name, _landed_day(name, src.specs[name]), stamps.get(name))
+        wanted = [frames[s] for s in sorted(sources)]
+        return reduce(DataFrame.unionByName, wanted).collect() if wanted else []
+
+    def _publish(self, spark: SparkSession, table: Table, mode: str, since: str | None = None,
+                 months: set[date | None] | None = None) -> None:
+        """Publish one table, or its rows since a month, or of the given months."""
+        name = self.catalog_name(table.name) if mode == "table" else table.name
+        source, columns = table.shown_from or (table.same_as, ())
+        if mode == "table" and source in self.published:
+            if table.shown_from:
+                frame = publish_projection(spark, name, self.catalog_name(source), columns, STAMPS)
+            else:
+                frame = publish_alias(spark, name, self.catalog_name(source), self[source].columns)
+        else:
+            inputs = self.inputs
+            if months is not None and table.name == f"clean.{table.follows}":
+                inputs = _only_months(inputs, table.follows, months)
+            frame = table.build(self._reader(spark, table, mode, since, months), inputs)
+            frame = publish(frame, name, mode, table.month_of, since, months=months, hidden=table.hidden)
+        self.frames[table.name] = frame
+        self.published.add(table.name)
+
+    def _reader(self, spark: SparkSession, table: Table, mode: str, since: str | None,
+                months: set[date | None] | None) -> Get:
+        """What ``table`` is built from: written tables with their repeat groups parsed, and of those that follow
+        the same day only the months that are replaced."""
         def get(name: str) -> DataFrame:
-            month_of = _BY_NAME[name].month_of
-            if mode == "table" and since and table.month_of and month_of and name in self.published:
-                return recent_rows(spark, name, month_of, since)
-            return self[name]
+            source = _BY_NAME[name]
+            written = self.catalog_name(name)
+            if mode != "table" or name not in self.published or current_version(spark, written) is None:
+                return self[name]
+            same_day = table.follows is not None and source.follows == table.follows
+            rows = published_rows(spark, written, source.month_of, since if same_day else None, months if same_day else None)
+            shown = self[name].columns
+            return rows.select(*[
+                F.col(parsed_column(c)).alias(c) if parsed_column(c) in source.hidden else F.col(f"`{c}`") for c in shown])
         return get
 
 
+def _landed_day(form: str, spec: FormSpec) -> str | None:
+    """The landed column that holds the day by which the clean form is partitioned."""
+    day = _BY_NAME[f"clean.{form}"].month_of
+    return next((landed for landed, clean, _ in spec.clean_columns() if clean == day), None)
+
+
+def _only_months(inputs: Inputs, form: str, months: set[date | None]) -> Inputs:
+    """The inputs with a landed form's submissions of the given months only."""
+    day = _landed_day(form, inputs.specs[form])
+    rows = in_months(inputs.forms[form], F.trunc(F.col(f"`{day}`").try_cast("date"), "month"), months)
+    return replace(inputs, forms={**inputs.forms, form: rows})
+
+
 _BY_NAME = {t.name: t for t in TABLES}

@@ -34,3 +34,9 @@ def local_session(cores: int | str = 8, app: str = "fieldtally", **extra: str) -
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors see: the one named by spark.checkpoint.dir, else the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")

@@ -1,5 +1,6 @@
 from fieldtally.sources.tables import (
     date_spine,
+    land_form,
     read_choice_labels,
     read_dim,
     read_form,
@@ -8,4 +9,5 @@ from fieldtally.sources.tables import (
 )
 
 __all__ = [
-    "date_spine", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between", ]
+    "date_spine", "land_form", "read_choice_labels", "read_dim", "read_form", "rename_choices", "spine_between",
+]

@@ -21,11 +21,27 @@ DIM_SCHEMAS = {
 
 
 def read_form(spark: SparkSession, spec: FormSpec, path: str | None = None, table: str | None = None,
-              format: str = "parquet") -> DataFrame:
-    """A landed form, from a catalog table or from files; files are read with the form's own schema."""
+              format: str = "parquet", spread: int | None = None) -> DataFrame:
+    """A landed form, from a catalog table or from files; files are read with the form's own schema.
+
+    A file is read in as many tasks as it has row groups, however many cores there are. Forms that ``land_form``
+    writes have enough of them. For others, such as one file that a connector wrote in one row group, ``spread``
+    deals the rows over that many partitions: a lazy shuffle of the columns that a table uses, below which columns
+    and filters still reach the scan.
+    """
     if table is not None:
-        return spark.table(table).select(*[F.col(f"`{c}`") for c in spec.landed_columns()])
-    return spark.read.schema(spec.landed_schema()).format(format).load(path)
+        rows = spark.table(table).select(*[F.col(f"`{c}`") for c in spec.landed_columns()])
+    else:
+        rows = spark.read.schema(spec.landed_schema()).format(format).load(path)
+    return rows if spread is None else rows.repartition(spread)
+
+
+def land_form(form: DataFrame, path: str | None = None, table: str | None = None, mode: str = "error",
+              row_group_bytes: int = 16 << 20) -> None:
+    """Write a landed form as Parquet in row groups of bounded size, so that also a form of one file is read by
+    many tasks. ``row_group_bytes`` counts bytes before compression; text of repeat groups shrinks about tenfold."""
+    writer = form.write.mode(mode).format("parquet").option("parquet.block.size", row_group_bytes)
+    writer.saveAsTable(table) if table is not None else writer.save(path)
 
 
 def read_dim(spark: SparkSession, name: str, path: str, format: str = "csv") -> DataFrame:

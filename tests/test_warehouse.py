@@ -1,5 +1,6 @@
 """The warehouse as a whole, as session views and as written tables."""
 
+import re
 from dataclasses import replace
 
 import pytest
@@ -96,7 +97,7 @@ def test_refresh_moves_drops_and_keeps_rows(spark):
     new = dated(spark, (1, "2024-04-05", "a", "x"), (2, "2024-01-07", "changed before since", "x"), (6, None, "f", "x"))
     got = publish(new, "staging.moving", "table", "day", since="2024-03-20")
     assert rows(got) == sorted([(1, "2024-04-05", "a", "x"), (2, "2024-01-07", "b", "x"), (6, None, "f", "x")], key=repr)
-    months = {r.partition.split("=")[1] for r in spark.sql(f"show partitions {current_version(spark, 'staging.moving')}").collect()}
+    months = {r.partition.split("=")[1].split("/")[0] for r in spark.sql(f"show partitions {current_version(spark, 'staging.moving')}").collect()}
     assert {m for m in months if m[:2] == "20"} == {"2024-01-01", "2024-04-01"}
     got = publish(dated(spark, (1, "2024-04-05", "a", "x")), "staging.moving", "table", "day", since="2024-03-20")
     assert rows(got) == [(1, "2024-04-05", "a", "x"), (2, "2024-01-07", "b", "x")]
@@ -126,7 +127,7 @@ def test_recent_rows_prune_partitions(spark):
     recent = recent_rows(spark, "staging.pruned", "day", "2024-05-09")
     assert rows(recent, "id") == [(2,), (3,)]
     plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((day_month" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*day_month", plan)  # beside the batches that the view shows
 
 
 def test_incremental_refresh_equals_a_full_one(spark):
