@@ -34,7 +34,8 @@ def land(spark, sf_dir: str) -> tuple[Inputs, float]:
     folder = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_TMP", "/tmp"))
     for name, form in LANDED.items():
         land_form(form(spark, sf_dir), f"{folder}/{name}")
-    forms = {name: read_form(spark, FORMS[name], f"{folder}/{name}") for name in LANDED}
+    spread = spark.sparkContext.defaultParallelism
+    forms = {name: read_form(spark, FORMS[name], f"{folder}/{name}", spread=spread) for name in LANDED}
     return dataclasses.replace(inputs(spark, sf_dir), forms=forms), time.perf_counter() - start
 
 
