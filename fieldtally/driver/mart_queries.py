@@ -10,25 +10,39 @@ from fieldtally.driver import raw_forms as raw
 from fieldtally.driver.registry import query
 from fieldtally.driver.sql import (
     AGES, CHOICES, MONITORING_DICTIONARY, MONITORING_SIZES, READINESS_DICTIONARY, READINESS_SIZES, area_joins,
-    area_labels, cells, coordinates, iso_code, iso_join, readiness_answers, stamps,
+    area_labels, cells, coordinates, filled_columns, iso_code, iso_join, json_group, readiness_answers, stamps,
 )
-from fieldtally.forms import MONITORING, READINESS
+from fieldtally.forms import ACTIVITY, FORMS, MONITORING, RAPID_COVERAGE, READINESS, TARGET
 from fieldtally.forms.activity import COVERAGE_COUNTS, REASON_COUNTS
 from fieldtally.forms.rapid_coverage import CHILDREN_COUNTS, INFORMATION_SOURCES, REASONS
 from fieldtally.forms.social import MOBILIZATION, REFUSALS_ADDRESSED, RUMOURS
+from fieldtally.operators.repeat import short_name
 from fieldtally.plans.warehouse import Warehouse
 
 ORDER_DAY = raw.ORDER_DAY
 PLACE_LIST = "admin1, admin2, admin3, admin4, admin5"
 
 
-def _mart(key: str, table_name: str, sql: str, forms: tuple[str, ...], columns: tuple[str, ...] = ()) -> None:
-    """Register warehouse table ``table_name``, or some of its columns, under ``key``."""
-    def run(spark, sf_dir):
-        frame = Warehouse(raw.inputs(spark, sf_dir, forms))[table_name]
-        return frame.select(*columns) if columns else frame
+def _mart(key: str, table_name: str, sql: str, forms: tuple[str, ...], fill: bool = False) -> None:
+    """Register warehouse table ``table_name`` under ``key``; ``fill`` gives all landed columns a content."""
+    query(key, sql)(lambda spark, sf_dir: Warehouse(raw.inputs(spark, sf_dir, forms, fill))[table_name])
 
-    query(key, sql)(run)
+
+def _clean(name: str, key: str, stated: tuple[str, ...], sql: str, more: dict[str, str] | None = None,
+           typed: dict[str, str] | None = None) -> None:
+    """Register a clean form with all its columns. ``sql`` selects the ``stated`` ones, ``more`` states others, and
+    the rest are filled, as text unless ``typed`` says otherwise."""
+    more = more or {}
+    rest = filled_columns(FORMS[name], key, {*stated, *more}, typed or {})
+    added = ", ".join([*[f'{e} as "{c}"' for c, e in more.items()], rest])
+    _mart(f"clean_{name}", f"clean.{name}", sql.replace("select ", f"select {added}, ", 1), (name,), fill=True)
+
+
+def _repeat(key: str, table_name: str, form: str, stated: tuple[str, ...], sql: str) -> None:
+    """Register a repeat table with all its columns; those that no submission answers are NULL text."""
+    fields = [short_name(f) for f in FORMS[form].repeat.fields]
+    unanswered = "".join(f'cast(null as varchar) as "{f}", ' for f in dict.fromkeys(fields) if f not in stated)
+    _mart(key, table_name, sql.replace("select ", f"select {unanswered}", 1), (form,))
 
 
 def _public(key: str, table_name: str, staged: str, forms: tuple[str, ...]) -> None:
@@ -339,34 +353,36 @@ _public("public_vaccinated_children", "public.vaccinated_children_under_monitori
 
 # ---------------------------------------------------------------- clean repeat groups
 
-_mart("clean_activity_vaccine", "clean.activity_vaccine", f"""
+_repeat("clean_activity_vaccine", "clean.activity_vaccine", "activity",
+        ("_airbyte_ab_id", "pos", "age_group_label", "age_group_name", *raw.ACTIVITY_FIELDS), f"""
     select concat('r', o_orderkey) as _airbyte_ab_id, cast(e + 1 as varchar) as pos, age as age_group_label,
            concat('g', e) as age_group_name,
            {', '.join(f"cast({raw.activity_cell(f, 'e')} as {'varchar' if f == 'vaccinated_males_previously_refused' else 'bigint'}) as {f}"
                       for f in raw.ACTIVITY_FIELDS)}
-    from orders, {AGES} where e < {raw.repeat_length('o_orderkey')}""", ("activity",),
-      columns=("_airbyte_ab_id", "pos", "age_group_label", "age_group_name", *raw.ACTIVITY_FIELDS))
+    from orders, {AGES} where e < {raw.repeat_length('o_orderkey')}""")
 _mart("clean_target_children", "clean.target_children", f"""
     select concat('t', o_custkey, '-', o_orderpriority, '-', half) as _airbyte_ab_id, cast(e + 1 as varchar) as pos,
            age as age_group_label, concat('g', e) as age_group_name, cast({raw.target_cell('e')} as bigint) as no_children
     from {CAMPAIGN}, {AGES} where e < {raw.repeat_length('o_custkey')}""", ("target",))
-_mart("clean_rapid_coverage_vaccination", "clean.rapid_coverage_vaccination", f"""
+_repeat("clean_rapid_coverage_vaccination", "clean.rapid_coverage_vaccination", "rapid_coverage",
+        ("_airbyte_ab_id", "_airbyte_emitted_at", "pos", "age_group_name", "age_group_label", *raw.CHILD_FIELDS, *raw.REASON_FIELDS), f"""
     select concat('c', o_orderkey) as _airbyte_ab_id, cast({ORDER_DAY} as varchar) as _airbyte_emitted_at,
-           cast(e + 1 as varchar) as pos, age as age_group_label,
+           cast(e + 1 as varchar) as pos, concat('g', e) as age_group_name, age as age_group_label,
            {', '.join(f"cast({raw.child_cell(f, 'e')} as varchar) as {f}" for f in raw.CHILD_FIELDS)},
            {', '.join(f"cast({raw.reason_cell(f, 'e')} as varchar) as {f}" for f in raw.REASON_FIELDS)}
-    from orders, {AGES} where e < {raw.repeat_length('o_orderkey')}""", ("rapid_coverage",),
-      columns=("_airbyte_ab_id", "_airbyte_emitted_at", "pos", "age_group_label", *raw.CHILD_FIELDS, *raw.REASON_FIELDS))
+    from orders, {AGES} where e < {raw.repeat_length('o_orderkey')}""")
 _mart("clean_social_refusals", "clean.social_refusals", f"""
     select cast(event_id as varchar) as id, cast(e + 1 as varchar) as pos, concat('v', e) as vaccine_name,
            {raw.refusal_vaccine('e')} as vaccine_label, cast({raw.refusal_cell('e')} as varchar) as refusals_addressed
     from events, {AGES} where e < {raw.REFUSAL_ROWS}""", ("social",))
-_mart("clean_monitoring_team_info", "clean.monitoring_team_info", f"""
+_repeat("clean_monitoring_team_info", "clean.monitoring_team_info", "monitoring",
+        ("_airbyte_ab_id", "_airbyte_emitted_at", "pos", "vt_leader", *raw.TEAM_FIELDS, *[f"{f}_remarks" for f in raw.TEAM_FIELDS]), f"""
     select concat('m', c_custkey) as _airbyte_ab_id, cast({VISIT_DAY} as varchar) as _airbyte_emitted_at,
            cast(e + 1 as varchar) as pos, concat('leader ', e) as vt_leader,
-           {', '.join(f"{raw.team_answer(f, 'e')} as {f}" for f in raw.TEAM_FIELDS)}
-    from customer, {AGES} where e < {raw.TEAMS}""", ("monitoring",),
-      columns=("_airbyte_ab_id", "_airbyte_emitted_at", "pos", "vt_leader", *raw.TEAM_FIELDS))
+           {', '.join(f"{raw.team_answer(f, 'e')} as {f}" for f in raw.TEAM_FIELDS)},
+           {', '.join(f"case when (c_custkey + {i} + e) % 4 = 0 then concat('note ', {i} + e) end as {f}_remarks"
+                      for i, f in enumerate(raw.TEAM_FIELDS))}
+    from customer, {AGES} where e < {raw.TEAMS}""")
 
 
 # ---------------------------------------------------------------- clean forms
@@ -387,51 +403,77 @@ def _filled(cells_by_column: dict[str, str]) -> str:
     return ", ".join(f"{expression} as {column}" for column, expression in cells_by_column.items())
 
 
-_mart("clean_readiness", "clean.readiness", f"""
+_clean("readiness", "c_custkey",
+    ("id", "assessment_date", "enumerator", "submitted_at", "modified_at", *_AREA_NAMES, *_READINESS_FILLED),
+    f"""
     select cast(c_custkey as varchar) as id, cast({VISIT_DAY} as varchar) as assessment_date, c_mktsegment as enumerator,
            {stamps(VISIT_DAY)}, {_area_texts(raw.FACILITY, codes={5: FACILITY_CODE})}, {_filled(_READINESS_FILLED)}
-    from customer""", ("readiness",),
-      columns=("id", "assessment_date", "enumerator", "submitted_at", "modified_at", *_AREA_NAMES, *_READINESS_FILLED))
-_mart("clean_monitoring", "clean.monitoring", f"""
+    from customer""",
+    more={"admin4_lat": raw.text(raw.latitude("c_custkey")), "admin4_long": raw.text(raw.longitude("c_custkey")),
+        "vaccine_administered": """concat('["', lower(c_mktsegment), '" "opv"]')"""})
+_clean("monitoring", "c_custkey",
+    ("id", "_airbyte_ab_id", "date_vaccination_activity", "submitted_at", "modified_at", "admin4_lat",
+               "total_vaccinated_as_time_visit", *_AREA_NAMES, *_MONITORING_FILLED),
+    f"""
     select cast(c_custkey as varchar) as id, concat('m', c_custkey) as _airbyte_ab_id,
            {VISIT_DAY} as date_vaccination_activity, {VISIT_DAY} as submitted_at, {VISIT_DAY} + 1 as modified_at,
            cast({raw.latitude('c_custkey')} as real) as admin4_lat, cast(c_custkey % 90 as int) as total_vaccinated_as_time_visit,
            {_area_texts('c_custkey', codes={5: "(case when c_custkey % 13 = 0 then 'unknown' else cast(c_custkey as varchar) end)"})},
            {_filled(_MONITORING_FILLED)}
-    from customer""", ("monitoring",),
-      columns=("id", "_airbyte_ab_id", "date_vaccination_activity", "submitted_at", "modified_at", "admin4_lat",
-               "total_vaccinated_as_time_visit", *_AREA_NAMES, *_MONITORING_FILLED))
-_mart("clean_rapid_coverage", "clean.rapid_coverage", f"""
+    from customer""",
+    more={"admin4_long": f"cast({raw.longitude('c_custkey')} as real)", "enumerator": "c_mktsegment",
+        "vaccine_label": "concat('vaccine ', c_nationkey % 3)", "hc_target": "cast(c_custkey % 120 as varchar)",
+        "_airbyte_emitted_at": f"cast({VISIT_DAY} as varchar)",
+        "vaccination_team_info": json_group(MONITORING, raw.TEAMS, raw.monitoring_elements())},
+    typed={"vaccination_teams_no": "int", "start": "timestamp", "end": "timestamp", "today": "date"})
+_clean("rapid_coverage", "o_orderkey",
+    ("id", "_airbyte_ab_id", "rca_date", "doors_visited", "rca_mop_up", "conducted_by", "vaccine_administered",
+               "submitted_at", "modified_at", *_AREA_NAMES, *[c for _, c in INFORMATION_SOURCES]),
+    f"""
     select cast(o_orderkey as varchar) as id, concat('c', o_orderkey) as _airbyte_ab_id,
            cast({ORDER_DAY} as varchar) as rca_date, cast(o_orderkey % 30 as int) as doors_visited,
            case when o_orderkey % 3 = 0 then 'Yes' else 'No' end as rca_mop_up, o_orderstatus as conducted_by,
            o_orderpriority as vaccine_administered, {stamps(ORDER_DAY)}, {_area_texts('o_custkey')},
            {_filled({c: f"cast({raw.source_cell(c)} as {'varchar' if c == 'health_workers' else 'int'})"
                      for _, c in INFORMATION_SOURCES})}
-    from orders""", ("rapid_coverage",),
-      columns=("id", "_airbyte_ab_id", "rca_date", "doors_visited", "rca_mop_up", "conducted_by", "vaccine_administered",
-               "submitted_at", "modified_at", *_AREA_NAMES, *[c for _, c in INFORMATION_SOURCES]))
-_mart("clean_activity", "clean.activity", f"""
+    from orders""",
+    more={"enumerator": "concat('enumerator ', o_orderkey % 17)", "_airbyte_emitted_at": f"cast({ORDER_DAY} as varchar)",
+        "admin4_lat": raw.text(raw.latitude("o_custkey")), "admin4_long": raw.text(raw.longitude("o_custkey")),
+        "vaccination": json_group(RAPID_COVERAGE, raw.repeat_length("o_orderkey"), raw.rapid_coverage_elements(), nulls=True)},
+    typed={"total_unvaccinated": "int", "vaccinated_total": "int", "sources_total": "int"})
+_clean("activity", "o_orderkey",
+    ("id", "_airbyte_ab_id", "date_vaccination_activity", "vaccine_label", "vials_used", "vial_dosage",
+               "vials_discarded", "admin4_lat", "admin4_long", "submitted_at", "modified_at", *_AREA_NAMES),
+    f"""
     select cast(o_orderkey as varchar) as id, concat('r', o_orderkey) as _airbyte_ab_id,
            {ORDER_DAY} as date_vaccination_activity, o_orderpriority as vaccine_label, {raw.VIALS_USED} as vials_used,
            {raw.VIAL_DOSAGE} as vial_dosage, {raw.VIALS_DISCARDED} as vials_discarded,
            {raw.latitude('o_custkey')} as admin4_lat, {raw.longitude('o_custkey')} as admin4_long,
            {stamps(ORDER_DAY)}, {_area_texts('o_custkey')}
-    from orders""", ("activity",),
-      columns=("id", "_airbyte_ab_id", "date_vaccination_activity", "vaccine_label", "vials_used", "vial_dosage",
-               "vials_discarded", "admin4_lat", "admin4_long", "submitted_at", "modified_at", *_AREA_NAMES))
-_mart("clean_target", "clean.target", f"""
+    from orders""",
+    more={"enumerator": "concat('enumerator ', o_orderkey % 17)",
+        "vaccine": json_group(ACTIVITY, raw.repeat_length("o_orderkey"), raw.activity_elements())})
+_clean("target", "o_custkey",
+    ("id", "vaccine_label", "campaign_start_date", "campaign_end_date", *_AREA_NAMES),
+    f"""
     select concat(o_custkey, '-', o_orderpriority, '-', half) as id, o_orderpriority as vaccine_label,
            cast(first_day as varchar) as campaign_start_date,
            cast(first_day + {raw.CAMPAIGN_LENGTH} as varchar) as campaign_end_date, {_area_texts('o_custkey')}
-    from {CAMPAIGN}""", ("target",),
-      columns=("id", "vaccine_label", "campaign_start_date", "campaign_end_date", *_AREA_NAMES))
-_mart("clean_social", "clean.social", f"""
+    from {CAMPAIGN}""",
+    more={"_airbyte_ab_id": "concat('t', o_custkey, '-', o_orderpriority, '-', half)",
+        "target_children": json_group(
+            TARGET, raw.repeat_length("o_custkey"),
+            # one array has one type: the number landed as text becomes a number like the others
+            [{**cells, "no_children": raw.target_cell(e)} for e, cells in enumerate(raw.target_elements())], nulls=True)})
+_clean("social", "event_id",
+    ("id", "assessment_date", "conducted_by", "submitted_at", "modified_at", *_AREA_NAMES[:4], *raw.SOCIAL_COLUMNS),
+    f"""
     select cast(event_id as varchar) as id, cast({raw.EVENT_DAY} as varchar) as assessment_date,
            {raw.SOCIAL_CONDUCTED_BY} as conducted_by, {stamps(raw.EVENT_DAY)}, {_area_texts('user_id', 4)},
            {_filled({c: f"cast({raw.social_cell(c)} as varchar)" for c in raw.SOCIAL_COLUMNS})}
-    from events""", ("social",),
-      columns=("id", "assessment_date", "conducted_by", "submitted_at", "modified_at", *_AREA_NAMES[:4], *raw.SOCIAL_COLUMNS))
+    from events""",
+    more={"enumerator": "concat('enumerator ', event_id % 17)", "conducted_by_other": "concat('team ', user_id % 9)",
+        "refusals": json_group(FORMS["social"], raw.REFUSAL_ROWS, raw.social_elements())})
 
 
 # ---------------------------------------------------------------- public tables that rename a staged one

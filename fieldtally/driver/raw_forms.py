@@ -113,14 +113,32 @@ def text(expression: str) -> str:
 
 # ---------------------------------------------------------------- landing
 
-def landed(base: DataFrame, spec: FormSpec, values: Mapping[str, str]) -> DataFrame:
-    """``base`` as a landed form: ``values`` gives the filled columns, the others are NULL."""
+def filler(spec: FormSpec, landed_name: str, key: str) -> str:
+    """A value for a column that no table needs: text with gaps, or what its type takes."""
+    number = spec.landed_columns().index(landed_name)
+    clean = next((to for name, _, to in spec.clean_columns() if name == landed_name), "string")
+    kind = spec.landed_types.get(landed_name, clean)
+    values = {
+        "int": f"cast(({key} + {number}) % 19 as int)",
+        "double": f"cast(({key} + {number}) % 9 as double) + 0.5",
+        "float": f"cast(({key} + {number}) % 9 as double) + 0.5",
+        "date": f"date '2024-02-01' + cast(({key} + {number}) % 25 as int)",
+        "timestamp_ntz": f"concat(cast(date '2024-02-01' + cast(({key} + {number}) % 25 as int) as string), ' 09:30:00')",
+        "string": f"case when ({key} + {number}) % 3 <> 0 then concat('v{number} ', {key} % 11) end",
+    }
+    return values[kind]
+
+
+def landed(base: DataFrame, spec: FormSpec, values: Mapping[str, str], fill: str | None = None) -> DataFrame:
+    """``base`` as a landed form: ``values`` gives the columns that tables need. The others are NULL, or filled
+    from the key column ``fill``."""
     unknown = set(values) - set(spec.landed_columns())
     if unknown:
         raise KeyError(f"not in form {spec.name}: {sorted(unknown)}")
+    others = {c: filler(spec, c, fill) if fill else "null" for c in spec.landed_columns() if c not in values}
     return base.selectExpr(
         *[
-            f"cast({values.get(c, 'null')} as {spec.landed_types.get(c, 'string')}) as `{c}`"
+            f"cast({values.get(c) or others[c]} as {spec.landed_types.get(c, 'string')}) as `{c}`"
             for c in spec.landed_columns()
         ]
     )
@@ -169,8 +187,8 @@ def activity_cell(field: str, element: int | str) -> str:
     return sparse_cell("o_orderkey", index, element) if sparse else count_cell("o_orderkey", index, element)
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    elements = [
+def activity_elements() -> list[dict[str, str]]:
+    return [
         {
             "pos": f"'{e + 1}'",
             "age_group_name": f"'g{e}'",
@@ -183,6 +201,9 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         for e, label in enumerate(AGE_GROUPS)
     ]
+
+
+def activity(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     return landed(table(spark, sf_dir, "orders"), ACTIVITY, {
         **_common("o_orderkey", ORDER_DAY),
         **_areas("geographic_location", "o_custkey"),
@@ -192,11 +213,11 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "geographic_location_admin4_lat": latitude("o_custkey"),
         "geographic_location_admin4_long": longitude("o_custkey"),
         "immunization_coverage_vaccine_label": "o_orderpriority",
-        "immunization_coverage_vaccine": json_group(ACTIVITY, repeat_length("o_orderkey"), elements),
+        "immunization_coverage_vaccine": json_group(ACTIVITY, repeat_length("o_orderkey"), activity_elements()),
         "vaccine_logistics_vials_used": VIALS_USED,
         "vaccine_logistics_vial_dosage": VIAL_DOSAGE,
         "vaccine_logistics_vials_discarded": VIALS_DISCARDED,
-    })
+    }, "o_orderkey" if fill else None)
 
 
 # A campaign per facility, vaccine and half of the orders: the two halves' windows often overlap.
@@ -216,8 +237,8 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CAMPAIGNS_SQL.format(orders="{orders}"), orders=table(spark, sf_dir, "orders"))
 
 
-def target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    elements = [
+def target_elements() -> list[dict[str, str]]:
+    return [
         {
             "pos": f"'{e + 1}'",
             "age_group_name": f"'g{e}'",
@@ -226,6 +247,9 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         for e, label in enumerate(AGE_GROUPS)
     ]
+
+
+def target(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     return landed(campaigns(spark, sf_dir), TARGET, {
         **_areas("geographic_location", "o_custkey"),
         "_id": "concat(o_custkey, '-', o_orderpriority, '-', half)",
@@ -233,8 +257,8 @@ def target(spark: SparkSession, sf_dir: str) -> DataFrame:
         "immunization_campaign_details_campaign_start_date": text("first_day"),
         "immunization_campaign_details_campaign_end_date": text(f"first_day + {CAMPAIGN_LENGTH}"),
         "immunization_coverage_vaccine_label": "o_orderpriority",
-        "immunization_coverage_target_children": json_group(TARGET, repeat_length("o_custkey"), elements, nulls=True),
-    })
+        "immunization_coverage_target_children": json_group(TARGET, repeat_length("o_custkey"), target_elements(), nulls=True),
+    }, "o_custkey" if fill else None)
 
 
 # ---------------------------------------------------------------- rapid coverage, from orders
@@ -256,8 +280,8 @@ def source_cell(column: str) -> str:
     return count_cell("o_orderkey", [c for _, c in INFORMATION_SOURCES].index(column), 0, gap=2)
 
 
-def rapid_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    elements = [
+def rapid_coverage_elements() -> list[dict[str, str]]:
+    return [
         {
             "pos": f"'{e + 1}'",
             "age_group_name": f"'g{e}'",
@@ -267,6 +291,9 @@ def rapid_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         for e, label in enumerate(AGE_GROUPS)
     ]
+
+
+def rapid_coverage(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     return landed(table(spark, sf_dir, "orders"), RAPID_COVERAGE, {
         **_common("o_orderkey", ORDER_DAY),
         **_areas("geographical_location", "o_custkey"),
@@ -281,9 +308,9 @@ def rapid_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
         "geographical_location_admin4_lat": text(latitude("o_custkey")),
         "geographical_location_admin4_long": text(longitude("o_custkey")),
         "immunization_coverage_vaccination": json_group(
-            RAPID_COVERAGE, repeat_length("o_orderkey"), elements, nulls=True),
+            RAPID_COVERAGE, repeat_length("o_orderkey"), rapid_coverage_elements(), nulls=True),
         **{f"sources_{c}": f"cast({source_cell(c)} as int)" for _, c in INFORMATION_SOURCES},
-    })
+    }, "o_orderkey" if fill else None)
 
 
 # Choices of the rapid coverage form: question, code, label. One vaccine has no label.
@@ -344,7 +371,7 @@ def readiness_remark(column: str) -> str:
     return remark_cell("c_custkey", sorted(q.remark for q in READINESS.questions).index(column))
 
 
-def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readiness(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     answers = {q.value: readiness_answer(q.name) for q in READINESS.questions if q.name != "vacc_mngt_indicator4"}
     remarks = {q.remark: readiness_remark(q.remark) for q in READINESS.questions}
     filled = {**answers, **remarks}
@@ -361,7 +388,7 @@ def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
         "assessment_details_enumerator": "c_mktsegment",
         "assessment_details_vaccine_administered": """concat('["', lower(c_mktsegment), '" "opv"]')""",
         **grouped,
-    })
+    }, "c_custkey" if fill else None)
 
 
 TEAM_FIELDS = tuple(f"part3_indicator{i}" for i in range(1, 19))
@@ -392,10 +419,8 @@ def team_answer(name: str, element: int | str) -> str:
 TEAMS = "cast(c_custkey % 3 as int)"
 
 
-def monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = {q.value: monitoring_answer(q.name) for q in MONITORING.questions}
-    columns |= {q.remark: monitoring_remark(q.remark) for q in MONITORING.questions}
-    elements = [
+def monitoring_elements() -> list[dict[str, str]]:
+    return [
         {
             "pos": f"'{e + 1}'",
             "vt_leader": f"concat('leader ', {e})",
@@ -404,6 +429,11 @@ def monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         for e in range(2)
     ]
+
+
+def monitoring(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
+    columns = {q.value: monitoring_answer(q.name) for q in MONITORING.questions}
+    columns |= {q.remark: monitoring_remark(q.remark) for q in MONITORING.questions}
     return landed(table(spark, sf_dir, "customer"), MONITORING, {
         **{f"{c.split('_')[0]}_{c}": e for c, e in columns.items()},
         **_areas("geographical_location", "c_custkey"),
@@ -420,8 +450,8 @@ def monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "immunization_coverage_vaccine_label": "concat('vaccine ', c_nationkey % 3)",
         "immunization_coverage_total_vaccinated_as_time_visit": "cast(c_custkey % 90 as int)",
         "immunization_coverage_hc_target": text("c_custkey % 120"),
-        "part3_vaccination_team_info": json_group(MONITORING, TEAMS, elements),
-    })
+        "part3_vaccination_team_info": json_group(MONITORING, TEAMS, monitoring_elements()),
+    }, "c_custkey" if fill else None)
 
 
 def dictionary_rows() -> list[tuple[str, str, str, str]]:
@@ -479,8 +509,8 @@ def refusal_vaccine(element: int | str) -> str:
     return f"concat('vaccine ', (event_id + {element}) % 4)"
 
 
-def social(spark: SparkSession, sf_dir: str) -> DataFrame:
-    elements = [
+def social_elements() -> list[dict[str, str]]:
+    return [
         {
             "pos": f"'{e + 1}'",
             "vaccine_name": f"'v{e}'",
@@ -489,6 +519,9 @@ def social(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
         for e in range(3)
     ]
+
+
+def social(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     return landed(table(spark, sf_dir, "events"), SOCIAL, {
         **_common("event_id", EVENT_DAY),
         **_areas("geographical_location", "user_id", 4),
@@ -497,8 +530,8 @@ def social(spark: SparkSession, sf_dir: str) -> DataFrame:
         "assessment_details_conducted_by_other": "concat('team ', user_id % 9)",
         "assessment_details_enumerator": "concat('enumerator ', event_id % 17)",
         **{f"soc_mob_indicators_{c}": text(social_cell(c)) for c in SOCIAL_COLUMNS},
-        "soc_mob_indicators_refusals": json_group(SOCIAL, REFUSAL_ROWS, elements),
-    })
+        "soc_mob_indicators_refusals": json_group(SOCIAL, REFUSAL_ROWS, social_elements()),
+    }, "event_id" if fill else None)
 
 
 SOCIAL_CONDUCTED_BY = "case event_type when 'error' then 'others' when 'view' then null else event_type end"
@@ -516,11 +549,11 @@ LANDED = {
 }
 
 
-def inputs(spark: SparkSession, sf_dir: str, forms: Sequence[str] = tuple(LANDED)) -> Inputs:
-    """Warehouse inputs built from the driver tables."""
+def inputs(spark: SparkSession, sf_dir: str, forms: Sequence[str] = tuple(LANDED), fill: bool = False) -> Inputs:
+    """Warehouse inputs built from the driver tables, columns that no table needs NULL or filled."""
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
     return Inputs(
-        forms={name: LANDED[name](spark, sf_dir) for name in forms},
+        forms={name: LANDED[name](spark, sf_dir, fill) for name in forms},
         choices={name: choices(spark) for name in ("readiness", "rapid_coverage", "activity")},
         dims=dimensions(spark, sf_dir),
         spine=spine_between(days, "day"),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from fieldtally.driver import raw_forms as raw
-from fieldtally.forms import READINESS
+from fieldtally.forms import READINESS, FormSpec
 
 # Elements of a repeat group: index and age group.
 AGES = "(values {}) ages(e, age)".format(", ".join(f"({e}, '{age}')" for e, age in enumerate(raw.AGE_GROUPS)))
@@ -72,3 +72,23 @@ def readiness_answers() -> str:
     """Name, answer and remark of every readiness question beside a customer row."""
     return cells(("indicator_name", "indicators_value", "indicators_remarks"), [
         (f"'{q.name}'", raw.readiness_answer(q.name), raw.readiness_remark(q.remark)) for q in READINESS.questions])
+
+
+def json_group(spec: FormSpec, length: str, elements: Sequence[Mapping[str, str]], nulls: bool = False) -> str:
+    """The JSON text of a repeat group: the first ``length`` elements, NULL fields left out unless ``nulls``."""
+    def entry(field: str, value: str) -> str:
+        said = f"""'"{spec.repeat.key(field)}":' || to_json({value})::varchar"""
+        missing = f"""'"{spec.repeat.key(field)}":null'""" if nulls else "null"
+        return f"case when ({value}) is null then {missing} else {said} end"
+
+    objects = ["'{' || array_to_string(list_filter([%s], lambda x: x is not null), ',') || '}'" % ", ".join(
+        entry(f, e) for f, e in element.items()) for element in elements]
+    return (f"case when ({length}) is not null then '[' || array_to_string(list_slice([{', '.join(objects)}], 1, {length}), ',') "
+            f"|| ']' end")
+
+
+def filled_columns(spec: FormSpec, key: str, stated: Collection[str], typed: Mapping[str, str]) -> str:
+    """The columns of a clean form that are not ``stated``: fillers of their landed columns in the type that ``typed``
+    gives, text by default."""
+    return ", ".join(f'cast({raw.filler(spec, landed, key)} as {typed.get(clean, "varchar")}) as "{clean}"'
+                     for landed, clean, _ in spec.clean_columns() if clean not in stated)
