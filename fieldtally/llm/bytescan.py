@@ -2,7 +2,9 @@
 
 Every function works on the data buffer of an Arrow string column, so no Python object is made per word.
 Span hashes are polynomials over random byte values modulo 2^64 with a final mix; two different spans of
-n in all collide with a probability of about n^2 / 2^64, and operators that must be exact compare bytes.
+n in all collide with a probability of about n^2 / 2^64. There are words, such as the Thue-Morse word and its
+complement, whose polynomials agree modulo 2^64 whatever the base. Where spans that collide would count as equal, `safe`
+adds a polynomial modulo a prime, which has no such words; other operators compare bytes.
 """
 
 from __future__ import annotations
@@ -42,6 +44,29 @@ def _power(kind: str, n: int) -> np.ndarray:
     return _powers[kind]
 
 
+#: A prime whose remainders are taken by shifts: 2^31 - 1.
+_PRIME = np.uint64((1 << 31) - 1)
+_PRIME_BASE = 1_103_515_245
+_prime_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number with the same remainder modulo the prime."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
+def _prime_power(kind: str, n: int) -> np.ndarray:
+    """`_power` modulo the prime."""
+    prime = int(_PRIME)
+    base = _PRIME_BASE if kind == "up" else pow(_PRIME_BASE, -1, prime)
+    known = _prime_powers[kind]
+    while len(known) < n:
+        further = _folded(_folded(known * np.uint64(pow(base, len(known), prime))))
+        known = np.concatenate([known, further % _PRIME])
+    _prime_powers[kind] = known
+    return known
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the entropy of 64-bit values over all their bits."""
     h = h ^ (h >> np.uint64(32))
@@ -53,17 +78,26 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hashed:
-    """Hashes of any spans of one buffer."""
+    """Hashes of any spans of one buffer; `safe` ones have no constructed collisions."""
 
-    def __init__(self, data: np.ndarray, values: np.ndarray = VALUES):
+    def __init__(self, data: np.ndarray, values: np.ndarray = VALUES, safe: bool = False):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(values[data] * _power("up", n + 1)[:n], out=self.sums[1:])
         self.down = _power("down", n + 1)
+        self.safe = safe
+        if safe:
+            self.remainders = np.zeros(n + 1, np.uint64)
+            np.cumsum(_folded((values % _PRIME)[data] * _prime_power("up", n + 1)[:n]), out=self.remainders[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.down[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        h = mix(h + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        if not self.safe:
+            return h
+        rest = _folded(_folded(self.remainders[end] - self.remainders[start]))
+        rest = _folded(_folded(rest * _prime_power("down", len(self.sums))[start])) % _PRIME
+        return mix(h + rest * np.uint64(0x9FB21C651E98DF25))
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

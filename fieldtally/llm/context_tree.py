@@ -83,7 +83,7 @@ def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out = np.full(len(start) + len(at) - 1, _END_WORD, np.uint64)
     body = np.ones(len(out), bool)
     body[begins[1:] - 1] = False
-    h = Hashed(data, FOLDED).spans(start, end)
+    h = Hashed(data, FOLDED, safe=True).spans(start, end)
     out[body] = np.where(h == _END_WORD, np.uint64(1), h)
     return out, begins
 

@@ -49,7 +49,7 @@ def choose_bands(threshold: float, recall: float, most: int) -> tuple[int, int]:
 def grams_of(data: np.ndarray, at: np.ndarray, n: int) -> list[np.ndarray]:
     """The distinct n-grams of each text as sorted 64-bit hashes."""
     start, end, first = words(data, at)
-    h, begin = windows(Hashed(data, FOLDED).spans(start, end), first, n)
+    h, begin = windows(Hashed(data, FOLDED, safe=True).spans(start, end), first, n)
     edges = np.searchsorted(begin, first)
     return [np.unique(h[a:b]) for a, b in zip(edges[:-1], edges[1:])]
 

@@ -107,7 +107,7 @@ class Encoder:
         cut[at] = True
         edges = np.flatnonzero(cut)
         start, end = edges[:-1], edges[1:]
-        hashes = Hashed(data).spans(start, end)
+        hashes = Hashed(data, safe=True).spans(start, end)
         unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > self.kept:
             self._forget()
