@@ -3,9 +3,9 @@
 A shard is a set of byte strings, each ended by a terminator smaller than all bytes and different from all other
 terminators. Its transform lists, for all suffixes in order, the byte before each. Transforms are merged without
 sorting suffixes again: an interleave says from which shard each suffix of the merged order comes, and refining it
-once puts the merged suffixes in order of one more byte, by one stable pass over the merged transform. Where the
-order by k bytes first tells two neighbours apart their common prefix is k - 1 bytes; suffixes that `length`
-rounds never tell apart form an interval of a repeated string of that length.
+puts the merged suffixes in order of twice as many bytes, by a merge of the shards' orders. Blocks of suffixes that
+the refinements have not told apart give the common prefixes; suffixes that share `length` bytes form an interval of
+a repeated string of that length.
 """
 
 from __future__ import annotations
@@ -63,36 +63,85 @@ def build(text: np.ndarray, length: int) -> Shard:
     return Shard(text[order - 1], place[order - 1], order)
 
 
-def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order after `length` rounds, and common prefixes.
+def merge(shards: list[Shard], length: int, prefixes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The merged order by `length` symbols, and common prefixes.
 
     Returns, for each place of the merged order, the number of its suffix among all shards' suffixes put one after
-    the other, and how many symbols it shares with its predecessor (`length`: so many at least).
+    the other, and how many symbols it shares with its predecessor (`length`: so many at least). Without
+    `prefixes` only those are counted that share `length`; the others are given as 0.
+
+    The interleave starts as the order by the first symbol, which the transforms tell by themselves. A refinement
+    knows for each suffix its block in the order by k symbols and, through the transforms, the block of the suffix k
+    symbols on; the two put it in order of 2k symbols. Each shard's suffixes already are in that order, so the
+    refined interleave is a merge of the shards' sorted runs and nothing is sorted again. The last refinement looks
+    on by what is missing to `length`.
     """
     sizes = [len(s.bwt) for s in shards]
+    n = sum(sizes)
     first = np.cumsum(sizes) - sizes
     bwt = np.concatenate([s.bwt for s in shards])
     back = np.concatenate([s.back + np.int32(a) for s, a in zip(shards, first)])
-    # the interleave as the suffixes' numbers: each shard's stay in order. Terminators come first, among
-    # themselves by shard, and that part never changes
-    ends = [np.arange(int((s.bwt == _END).sum())) + a for s, a in zip(shards, first)]
-    top = np.concatenate(ends).astype(np.int32)
-    n_ends = len(top)
-    interleave = np.arange(len(bwt), dtype=np.int32)
-    common = np.zeros(len(bwt), np.uint16)
-    block = np.zeros(len(bwt), np.int32)  # numbers of the runs of suffixes that are alike so far
-    new = np.ones(len(bwt), bool)
-    for _ in range(length):
-        symbol = bwt[interleave]
-        source = np.argsort(symbol, kind="stable")[n_ends:]  # linear for so few symbols
-        symbol, alike = symbol[source], block[source]
-        new[n_ends + 1:] = (alike[1:] != alike[:-1]) | (symbol[1:] != symbol[:-1])
-        interleave = np.concatenate([top, back[interleave[source]]])
-        block = np.cumsum(new, dtype=np.int32)
-        common += ~new  # once apart, neighbours stay apart
-        if block[-1] == len(block):
+    # blocks by the first symbol: terminators differ from each other, in order of shard and string
+    block = np.concatenate([np.sort(s.bwt, kind="stable") for s in shards]).astype(np.int64)
+    ends = np.flatnonzero(block == _END)
+    symbols, block = np.unique(block, return_inverse=True)
+    block += len(ends) - int(len(symbols) > 0 and symbols[0] == _END)
+    block[ends] = np.arange(len(ends))
+    # where the suffix k symbols on lies; -1 beyond the end of a string, where suffixes are told apart already
+    on = np.full(n, -1, np.int64)
+    inner = np.flatnonzero(bwt != _END)
+    on[back[inner]] = inner
+    known, steps, jumps = 1, [block], [on]
+    interleave = np.argsort(block, kind="stable")
+    while known < length:
+        k = min(known, length - known)
+        jump = jumps[-1] if k == known else _jump(jumps, k)
+        key = block * (n + 1) + np.where(jump >= 0, block[jump] + 1, 0)
+        interleave = np.argsort(key, kind="stable")  # merges the shards' runs, in which keys ascend
+        key = key[interleave]
+        block = np.empty(n, np.int64)
+        block[interleave] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])[:n]
+        known += k
+        if prefixes:
+            steps.append(block)
+        if n == 0 or block[interleave[-1]] == n - 1:
             break
-    return interleave, common
+        if known < length:
+            jumps.append(_further(jumps[-1], jumps[-1]))
+    common = np.zeros(n, np.uint16)
+    here, before = interleave[1:], interleave[:-1]
+    common[1:][block[here] == block[before]] = length
+    if prefixes:
+        _count_shared(common, here, before, steps, jumps, length)
+    return interleave.astype(np.int32), common
+
+
+def _further(jump: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """One jump and then another, -1 where either leaves the string."""
+    out = then[jump]
+    out[jump < 0] = -1
+    return out
+
+
+def _jump(jumps: list[np.ndarray], k: int) -> np.ndarray:
+    """Where the suffix k symbols on lies, from jumps of 1, 2, 4 ... symbols."""
+    out = np.arange(len(jumps[0]))
+    for i, jump in enumerate(jumps):
+        if k >> i & 1:
+            out = _further(out, jump)
+    return out
+
+
+def _count_shared(common: np.ndarray, here: np.ndarray, before: np.ndarray, steps: list[np.ndarray],
+                  jumps: list[np.ndarray], length: int) -> None:
+    """Common prefixes of neighbours that share less than `length`: the largest blocks that they share, one after the other."""
+    at = np.flatnonzero(common[1:] < length)
+    a, b = here[at], before[at]
+    for i in range(min(len(steps), len(jumps)) - 1, -1, -1):
+        same = (a >= 0) & (b >= 0)
+        same[same] = steps[i][a[same]] == steps[i][b[same]]
+        common[1:][at[same]] += np.uint16(1 << i)
+        a[same], b[same] = jumps[i][a[same]], jumps[i][b[same]]
 
 
 def least_by_repeat(strings: list[bytes], values: np.ndarray, length: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +162,7 @@ def least_by_repeat(strings: list[bytes], values: np.ndarray, length: int, shard
     n_shards = min(len(strings), max(2, -(-len(text) // shard_bytes)))
     cuts = begins[[len(strings) * i // n_shards for i in range(n_shards)]].tolist() + [len(text)]
     shards = [build(text[a:b], length) for a, b in zip(cuts, cuts[1:])]
-    suffix, common = merge(shards, length)
+    suffix, common = merge(shards, length, prefixes=False)
     place = np.concatenate([s.order + a for s, a in zip(shards, cuts)])[suffix]
     value = np.repeat(values, sizes)[place]
     first = np.flatnonzero(common < length)  # repeated intervals begin where less is shared
