@@ -88,19 +88,27 @@ def merge(shards: list[Shard], length: int, prefixes: bool = True) -> tuple[np.n
     block += len(ends) - int(len(symbols) > 0 and symbols[0] == _END)
     block[ends] = np.arange(len(ends))
     # where the suffix k symbols on lies; -1 beyond the end of a string, where suffixes are told apart already
-    on = np.full(n, -1, np.int64)
+    on = np.full(n, -1, np.int32)
     inner = np.flatnonzero(bwt != _END)
     on[back[inner]] = inner
+    block = block.astype(np.int32)
     known, steps, jumps = 1, [block], [on]
     interleave = np.argsort(block, kind="stable")
     while known < length:
         k = min(known, length - known)
         jump = jumps[-1] if k == known else _jump(jumps, k)
-        key = block * (n + 1) + np.where(jump >= 0, block[jump] + 1, 0)
+        after = block[jump]
+        after += 1
+        after[jump < 0] = 0
+        key = block.astype(np.int64)
+        key *= n + 1
+        key += after
         interleave = np.argsort(key, kind="stable")  # merges the shards' runs, in which keys ascend
         key = key[interleave]
-        block = np.empty(n, np.int64)
-        block[interleave] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])[:n]
+        told = np.zeros(n, np.int32)
+        np.cumsum(key[1:] != key[:-1], out=told[1:])
+        block = np.empty(n, np.int32)
+        block[interleave] = told
         known += k
         if prefixes:
             steps.append(block)
@@ -125,7 +133,7 @@ def _further(jump: np.ndarray, then: np.ndarray) -> np.ndarray:
 
 def _jump(jumps: list[np.ndarray], k: int) -> np.ndarray:
     """Where the suffix k symbols on lies, from jumps of 1, 2, 4 ... symbols."""
-    out = np.arange(len(jumps[0]))
+    out = np.arange(len(jumps[0]), dtype=np.int32)
     for i, jump in enumerate(jumps):
         if k >> i & 1:
             out = _further(out, jump)
