@@ -111,3 +111,13 @@ def test_entry_point_without_this_part(tmp_path):
     run = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; q = e.queries(); print(len(q), any('op' == k[:2] for k in q), set(e.oracle_sql()) <= set(q))"],
                          cwd=copy, capture_output=True, text=True, timeout=120, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert run.stdout.split()[1:] == ["False", "True"] and int(run.stdout.split()[0]) >= 88, run.stderr
+
+
+def test_near_copies_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+    rows = spark.createDataFrame(
+        [(1, "a b c d e f g", "x", 7, "r"), (1, "a b c d e f g", "x", 7, "r"), (2, "other words are here and there", "y", 8, "s")],
+        "doc_id long, text string, _text_hash string, id int, `row` string")
+    kept = corpus_pipeline.drop_near_copies(spark, rows, "")
+    assert kept.schema == rows.schema
+    assert sorted(map(tuple, kept.collect())) == sorted({tuple(r) for r in rows.collect()})
