@@ -33,8 +33,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     classes = jaccard.join(docs, n=5, threshold=0.8, recall=0.999)
     later = classes.where("class_id <> doc_id").select("doc_id")
     kept = docs.join(later, "doc_id", "left_anti").select(*docs.columns)
-    return (kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-            .select(*docs.columns))
+    # the row is kept aside, so that no column of it can clash with the hash
+    aside = kept.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    return aside.dropDuplicates(["id", "text_hash"]).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
