@@ -26,7 +26,8 @@ class Shard(NamedTuple):
 def build(text: np.ndarray, length: int) -> Shard:
     """The transform of `text`, strings of symbols each ended by 0, with suffixes in order of their first `length` symbols.
 
-    Suffixes are ordered by doubling: a rank for a few symbols, then for twice as many and so on.
+    Suffixes are ordered by doubling: a rank for a few symbols, then for twice as many and so on. Which of two equal
+    suffixes with different terminators comes first is of no account.
     """
     n = len(text)
     bits = 8 if text.dtype == np.uint8 else 9
@@ -45,7 +46,7 @@ def build(text: np.ndarray, length: int) -> Shard:
         rank[order[1:]] = np.cumsum(~same)
         return rank
 
-    order = np.argsort(value, kind="stable")
+    order = np.argsort(value)
     v, told = value[order], left[order] < done
     rank = ranked(order, (v[1:] == v[:-1]) & ~(told[1:] & told[:-1]))
     while done < length and rank.max(initial=0) < n - 1:
