@@ -88,7 +88,13 @@ class Hashed:
         self.safe = safe
         if safe:
             self.remainders = np.zeros(n + 1, np.uint64)
-            np.cumsum(_folded((values % _PRIME)[data] * _prime_power("up", n + 1)[:n]), out=self.remainders[1:])
+            # remainders below 2^31, of which 2^33 at most are added up
+            term = (values % _PRIME)[data]
+            term *= _prime_power("up", n + 1)[:n]
+            high = term >> np.uint64(31)
+            term &= _PRIME
+            term += high
+            np.cumsum(term, out=self.remainders[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.down[start]
@@ -96,7 +102,8 @@ class Hashed:
         if not self.safe:
             return h
         rest = _folded(_folded(self.remainders[end] - self.remainders[start]))
-        rest = _folded(_folded(rest * _prime_power("down", len(self.sums))[start])) % _PRIME
+        rest = _folded(_folded(rest * _prime_power("down", len(self.sums))[start]))
+        rest[rest >= _PRIME] -= _PRIME
         return mix(h + rest * np.uint64(0x9FB21C651E98DF25))
 
 
