@@ -28,6 +28,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,19 +61,28 @@ def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 def strings_of(data: np.ndarray, at: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     """For every byte and end mark the number whose digits (base 256) are its context and itself, and each text's first."""
     n = len(at) - 1
-    begins = at + np.arange(n + 1)
-    out = np.full(len(data) + n, END, np.uint64)
-    body = np.ones(len(out), bool)
-    body[begins[1:] - 1] = False
-    out[body] = data
-    place = np.arange(len(out)) - np.repeat(begins[:-1], np.diff(begins))
-    total = out.copy()
-    for back in range(1, depth + 1):
-        earlier = np.full(len(out), END, np.uint64)
-        earlier[back:] = out[:-back] if back < len(out) else out[:0]
-        earlier[place < back] = END
-        total |= earlier << np.uint64(8 * back)
-    return total, begins
+    # every text is followed by its end mark, and depth marks stand before each text
+    marks = max(depth, 1)
+    out = np.full(len(data) + marks * (n + 1), END, np.uint8)
+    kept = np.zeros(len(out), bool)
+    shift = marks * np.arange(1, n + 1)
+    if n and len(data):
+        body = np.ones(len(out), bool)
+        body[:marks] = False
+        ends = at[1:] + shift
+        for i in range(marks):
+            body[ends + i] = False
+        out[body] = data
+        kept = body
+    kept[at[1:] + shift] = True
+    # strings of 1, 2, 4 ... bytes that end at each place, put together until they hold the context
+    total, size = out.astype(np.uint64), 1
+    while size < depth + 1:
+        more = min(size, depth + 1 - size)
+        longer = total.copy()
+        longer[size:] |= (total[:-size] & np.uint64((1 << 8 * more) - 1)) << np.uint64(8 * size)
+        total, size = longer, size + more
+    return total[kept], at + np.arange(n + 1)
 
 
 def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,12 +108,34 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     k, n = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
     k, n = k[order], n[order]
-    new = np.ones(len(k), bool)
-    new[1:] = k[1:] != k[:-1]
-    first = np.flatnonzero(new)
+    first = _firsts(k)
     return k[first], np.add.reduceat(n, first) if len(first) else n[:0]
 
 
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where in sorted keys each distinct one begins."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new)
+
+
+def _distinct_of(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys in order, by a plain sort."""
+    keys = np.sort(keys)
+    return keys[_firsts(keys)]
+
+
+def _counted(keys: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often each occurs where `learnt` is true."""
+    known = np.sort(keys[learnt])
+    first = _firsts(known)
+    known, n = known[first], np.diff(first, append=len(known))
+    if learnt.all():
+        return known, n
+    other = _distinct_of(keys[~learnt])
+    return _summed([known, other], [n, np.zeros(len(other), np.int64)])
+
+
 def count(docs: DataFrame, at_once: int = 1_500_000) -> DataFrame:
     """kind, key, n: how often each string and word occurs in training texts (0: in held-out ones only)."""
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,8 +150,7 @@ def count(docs: DataFrame, at_once: int = 1_500_000) -> DataFrame:
         for batch, data, at in slices(batches):
             learnt = batch.column(batch.schema.get_field_index("learnt")).to_numpy(zero_copy_only=False)
             for kind, (keys, begins) in enumerate(_both(data, at)):
-                mine = np.repeat(learnt, np.diff(begins)).astype(np.int64)
-                held[kind].append(_summed([keys], [mine]))
+                held[kind].append(_counted(keys, np.repeat(learnt, np.diff(begins))))
                 if sum(len(x[0]) for x in held[kind]) > at_once:
                     held[kind] = [_summed([x[0] for x in held[kind]], [x[1] for x in held[kind]])]
                     if len(held[kind][0][0]) > at_once // 2:
@@ -248,8 +279,8 @@ def _distinct(group: pa.Table) -> list[np.ndarray]:
     out: list[list[np.ndarray]] = [[], []]
     for _, data, at in slices(iter(group.select(["text"]).to_batches())):
         for kind, (keys, _) in enumerate(_both(data, at)):
-            out[kind].append(np.unique(keys))
-    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in out]
+            out[kind].append(_distinct_of(keys))
+    return [_distinct_of(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in out]
 
 
 def _held_out(folds: int) -> Column:
@@ -290,15 +321,14 @@ def score(docs: DataFrame, folds: int = 10, block_chars: int = 32_000_000) -> Da
         kind = answered["kind"].combine_chunks().to_numpy()
         for k in (STRING, WORD):
             keys = answered["key"].combine_chunks().to_numpy()[kind == k].view(np.uint64)
-            order = np.argsort(keys)
-            known_keys.append(keys[order])
-            known_values.append(answered["value"].combine_chunks().to_numpy()[kind == k][order])
+            known_keys.append(pd.Index(keys))  # a hash table, built once a block
+            known_values.append(answered["value"].combine_chunks().to_numpy()[kind == k])
         log_base = np.log10((known_values[WORD] + 0.1) / (total + 0.1 * (kinds + 1)))
         out = []
         for rows, data, at in slices(iter(group.select(["doc_id", "held_out", "text"]).to_batches())):
             (strings, s_begin), (words, w_begin) = _both(data, at)
-            s = known_values[STRING][np.searchsorted(known_keys[STRING], strings)]
-            spot = np.searchsorted(known_keys[WORD], words)
+            s = known_values[STRING][known_keys[STRING].get_indexer(strings)]
+            spot = known_keys[WORD].get_indexer(words)
             out.append(pa.table({
                 "doc_id": rows.column(0), "held_out": rows.column(1), "n_tokens": np.diff(w_begin),
                 "n_known": np.add.reduceat((known_values[WORD][spot] > 0).astype(np.int64), w_begin[:-1]),
