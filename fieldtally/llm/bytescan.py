@@ -9,6 +9,7 @@ adds a polynomial modulo a prime, which has no such words; other operators compa
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -125,9 +126,19 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0]: at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: Python workers live on, and the next stage's tasks
+    may run beside them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Batches cut into parts of about `limit` bytes of text, each with the bytes and offsets of its texts."""
+    scanned = 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -138,6 +149,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first), data[at[first]: at[last]], at[first: last + 1] - at[first]
             first = last
+        scanned += len(data)
+    if scanned > SLICE_BYTES:
+        release()
 
 
 def runs(member: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

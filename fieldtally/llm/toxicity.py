@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.bytescan import FOLDED, WORD, Hashed, runs, slices
+from fieldtally.llm.bytescan import FOLDED, WORD, Hashed, release, runs, slices
 from fieldtally.llm.shared import ship, texts
 
 BITS, PIECE = 22, 4
@@ -135,6 +135,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 10_000, longest: int
                 bags.append((Bags(data, at), piece.column(2).to_numpy()))
         weights, bias = fit(bags, least)
         kept = np.flatnonzero(weights)
+        del came, got, bags
+        release()
         yield pa.RecordBatch.from_pydict({"feature": [kept], "weight": [weights[kept]], "bias": [bias]})
 
     model = rows.repartition(1).mapInArrow(train, "feature array<bigint>, weight array<double>, bias double").first()
