@@ -10,7 +10,7 @@ DIR = "/root/testdata/sf0.001"
 
 
 def test_one_query_an_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry_point.queries().keys() and CHECKS.items() <= entry_point.oracle_sql().items()
 
 
