@@ -13,11 +13,14 @@ about as likely as all but `miss` of its own labelled values, and likelier than
 whose character frequencies are counted over all documents. Such spans are added under the kind `format` unless
 they touch a span of a pattern, which stay as they are.
 
-The automata are learnt from at most `per_kind` distinct values a kind, those with the smallest hashes, and trees
-grow from their first `TRAINED` characters; that and a score a value is all that reaches the driver. Where a tree
-stops a value goes on or not, nobody knows: such a state is like any other and becomes part of the loop most came by.
-Values are told apart and scored over their whole length, whatever it is. Defined cases: null and empty texts have no spans; positions are code points, ends
-exclusive; repeated documents are scanned each for itself; without labelled values nothing is added.
+The automata are learnt from all distinct values of a kind, counted by Spark; trees grow from their first `TRAINED`
+characters. A branch is a state of its own if at least one in `per_kind` of the kind's values comes by (with up to
+`per_kind` values every branch is); all thinner ones of a depth are one state, which the merging would make of them too,
+since a test of few values tells nothing apart. So all values are in the counts, and at most `per_kind` + 1 states a depth
+reach the driver. Where a tree stops a value goes on or not, nobody knows: such a state is like any other and becomes part
+of the loop most came by. Values are told apart and scored over their whole length, whatever it is, and what all but `miss`
+of them reach is the score at that rank among all. Defined cases: null and empty texts have no spans; positions are code
+points, ends exclusive; repeated documents are scanned each for itself; without labelled values nothing is added.
 """
 
 from __future__ import annotations
@@ -48,6 +51,8 @@ _LETTER, _DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
 #: Depth of a prefix tree. Longer values are scored by the loops behind it, over all their characters.
 TRAINED = 256
 _CHARACTERS = 68  # that a value of any kind can have
+_ON = ">"  # no character of a value: stands for going on behind a tree
+_FETCHED = 10_000  # scores or counts of scores that the driver takes at once
 _CACHED = 256  # longer values are scored each time, so that the cache stays small
 _HELD = 16_000_000  # characters of found values that a task holds before it sends them on
 SPANS = "doc_id bigint, spans array<struct<kind:string,first:int,last:int>>"
@@ -77,31 +82,30 @@ class Automaton:
 
     What a value does behind its first `TRAINED` characters is not counted, nor that it came there."""
 
-    def __init__(self, values: list[str], alpha: float = 0.05):
-        self.came, self.ended = [0], [0]
-        self.next: list[dict[str, int]] = [{}]
-        self.count: list[dict[str, int]] = [{}]
-        for value in values:
-            self._add(value)
+    def __init__(self, edges: list[tuple[str | None, int, str, int]], least: int, alpha: float = 0.05):
+        """From the `edges` of a tree as ``tree_edges`` counts them, with the same `least`."""
+        letters = [(p, d, c, n) for p, d, c, n in edges if c not in ("", _ON)]
+        own = sorted({""} | {p + c for p, _, c, n in letters if p is not None and n >= least})
+        thin = sorted({d + 1 for p, d, _, n in letters if p is None or n < least})
+        state = {p: i for i, p in enumerate(own)}
+        pool = {d: len(own) + i for i, d in enumerate(thin)}
+        size = len(own) + len(thin)
+        self.came, self.ended = [0] * size, [0] * size
+        self.next: list[dict[str, int]] = [{} for _ in range(size)]
+        self.count: list[dict[str, int]] = [{} for _ in range(size)]
+        for p, d, c, n in edges:
+            at = pool[d] if p is None else state[p]
+            if c == _ON:
+                continue
+            self.came[at] += n
+            if c == "":
+                self.ended[at] += n
+            else:
+                self.count[at][c] = n
+                self.next[at][c] = pool[d + 1] if p is None or n < least else state[p + c]
         self._merge(alpha)
         self.letters = max(2, len({c for n in self.next for c in n}))
 
-    def _add(self, value: str) -> None:
-        state = 0
-        for c in value[:TRAINED]:
-            self.came[state] += 1
-            self.count[state][c] = self.count[state].get(c, 0) + 1
-            if c not in self.next[state]:
-                self.next[state][c] = len(self.came)
-                self.came.append(0)
-                self.ended.append(0)
-                self.next.append({})
-                self.count.append({})
-            state = self.next[state][c]
-        if len(value) <= TRAINED:
-            self.came[state] += 1
-            self.ended[state] += 1
-
     def _alike(self, a: int, b: int, bound: float) -> bool:
         """Whether no Hoeffding test tells the states a and b, or any that follow both in step, apart."""
         pairs, seen = [(a, b)], {(a, b)}
@@ -197,15 +201,15 @@ class Automaton:
 class Formats:
     """The automata of all kinds with the least score at which each calls a candidate a secret."""
 
-    def __init__(self, labelled: dict[str, list[str]], background: dict[str, int]):
+    def __init__(self, automata: dict[str, Automaton], background: dict[str, int]):
         total = sum(background.values()) + 64
         self.usual = {c: math.log((background.get(c, 0) + 1) / total) for c in map(chr, range(128))}
-        self.automata = {k: Automaton(v) for k, v in sorted(labelled.items()) if v}
+        self.automata = automata
         self.least: dict[str, float] = {}
 
-    def demand(self, kind: str, scores: list[float], miss: float = 0.01, slack: float = 0.1) -> None:
-        """Ask for what all but `miss` of the kind's values reach, less `slack` for chance in so few values."""
-        self.least[kind] = sorted(scores)[int(miss * len(scores))] - slack
+    def demand(self, kind: str, reached: float, slack: float = 0.1) -> None:
+        """Ask for the score that all but a few of the kind's values have `reached`, less `slack` for chance in few values."""
+        self.least[kind] = reached - slack
 
     def by_kind(self, kind: str, value: str) -> float:
         """Log-likelihood a character, the end counted as one."""
@@ -242,27 +246,107 @@ def learn(docs: DataFrame, per_kind: int = 2_000, miss: float = 0.01) -> Formats
     counted = (texts(docs).select("text").mapInArrow(values, "kind string, value string, n bigint")
                .groupBy("kind", "value").agg(F.sum("n").alias("n")))
     counted = counted.persist()
+    scores = None
     try:
-        hashed = counted.select("kind", "value", F.xxhash64("value").alias("hash"))
-        labelled, last = {}, {}
-        for kind in PATTERNS:
-            # one character more than a tree has tells that a value goes on
-            rows = (hashed.where(F.col("kind") == kind)
-                    .select("hash", F.sha2("value", 256).alias("tie"), F.substring("value", 1, TRAINED + 1).alias("head"))
-                    .orderBy("hash", "tie").limit(per_kind).collect())
-            labelled[kind] = sorted(r.head for r in rows)
-            last[kind] = max((r.hash for r in rows), default=0)
+        labelled = counted.where(F.col("kind") != "").select("kind", "value")
+        size = {r.kind: r.n for r in labelled.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+        least = {kind: -(-n // per_kind) for kind, n in size.items()}
+        edges: dict[str, list[tuple[str | None, int, str, int]]] = {kind: [] for kind in sorted(size)}
+        for r in tree_edges(labelled, least).collect() if size else ():
+            edges[r.kind].append((r.prefix, r.depth, r.char, r.n))
         # at most one row a character of the candidates' alphabet
         background = {r.value: r.n for r in counted.where(F.col("kind") == "").collect()}
-        formats = Formats(labelled, background)
-        for kind in formats.automata:
-            learnt = hashed.where((F.col("kind") == kind) & (F.col("hash") <= last[kind]))
-            formats.demand(kind, [r.score for r in _scored(learnt, formats).collect()], miss)
+        formats = Formats({kind: Automaton(e, least[kind]) for kind, e in edges.items()}, background)
+        scores = _scored(labelled, formats).groupBy("kind", "score").agg(F.count(F.lit(1)).alias("n")).persist()
+        for kind, n in size.items():
+            formats.demand(kind, _at_rank(scores.where(F.col("kind") == kind).select("score", "n"), int(miss * n)))
     finally:
         counted.unpersist()
+        if scores is not None:
+            scores.unpersist()
     return formats
 
 
+def tree_edges(labelled: DataFrame, least: dict[str, int]) -> DataFrame:
+    """The edges of the prefix trees of all distinct values, by kind: prefix, its depth, the character that follows (empty
+    where values end, `_ON` where they go on behind the tree) and the number of values. Prefixes that fewer than `least`
+    values of their kind have are one of each depth, null.
+
+    Values are sorted, so a prefix's values follow one another and a task holds one path of the tree. What it cannot
+    know to be complete, the paths of its first and last value, is added up with the other tasks'.
+    """
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[str, str | None, int, str, int]] = []
+        pooled: Counter[tuple[str, None, int, str]] = Counter()
+        path: list[dict[str, int]] = []  # what follows each prefix of the value at hand, shortest first
+        kind, value, first = "", "", 0  # `first`: so much of the value at hand the first value has too
+
+        def close(keep: int, last: bool) -> None:
+            while len(path) > keep:
+                node, depth = path.pop(), len(path)
+                if last or depth <= first or sum(node.values()) >= least[kind]:
+                    out.extend((kind, value[:depth], depth, c, n) for c, n in node.items())
+                else:
+                    pooled.update({(kind, None, depth, c): n for c, n in node.items()})
+
+        for batch in batches:
+            for new_kind, new, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if new_kind != kind:
+                    close(0, last=True)
+                    common, first = 0, len(new)
+                else:
+                    common = next((i for i, (a, b) in enumerate(zip(value, new)) if a != b), min(len(value), len(new)))
+                    close(common + 1, last=False)
+                    first = min(first, common)
+                kind, value = new_kind, new
+                steps = [*value[:TRAINED], "" if len(value) <= TRAINED else _ON]
+                path.extend({} for _ in range(len(steps) - len(path)))
+                for node, c in zip(path, steps):
+                    node[c] = node.get(c, 0) + n
+                if len(out) > _FETCHED:
+                    yield _edges(out)
+                    out.clear()
+        close(0, last=True)
+        yield _edges([*out, *((*key, n) for key, n in pooled.items())])
+        release()
+
+    # one character more than a tree has tells that a value goes on
+    heads = labelled.groupBy("kind", F.substring("value", 1, TRAINED + 1).alias("head")).agg(F.count(F.lit(1)).alias("n"))
+    found = (heads.repartitionByRange("kind", "head").sortWithinPartitions("kind", "head")
+             .mapInArrow(edges, "kind string, prefix string, depth int, char string, n bigint")
+             .groupBy("kind", "prefix", "depth", "char").agg(F.sum("n").alias("n")))
+    few = F.col("came") < F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("kind")]
+    nodes = (found.groupBy("kind", "prefix", "depth")  # at most a row a character each
+             .agg(F.sum("n").alias("came"), F.collect_list(F.struct("char", "n")).alias("edges"))
+             .withColumn("prefix", F.when(~few, F.col("prefix"))))
+    return (nodes.select("kind", "prefix", "depth", F.inline("edges"))
+            .groupBy("kind", "prefix", "depth", "char").agg(F.sum("n").alias("n")))
+
+
+def _edges(rows: list[tuple[str, str | None, int, str, int]]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64()]
+    columns = list(zip(*rows)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["kind", "prefix", "depth", "char", "n"])
+
+
+def _at_rank(scores: DataFrame, rank: int) -> float:
+    """The score at a rank, from 0 for the lowest, among scores that occur n times each. Counts by interval narrow it
+    down until the scores left are few."""
+    while True:
+        ends = scores.agg(F.min("score").alias("low"), F.max("score").alias("high"), F.count(F.lit(1)).alias("different")).first()
+        if ends.different <= _FETCHED:
+            for r in sorted(scores.collect()):
+                if rank < r.n:
+                    return r.score
+                rank -= r.n
+        interval = F.floor((F.col("score") - ends.low) / (ends.high - ends.low) * _FETCHED)
+        for here, n in sorted(map(tuple, scores.groupBy(interval.alias("here")).agg(F.sum("n").alias("n")).collect())):
+            if rank < n:
+                break
+            rank -= n
+        scores = scores.where(interval == here)
+
+
 def _scored(found: DataFrame, formats: Formats) -> DataFrame:
     """kind and score of labelled values, over their whole length."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,36 @@ def test_long_values_count_whole(docs):
     assert got[1000] == ["format"] and got[1001] == [] and got[1002] == []
 
 
+def test_all_values_are_learnt(docs):
+    draw = random.Random(13)
+    values = sorted({draw.choice(["", "sk-", "tok", "x" * 255, "y" * 256]) + hexes(draw, draw.choice([6, 12])) for _ in range(900)})
+    rows = [(i, f"password={v} text") for i, v in enumerate(values + values[:50])]
+    frame = docs(*rows, parts=5).withColumn("kind", F.lit("assign"))
+    labelled = frame.select("kind", F.regexp_extract("text", "password=(\\S+)", 1).alias("value")).distinct()
+    for per_kind in (40, 2_000):
+        least = -(-len(values) // per_kind)
+        came = Counter(v[:d] for v in values for d in range(min(len(v), 256) + 1))
+        want = Counter()
+        for v in values:
+            for d, c in enumerate([*v[:256], "" if len(v) <= 256 else ">"]):
+                want[v[:d] if came[v[:d]] >= least else None, d, c] += 1
+        got = credentials.tree_edges(labelled, {"assign": least}).collect()
+        assert {(r.prefix, r.depth, r.char): r.n for r in got} == want and len(got) == len(want)
+        formats = credentials.learn(docs(*rows), per_kind=per_kind)
+        tree = formats.automata["assign"]
+        assert tree.came[0] == len(values) > 40
+        scores = sorted(formats.by_kind("assign", v) for v in values)
+        assert formats.least["assign"] == scores[int(.01 * len(values))] - .1
+
+
+def test_score_at_rank(spark, monkeypatch):
+    monkeypatch.setattr(credentials, "_FETCHED", 3)
+    rows = [(-1.5, 4), (-7.25, 1), (-1.5000000000000002, 2), (-3.0, 5), (0.0, 1), (-2.999, 3), (-3.0000001, 2)]
+    frame = spark.createDataFrame(rows, "score double, n bigint")
+    plain = [s for s, n in sorted(rows) for _ in range(n)]
+    assert [credentials._at_rank(frame, i) for i in range(len(plain))] == plain
+
+
 def test_no_credentials(docs):
     formats = credentials.learn(docs(*enumerate(odd_texts())))
     assert not formats.automata
