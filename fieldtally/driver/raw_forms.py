@@ -18,6 +18,7 @@ from fieldtally.forms.monitoring import DICTIONARY_NAME as MONITORING_NAME
 from fieldtally.forms.readiness import DICTIONARY_NAME as READINESS_NAME
 from fieldtally.forms.rapid_coverage import INFORMATION_SOURCES
 from fieldtally.forms.social import MOBILIZATION, RUMOURS
+from fieldtally.operators.join import estimated_bytes
 from fieldtally.operators.repeat import short_name
 from fieldtally.plans.dims import Dimensions
 from fieldtally.plans.warehouse import Inputs
@@ -58,6 +59,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a table's files that one task makes forms from.
+SPREAD_BYTES = 16 << 20
+
+
+def submissions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become submissions, dealt over the cores and over more tasks as it grows.
+
+    A file is read in as many tasks as it has row groups, often one; a form makes a hundred columns and a table up to a
+    hundred rows of each row read. The shuffle is of the columns that are used, below which filters still reach the scan.
+    """
+    rows = table(spark, sf_dir, name)
+    return rows.repartition(max(2 * spark.sparkContext.defaultParallelism, (estimated_bytes(rows) or 0) // SPREAD_BYTES))
+
+
 # ---------------------------------------------------------------- formulas
 
 def area_code(place: str, level: int) -> str:
@@ -204,7 +219,7 @@ def activity_elements() -> list[dict[str, str]]:
 
 
 def activity(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
-    return landed(table(spark, sf_dir, "orders"), ACTIVITY, {
+    return landed(submissions(spark, sf_dir, "orders"), ACTIVITY, {
         **_common("o_orderkey", ORDER_DAY),
         **_areas("geographic_location", "o_custkey"),
         "_airbyte_raw_id": "concat('r', o_orderkey)",
@@ -294,7 +309,7 @@ def rapid_coverage_elements() -> list[dict[str, str]]:
 
 
 def rapid_coverage(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
-    return landed(table(spark, sf_dir, "orders"), RAPID_COVERAGE, {
+    return landed(submissions(spark, sf_dir, "orders"), RAPID_COVERAGE, {
         **_common("o_orderkey", ORDER_DAY),
         **_areas("geographical_location", "o_custkey"),
         "_airbyte_raw_id": "concat('c', o_orderkey)",
@@ -378,7 +393,7 @@ def readiness(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame
     grouped = {
         f"{group}_{name}": filled[name] for group, names in READINESS.groups.items() for name in names if name in filled
     }
-    return landed(table(spark, sf_dir, "customer"), READINESS, {
+    return landed(submissions(spark, sf_dir, "customer"), READINESS, {
         **_common("c_custkey", visit_day("c_custkey")),
         **_areas("geographical_location", FACILITY),
         "geographical_location_admin5": f"case when c_custkey % 29 = 0 then null else {text(FACILITY)} end",
@@ -434,7 +449,7 @@ def monitoring_elements() -> list[dict[str, str]]:
 def monitoring(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
     columns = {q.value: monitoring_answer(q.name) for q in MONITORING.questions}
     columns |= {q.remark: monitoring_remark(q.remark) for q in MONITORING.questions}
-    return landed(table(spark, sf_dir, "customer"), MONITORING, {
+    return landed(submissions(spark, sf_dir, "customer"), MONITORING, {
         **{f"{c.split('_')[0]}_{c}": e for c, e in columns.items()},
         **_areas("geographical_location", "c_custkey"),
         "geographical_location_admin5": f"case when c_custkey % 13 = 0 then 'unknown' else {text('c_custkey')} end",
@@ -522,7 +537,7 @@ def social_elements() -> list[dict[str, str]]:
 
 
 def social(spark: SparkSession, sf_dir: str, fill: bool = False) -> DataFrame:
-    return landed(table(spark, sf_dir, "events"), SOCIAL, {
+    return landed(submissions(spark, sf_dir, "events"), SOCIAL, {
         **_common("event_id", EVENT_DAY),
         **_areas("geographical_location", "user_id", 4),
         "assessment_details_assessment_date": text(EVENT_DAY),
