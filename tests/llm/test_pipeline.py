@@ -121,3 +121,13 @@ def test_near_copies_keep_columns_of_any_name(spark):
     kept = corpus_pipeline.drop_near_copies(spark, rows, "")
     assert kept.schema == rows.schema
     assert sorted(map(tuple, kept.collect())) == sorted({tuple(r) for r in rows.collect()})
+
+
+def test_secrets_are_learnt_from_all_documents(spark, docs, monkeypatch):
+    used = []
+    plain = credentials.redact
+    monkeypatch.setattr(credentials, "redact", lambda rows, formats: used.append(formats) or plain(rows, formats))
+    rows = [(i, f"password={i * 7919:08d}ab text") for i in range(2_100)] + [(5_000, None), (None, "password=00000000ab")]
+    kept = corpus_pipeline.redact_secrets(spark, docs(*rows), "").collect()
+    assert used[0].automata["assign"].came[0] == 2_100
+    assert sum(r.text == "[SECRET] text" for r in kept) == 2_100 and len(kept) == 2_102
