@@ -13,7 +13,7 @@ CUSTOMERS = pa.table({
     "c_mktsegment": ["BUILDING"] * 399})
 
 
-@pytest.mark.parametrize("form", ["readiness"])
+@pytest.mark.parametrize("form", ["readiness", "monitoring"])
 def test_forms_of_one_row_group(spark, tmp_path, form):
     pq.write_table(CUSTOMERS, tmp_path / "customer.parquet")
     rows = raw.LANDED[form](spark, str(tmp_path)).select("_id", F.spark_partition_id().alias("task")).collect()
