@@ -29,14 +29,15 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def landed_inputs(spark: SparkSession, sf_dir: str, forms: tuple[str, ...]) -> Inputs:
-    """Inputs whose forms were landed as files and are read from them."""
+def landed_inputs(spark: SparkSession, sf_dir: str, forms: tuple[str, ...], spread: bool = True, **how: int) -> Inputs:
+    """Inputs whose forms were landed as files and are read from them, their rows dealt over the cores by a shuffle
+    unless ``spread`` is off. ``how`` goes to ``land_form``."""
     src = raw.inputs(spark, sf_dir, forms)
     read = {}
     for name in forms:
         path = _folder(spark, f"landed-{name}")
-        land_form(src.forms[name], path)
-        read[name] = read_form(spark, FORMS[name], path, spread=spark.sparkContext.defaultParallelism)
+        land_form(src.forms[name], path, **how)
+        read[name] = read_form(spark, FORMS[name], path, spread=spark.sparkContext.defaultParallelism if spread else None)
     return dataclasses.replace(src, forms=read)
 
 
@@ -89,8 +90,13 @@ def day_column() -> str:
 
 
 def refreshed(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple[Warehouse, dict]:
-    """A warehouse that was built on the earlier form and then refreshed by change, and the months that took."""
-    src = raw.inputs(spark, sf_dir, tuple(n.split(".")[1] for n in names if n.startswith("clean.")))
+    """A warehouse that was built on the earlier form and then refreshed by change, and the months that took.
+
+    Each refresh reads a form twice, for its digests and for the tables. Forms are landed first, as a connector does,
+    so that those passes read the columns of a file and none of them makes the form anew.
+    """
+    src = landed_inputs(spark, sf_dir, tuple(n.split(".")[1] for n in names if n.startswith("clean.")), spread=False,
+                        row_group_bytes=32 << 20)
     before = dataclasses.replace(src, forms={**src.forms, "activity": earlier(src.forms["activity"])})
     place = {"suffix": f"_{uuid.uuid4().hex}", "location": shared_folder(spark)}
     Warehouse(before, **place).refresh_changed(spark, names)
