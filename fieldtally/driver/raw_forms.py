@@ -160,13 +160,19 @@ def landed(base: DataFrame, spec: FormSpec, values: Mapping[str, str], fill: str
 
 
 def json_group(spec: FormSpec, length: str, elements: Sequence[Mapping[str, str]], nulls: bool = False) -> str:
-    """A repeat group as JSON text: the first ``length`` of ``elements`` (field path -> expression)."""
+    """A repeat group as JSON text: the first ``length`` of ``elements`` (field path -> expression).
+
+    Only the rows that the group has are made, one at a time: all cells of all rows in one expression make a method
+    that the JVM does not compile.
+    """
     structs = [
         "named_struct({})".format(", ".join(f"'{spec.repeat.key(f)}', {e}" for f, e in element.items()))
         for element in elements
     ]
+    cases = " ".join(f"when {i} then {struct}" for i, struct in enumerate(structs))
+    rows = f"transform(slice(array({', '.join(map(str, range(len(structs))))}), 1, {length}), e -> case e {cases} end)"
     options = ", map('ignoreNullFields', 'false')" if nulls else ""
-    return f"to_json(slice(array({', '.join(structs)}), 1, {length}){options})"
+    return f"to_json({rows}{options})"
 
 
 def _areas(prefix: str, place: str, levels: int = 5) -> dict[str, str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,7 +63,7 @@ def from_month(df: DataFrame, day: Column, since: str) -> DataFrame:
 
 def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, since: str | None = None,
             format: str = "parquet", months: Collection[date | None] | None = None, retain: int = 0,
-            hidden: Sequence[str] = ()) -> DataFrame:
+            hidden: Sequence[str] = (), late: Mapping[str, Column] | None = None) -> DataFrame:
     """Expose ``layer.name`` as a replaceable session view or as written rows, and return what readers see.
 
     In table mode readers use the catalog view ``layer.name``, and every change reaches them by one replacement of
@@ -80,10 +80,12 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
 
     Columns are matched by name; a table with other columns is written in full. ``hidden`` columns are written but
     not shown by the view. The rebalance hint sizes the files: large months are split over several tasks, small
-    ones share one.
+    ones share one. ``late`` are hidden columns that are made from the others behind that shuffle, which then does
+    not carry them.
     """
+    late = late or {}
     spark = df.sparkSession
-    shown = [c for c in df.columns if c not in hidden]
+    shown = [c for c in df.columns if c not in hidden and c not in late]
     if mode == "view":
         view = name.replace(".", "__")
         df.select(*shown).createOrReplaceTempView(view)
@@ -93,17 +95,17 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
     now = current_version(spark, name)
     if month_of is None:
         target = versions(name)[now == versions(name)[0]]
-        df.write.mode("overwrite").format(format).saveAsTable(target)
+        df.withColumns(late).write.mode("overwrite").format(format).saveAsTable(target)
         return publish_alias(spark, name, target, shown)
     month, batch = month_column(month_of), batch_column(month_of)
     dated = df.withColumn(month, F.trunc(F.col(month_of).try_cast("date"), "month"))
     partial = since is not None or months is not None
-    if partial and now is not None and set(spark.table(now).columns) == {*dated.columns, batch}:
+    if partial and now is not None and set(spark.table(now).columns) == {*dated.columns, *late, batch}:
         recent = in_months(dated, F.col(month), months) if months is not None else from_month(dated, F.col(month), since)
         written = _partitions(spark, now, month, batch)
         new = max((b for _, b in written), default=0) + 1
-        ordered = recent.withColumn(batch, F.lit(new)).select(*spark.table(now).columns)
-        ordered.hint("rebalance", F.col(month)).write.mode("append").insertInto(now)
+        full = recent.withColumn(batch, F.lit(new)).hint("rebalance", F.col(month)).withColumns(late)
+        full.select(*spark.table(now).columns).write.mode("append").insertInto(now)
         spark.catalog.refreshTable(now)
         added = {m: new for m, b in _partitions(spark, now, month, batch) if b == new}
         first = None if since is None else date.fromisoformat(since[:10]).replace(day=1)
@@ -117,7 +119,7 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
         spark.catalog.refreshTable(now)
         return spark.table(name)
     target = versions(name)[now == versions(name)[0]]
-    full = dated.withColumn(batch, F.lit(1)).hint("rebalance", F.col(month))
+    full = dated.withColumn(batch, F.lit(1)).hint("rebalance", F.col(month)).withColumns(late)
     full.write.mode("overwrite").format(format).partitionBy(month, batch).saveAsTable(target)
     return _show(spark, name, target, shown, month, batch, {m: b for m, b in _partitions(spark, target, month, batch)})
 

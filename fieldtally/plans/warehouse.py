@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.forms import FORMS, FormSpec
@@ -48,8 +48,9 @@ Get = Callable[[str], DataFrame]
 @dataclass(frozen=True)
 class Table:
     """One table: how to build it, the day its partitions follow and the form whose day that is, columns that are
-    written for the refresh but not shown, sources it reads beside its tables and the dimensions, and whether
-    it only renames another table or shows the listed columns of another."""
+    written for the refresh but not shown, sources it reads beside its tables and the dimensions, whether
+    it only renames another table or shows the listed columns of another, and what makes those hidden columns that
+    are made from the others as the table is written."""
 
     name: str
     build: Callable[[Get, Inputs], DataFrame]
@@ -59,6 +60,7 @@ class Table:
     reads: tuple[str, ...] = ()
     same_as: str | None = None
     shown_from: tuple[str, tuple[str, ...]] | None = None
+    late: Callable[[Inputs], dict[str, Column]] | None = None
 
 
 #: Day of a repeat row's submission, by which its table is partitioned.
@@ -90,11 +92,13 @@ def _repeat(form: str, column: str, day: str | None, *keys: str) -> Table:
 def _clean(name: str, day: str | None = None, group: str | None = None) -> Table:
     """The clean form; its repeat group is parsed once and stored beside the text."""
     def build(get: Get, src: Inputs) -> DataFrame:
-        form = clean_form(src.forms[name], src.specs[name])
-        return form.withColumn(parsed_column(group), parsed_group(src.specs[name].repeat, group)) if group else form
+        return clean_form(src.forms[name], src.specs[name])
+
+    def late(src: Inputs) -> dict[str, Column]:
+        return {parsed_column(group): parsed_group(src.specs[name].repeat, group)} if group else {}
 
     return Table(f"clean.{name}", build, month_of=day, follows=name if day else None,
-                 hidden=(parsed_column(group),) if group else (), reads=(name,))
+                 hidden=(parsed_column(group),) if group else (), reads=(name,), late=late)
 
 
 def _choices(name: str) -> Callable[[Get, Inputs], DataFrame]:
@@ -348,7 +352,8 @@ class Warehouse:
             if months is not None and table.name == f"clean.{table.follows}":
                 inputs = _only_months(inputs, table.follows, months)
             frame = table.build(self._reader(spark, table, mode, since, months), inputs)
-            frame = publish(frame, name, mode, table.month_of, since, months=months, hidden=table.hidden)
+            frame = publish(frame, name, mode, table.month_of, since, months=months, hidden=table.hidden,
+                            late=table.late(self.inputs) if table.late else None)
         self.frames[table.name] = frame
         self.published.add(table.name)
 
