@@ -16,8 +16,10 @@ keys are, and a key that occurs in copies of one text only cannot repeat anythin
   from all its bytes, so equal strings still meet and nothing else does.
 * Each chunk sends the distinct segments under such keys with their smallest ids. Keys are dealt into buckets of
   bounded size. In a bucket equal segments are put together; a key left with one segment has nothing to be merged
-  with. All others are dealt into shards, the shards' transforms are built and merged by interleave refinement
-  (see bwt.py), and each interval of suffixes that share `length` bytes gets its smallest id.
+  with. Most others share a piece and no whole string: strings whose hash is met once are told to repeat nothing. What
+  is left of the segments, from the first to the last string that may repeat, is dealt into shards, the shards'
+  transforms are built and merged by interleave refinement (see bwt.py), and each interval of suffixes that share
+  `length` bytes gets its smallest id.
 * Back come the places of a segment where a smaller id than the chunk's own was found, as bits of one number. In
   the chunk, a later document with the same segment repeats it whole.
 
@@ -95,8 +97,8 @@ class Segments:
         sizes = np.diff(at)
         if n < length or not (sizes >= length).any():
             return
-        grams = n - GRAM + 1
-        h = self.hashed.spans(np.arange(grams), np.arange(GRAM, n + 1)) >> np.uint64(24)
+        h = self.hashed.every(GRAM)
+        h >>= np.uint64(24)
         # the least of length - GRAM + 1 neighbours, by doubling
         width, reach = length - GRAM + 1, 1
         while 2 * reach <= width:
@@ -248,39 +250,63 @@ def _segments(chunks: DataFrame, length: int) -> DataFrame:
     return chunks.mapInArrow(scan, "chunk bigint, key bigint, low bigint, segment binary")
 
 
+def _body(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of a column of byte strings without nulls, and where each begins and the last one ends."""
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(offsets, kind)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    return data.to_pybytes()[at[0]: at[-1]], at - at[0]
+
+
+def _met(hashed: Hashed, begin: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments with a string whose hash is met again, and the first and last such string of each. All other strings are
+    met once, since equal ones have equal hashes. `begin` has where a segment begins, `size` how many strings it has."""
+    start = gather(begin, size)
+    h = hashed.spans(start, start + length)
+    order = np.argsort(h)
+    h = h[order]
+    again = np.zeros(len(h) + 1, bool)
+    again[1:-1] = h[1:] == h[:-1]
+    at = np.sort(order[again[1:] | again[:-1]])
+    before = np.cumsum(size) - size
+    owner = np.searchsorted(before, at, side="right") - 1
+    of, first, n = np.unique(owner, return_index=True, return_counts=True)
+    return of, at[first] - before[of], at[first + n - 1] - before[of]
+
+
 def _repeated(segments: DataFrame, length: int, buckets: int, shard_bytes: int) -> DataFrame:
     """chunk, content, places: bits of the places at which a string starts that has a smaller id than `low`."""
     def merge(group: pa.Table) -> pa.Table:
         key, low, chunk = (group[c].combine_chunks().to_numpy() for c in ("key", "low", "chunk"))
-        segment = group["segment"].combine_chunks()
-        ends = np.concatenate([[0], np.cumsum(pa.compute.binary_length(segment).to_numpy().astype(np.int64))])
-        data = np.frombuffer(b"".join(segment.to_pylist()), np.uint8)
-        content = Hashed(data).spans(ends[:-1], ends[1:]).view(np.int64)
+        raw, ends = _body(group["segment"].combine_chunks())
+        hashed = Hashed(np.frombuffer(raw, np.uint8))
+        content = hashed.spans(ends[:-1], ends[1:]).view(np.int64)
         # rows of single strings stay apart, so that the transforms tell which are equal
         _, first, which = np.unique(np.where(key < 0, np.arange(len(key)), content), return_index=True, return_inverse=True)
         least = np.full(len(first), LAST_ID)
         np.minimum.at(least, which, low)
         _, under, n = np.unique(key[first], return_inverse=True, return_counts=True)
-        several = np.flatnonzero(n[under] > 1)
-        strings = segment.take(pa.array(first[several])).to_pylist()
-        places = np.zeros(len(content), np.int64)
-        # a key's only segment: all its strings have its smallest id
         size = np.diff(ends) - length + 1
-        single = n[under][which] == 1
-        smaller = single & (least[which] < low)
-        places[smaller] = (np.int64(1) << size[smaller]) - 1
-        if strings:
+        # a segment's own smallest id holds for all its strings
+        places = np.where(least[which] < low, (np.int64(1) << size) - 1, 0)
+        several = np.flatnonzero(n[under] > 1)
+        of, lo, hi = _met(hashed, ends[first[several]], size[first[several]], length)
+        several = several[of]
+        if len(several):
+            # only the strings from the first to the last that may be met again are merged
+            begin = ends[first[several]]
+            strings = [raw[a:b] for a, b in zip((begin + lo).tolist(), (begin + hi + length).tolist())]
             found, begins = least_by_repeat(strings, least[several], length, shard_bytes)
             spot = np.full(len(first), -1)
             spot[several] = np.arange(len(several))
-            rows = np.flatnonzero(~single)
-            begin = begins[spot[which[rows]]]
-            for bit in range(MOST):
-                here = rows[size[rows] > bit]
-                if not len(here):
-                    break
-                at = begin[size[rows] > bit] + bit
-                places[here] |= (found[at] < low[here]).astype(np.int64) << bit
+            rows = np.flatnonzero((spot[which] >= 0) & (places == 0))
+            of = spot[which[rows]]
+            n_places = hi[of] - lo[of] + 1
+            row = np.repeat(np.arange(len(rows)), n_places)
+            nth = gather(np.zeros(len(rows), np.int64), n_places)
+            hit = found[begins[of][row] + nth] < low[rows][row]
+            row, bit = row[hit], (nth + lo[of][row])[hit]
+            np.bitwise_or.at(places, rows[row], np.int64(1) << bit)
         keep = np.flatnonzero(places)
         return pa.table({"chunk": chunk[keep], "content": content[keep], "places": places[keep]})
 
@@ -325,10 +351,12 @@ def _removed(chunks: DataFrame, length: int) -> DataFrame:
             np.add.at(starts, last[later] + length - 1, -1)
             hit = np.flatnonzero(~later & _member(contents, content))
             bits = places[np.searchsorted(contents, content[hit])] if len(hit) else np.zeros(0, np.int64)
-            for bit in range(MOST):
-                at_bit = first[hit[(bits >> bit) & 1 == 1]] + bit
-                np.add.at(starts, at_bit, 1)
-                np.add.at(starts, at_bit + length, -1)
+            size = last[hit] - first[hit]
+            spot = gather(first[hit], size)
+            row = np.repeat(np.arange(len(hit)), size)
+            spot = spot[(bits[row] >> (spot - first[hit][row])) & 1 == 1]
+            starts += np.bincount(spot, minlength=len(starts)).astype(np.int32)
+            starts -= np.bincount(spot + length, minlength=len(starts)).astype(np.int32)
         gone = np.cumsum(starts[:-1]) > 0
         edge = np.zeros(len(data) + 1, bool)
         edge[at] = True

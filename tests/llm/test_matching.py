@@ -125,6 +125,25 @@ def test_repeats_of_one_line_that_goes_on_differently(docs, monkeypatch):
     assert groups and max(groups) <= 5_000
 
 
+def test_repeats_merge_only_what_may_repeat(docs, monkeypatch):
+    draw = random.Random(11)
+    shared = ["A phrase of thirty bytes or so, ", "A passage that two texts have in common and both go on otherwise. "]
+    rows = [(i, "".join(draw.choices("abcdefgh ", k=90)) + shared[i % 2] + "".join(draw.choices("abcdefgh ", k=90)))
+            for i in range(12)]
+    whole, most = repeats.least_by_repeat, len(shared[1]) + 8  # chance neighbours
+
+    def strict(strings, values, length, shard_bytes):
+        assert all(len(s) <= most for s in strings), "merges what cannot repeat"
+        return whole(strings, values, length, shard_bytes)
+
+    monkeypatch.setattr(repeats, "least_by_repeat", strict)
+    for some in (rows[::2], rows):
+        got = repeats.remove(docs(*some), bucket_bytes=10**9).collect()
+        mine = sorted((str(r.doc_id), r.n_bytes, sum(s.last - s["first"] for s in r.spans), len(r.spans), bytes(r.kept)) for r in got)
+        assert mine == plain_repeats(some, 50)
+        assert any(r[2] for r in mine) == (some is rows)
+
+
 def test_repeats_of_nothing(docs):
     assert repeats.remove(docs()).collect() == []
 
