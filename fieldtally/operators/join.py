@@ -25,8 +25,12 @@ _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast threshold in bytes; negative when broadcasting is off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)(?:i?b)?", text).groups()
+    return bytes_of(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def bytes_of(text: str) -> int:
+    """A setting such as ``64MB`` as a number."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)(?:i?b)?", text.strip().lower()).groups()
     return int(number) * _UNITS[unit]
 
 

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from fieldtally.operators.join import bytes_of
+
 LAYERS = ("clean", "staging", "public")
 #: The view's property that lists the batch of every month it shows.
 _BATCHES = "shown_batches"
+#: Deletes a query's shuffle files when it ends; otherwise they stay until the driver's garbage collector meets them.
+_DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def ensure_namespaces(spark: SparkSession, names: Sequence[str] = LAYERS, location: str | None = None) -> None:
@@ -61,9 +67,32 @@ def from_month(df: DataFrame, day: Column, since: str) -> DataFrame:
     return df.where((day >= F.trunc(F.lit(since).cast("date"), "month")) | day.isNull())
 
 
+@contextmanager
+def bounded_shuffles(spark: SparkSession, expands: bool = False) -> Iterator[None]:
+    """Each write inside leaves no shuffle files behind: of the tables written one after the other only one's are there.
+
+    Where rows are expanded behind the shuffle, a task is given an eighth of the bytes.
+    """
+    settings = {_DELETE_SHUFFLES: "true"}
+    if expands:
+        settings[_TASK_BYTES] = str(max(1, bytes_of(spark.conf.get(_TASK_BYTES)) // 8))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None = None, since: str | None = None,
             format: str = "parquet", months: Collection[date | None] | None = None, retain: int = 0,
-            hidden: Sequence[str] = (), late: Mapping[str, Column] | None = None) -> DataFrame:
+            hidden: Sequence[str] = (), late: Mapping[str, Column] | None = None,
+            expand: Callable[[DataFrame, Sequence[str]], DataFrame] | None = None) -> DataFrame:
     """Expose ``layer.name`` as a replaceable session view or as written rows, and return what readers see.
 
     In table mode readers use the catalog view ``layer.name``, and every change reaches them by one replacement of
@@ -81,31 +110,35 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
     Columns are matched by name; a table with other columns is written in full. ``hidden`` columns are written but
     not shown by the view. The rebalance hint sizes the files: large months are split over several tasks, small
     ones share one. ``late`` are hidden columns that are made from the others behind that shuffle, which then does
-    not carry them.
+    not carry them. ``expand`` makes the table's rows from those of ``df``, with the columns that it is told to keep, also
+    behind that shuffle, which carries one row where the table has many; it must not change ``month_of``.
     """
-    late = late or {}
+    late, expands, expand = late or {}, expand is not None, expand or (lambda rows, keep: rows)
     spark = df.sparkSession
-    shown = [c for c in df.columns if c not in hidden and c not in late]
+    whole = expand(df, ())
+    shown = [c for c in whole.columns if c not in hidden and c not in late]
     if mode == "view":
         view = name.replace(".", "__")
-        df.select(*shown).createOrReplaceTempView(view)
+        whole.select(*shown).createOrReplaceTempView(view)
         return spark.table(view)
     if mode != "table":
         raise ValueError(f"unknown mode {mode!r}")
     now = current_version(spark, name)
     if month_of is None:
         target = versions(name)[now == versions(name)[0]]
-        df.withColumns(late).write.mode("overwrite").format(format).saveAsTable(target)
+        with bounded_shuffles(spark, expands):
+            _writer(whole.withColumns(late), format).mode("overwrite").saveAsTable(target)
         return publish_alias(spark, name, target, shown)
     month, batch = month_column(month_of), batch_column(month_of)
     dated = df.withColumn(month, F.trunc(F.col(month_of).try_cast("date"), "month"))
     partial = since is not None or months is not None
-    if partial and now is not None and set(spark.table(now).columns) == {*dated.columns, *late, batch}:
+    if partial and now is not None and set(spark.table(now).columns) == {*whole.columns, month, *late, batch}:
         recent = in_months(dated, F.col(month), months) if months is not None else from_month(dated, F.col(month), since)
         written = _partitions(spark, now, month, batch)
         new = max((b for _, b in written), default=0) + 1
-        full = recent.withColumn(batch, F.lit(new)).hint("rebalance", F.col(month)).withColumns(late)
-        full.select(*spark.table(now).columns).write.mode("append").insertInto(now)
+        full = expand(recent.withColumn(batch, F.lit(new)).hint("rebalance", F.col(month)), (month, batch)).withColumns(late)
+        with bounded_shuffles(spark, expands):
+            full.select(*spark.table(now).columns).write.mode("append").insertInto(now)
         spark.catalog.refreshTable(now)
         added = {m: new for m, b in _partitions(spark, now, month, batch) if b == new}
         first = None if since is None else date.fromisoformat(since[:10]).replace(day=1)
@@ -119,11 +152,18 @@ def publish(df: DataFrame, name: str, mode: str = "view", month_of: str | None =
         spark.catalog.refreshTable(now)
         return spark.table(name)
     target = versions(name)[now == versions(name)[0]]
-    full = dated.withColumn(batch, F.lit(1)).hint("rebalance", F.col(month)).withColumns(late)
-    full.write.mode("overwrite").format(format).partitionBy(month, batch).saveAsTable(target)
+    full = expand(dated.withColumn(batch, F.lit(1)).hint("rebalance", F.col(month)), (month, batch)).withColumns(late)
+    with bounded_shuffles(spark, expands):
+        _writer(full, format).mode("overwrite").partitionBy(month, batch).saveAsTable(target)
     return _show(spark, name, target, shown, month, batch, {m: b for m, b in _partitions(spark, target, month, batch)})
 
 
+def _writer(df: DataFrame, format: str) -> DataFrameWriter:
+    """Parquet is written in zstandard: two batches of a month lie side by side until readers see the new one."""
+    writer = df.write.format(format)
+    return writer.option("compression", "zstd") if format == "parquet" else writer
+
+
 def _literal(month: date | None) -> str:
     return "null" if month is None else f"date'{month}'"
 

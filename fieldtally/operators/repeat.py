@@ -59,13 +59,23 @@ def explode_repeat(df: DataFrame, json_col: str, path: str, fields: Mapping[str,
     The array is parsed and exploded once for all fields, in place: children need no join back to
     their parent. Parents without children disappear unless ``outer``.
     """
-    parsed = parse_repeat(f"`{json_col}`", path, list(fields), on_error, is_parsed(df, json_col))
+    kind, wanted = df.schema[json_col].dataType, [f"{path}/{f}" for f in fields]
+    ready = is_parsed(df, json_col) and kind.elementType.names == wanted
+    parsed = F.col(f"`{json_col}`") if ready else parse_repeat(f"`{json_col}`", path, list(fields), on_error, is_parsed(df, json_col))
     rows = df.select(*keys, (F.explode_outer if outer else F.explode)(parsed).alias("_element"))
     return rows.select(
         *keys, *[repeat_field(F.col("_element"), path, f, to, on_error).alias(short_name(f)) for f, to in fields.items()]
     )
 
 
+def narrow_group(df: DataFrame, repeat: Repeat, only: Sequence[str], column: str | None = None) -> DataFrame:
+    """The repeat group parsed with only the fields that ``only`` lists by short name, so that joins before it is
+    exploded carry nothing else."""
+    column = column or repeat.column
+    fields = [f for f in repeat.fields if short_name(f) in only]
+    return df.withColumn(column, parse_repeat(f"`{column}`", repeat.path, fields, repeat.on_error, is_parsed(df, column)))
+
+
 def explode_group(df: DataFrame, repeat: Repeat, keys: Sequence[str], only: Sequence[str] | None = None,
                   column: str | None = None, outer: bool = False) -> DataFrame:
     """``explode_repeat`` of a declared repeat group; ``only`` limits the fields by short name."""

@@ -25,11 +25,12 @@ from fieldtally.operators.lookup import admin_lookup, areas_fit, iso_lookup
 from fieldtally.operators.publish import bi_projection
 from fieldtally.operators.relate import campaign_window_join, cutoff, on_spine
 from fieldtally.operators.join import sized_join
-from fieldtally.operators.repeat import explode_group
+from fieldtally.operators.repeat import explode_group, narrow_group
 from fieldtally.operators.reshape import drop_unanswered, unpivot_crosstab
 from fieldtally.plans.dims import PLACES, Dimensions
 
 DAY = "date_vaccination_activity"
+_ACTUALS_FIELDS = ("age_group_label", *[c for _, _, c in COVERAGE_COUNTS])
 
 
 def _submissions(form: DataFrame, *more: str) -> DataFrame:
@@ -42,14 +43,24 @@ def _submissions(form: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def named_submissions(form: DataFrame, dims: Dimensions, spec: FormSpec = ACTIVITY) -> DataFrame:
+    """Submissions with area labels and only the fields of the repeat group that ``actuals`` expands."""
+    narrow = narrow_group(_submissions(form, "vaccine"), spec.repeat, _ACTUALS_FIELDS, column="vaccine")
+    return admin_lookup(narrow, dims.areas, spread_by=["submission_id"])
+
+
+def expanded_actuals(named: DataFrame, spec: FormSpec = ACTIVITY, keep: Sequence[str] = ()) -> DataFrame:
+    """``actuals`` from ``named_submissions``, with the columns ``keep`` of these behind the others."""
+    keys = ["submission_id", DAY, *PLACES[:4], "latitude", "longitude", "admin5", "vaccine_administered", *keep]
+    rows = explode_group(named, spec.repeat, keys, only=_ACTUALS_FIELDS, column="vaccine")
+    long = unpivot_crosstab(rows, [*keys, "age_group_label"], COVERAGE_COUNTS,
+                            ("coverage_category", "indicator_category", "indicator_value"))
+    return long.select(*[c for c in long.columns if c not in keep], *keep)
+
+
 def actuals(form: DataFrame, dims: Dimensions, spec: FormSpec = ACTIVITY) -> DataFrame:
     """Submission × age group × status × sex: number of children."""
-    named = admin_lookup(_submissions(form, "vaccine"), dims.areas, spread_by=["submission_id"])
-    keys = ["submission_id", DAY, *PLACES[:4], "latitude", "longitude", "admin5", "vaccine_administered"]
-    rows = explode_group(named, spec.repeat, keys,
-                         only=("age_group_label", *[c for _, _, c in COVERAGE_COUNTS]), column="vaccine")
-    return unpivot_crosstab(rows, [*keys, "age_group_label"], COVERAGE_COUNTS,
-                            ("coverage_category", "indicator_category", "indicator_value"))
+    return expanded_actuals(named_submissions(form, dims, spec), spec)
 
 
 def unreached_reasons(form: DataFrame, dims: Dimensions, spec: FormSpec = ACTIVITY) -> DataFrame:

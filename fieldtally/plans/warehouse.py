@@ -50,7 +50,8 @@ class Table:
     """One table: how to build it, the day its partitions follow and the form whose day that is, columns that are
     written for the refresh but not shown, sources it reads beside its tables and the dimensions, whether
     it only renames another table or shows the listed columns of another, and what makes those hidden columns that
-    are made from the others as the table is written."""
+    are made from the others as the table is written. ``narrow`` and ``expand`` are ``build`` in two steps: fewer rows, and
+    the table's rows from them with some columns kept, which a write does behind its shuffle by month."""
 
     name: str
     build: Callable[[Get, Inputs], DataFrame]
@@ -61,6 +62,8 @@ class Table:
     same_as: str | None = None
     shown_from: tuple[str, tuple[str, ...]] | None = None
     late: Callable[[Inputs], dict[str, Column]] | None = None
+    narrow: Callable[[Get, Inputs], DataFrame] | None = None
+    expand: Callable[[DataFrame, Inputs, Sequence[str]], DataFrame] | None = None
 
 
 #: Day of a repeat row's submission, by which its table is partitioned.
@@ -163,7 +166,10 @@ TABLES: tuple[Table, ...] = (
     _clean("target", "campaign_start_date", "target_children"),
     _repeat("target", "target_children", "campaign_start_date", "_airbyte_ab_id"),
     Table("staging.sia_actuals",
-          lambda get, src: immunization.actuals(get("clean.activity"), src.dims, src.specs["activity"]), month_of=DAY, follows="activity"),
+          lambda get, src: immunization.actuals(get("clean.activity"), src.dims, src.specs["activity"]),
+          month_of=DAY, follows="activity",
+          narrow=lambda get, src: immunization.named_submissions(get("clean.activity"), src.dims, src.specs["activity"]),
+          expand=lambda rows, src, keep: immunization.expanded_actuals(rows, src.specs["activity"], keep)),
     Table("staging.sia_targets", lambda get, src: immunization.targets(get("clean.target"), src.dims, src.specs["target"])),
     Table("staging.sia_vaccine_dose",
           lambda get, src: immunization.doses(get("clean.activity"), src.dims), month_of=DAY, follows="activity"),
@@ -351,9 +357,13 @@ class Warehouse:
             inputs = self.inputs
             if months is not None and table.name == f"clean.{table.follows}":
                 inputs = _only_months(inputs, table.follows, months)
-            frame = table.build(self._reader(spark, table, mode, since, months), inputs)
+            get, expand = self._reader(spark, table, mode, since, months), None
+            if table.expand and mode == "table":
+                frame, expand = table.narrow(get, inputs), lambda rows, keep: table.expand(rows, inputs, keep)
+            else:
+                frame = table.build(get, inputs)
             frame = publish(frame, name, mode, table.month_of, since, months=months, hidden=table.hidden,
-                            late=table.late(self.inputs) if table.late else None)
+                            late=table.late(self.inputs) if table.late else None, expand=expand)
         self.frames[table.name] = frame
         self.published.add(table.name)
 

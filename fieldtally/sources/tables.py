@@ -40,7 +40,7 @@ def land_form(form: DataFrame, path: str | None = None, table: str | None = None
               row_group_bytes: int = 4 << 20) -> None:
     """Write a landed form as Parquet in row groups of bounded size, so that also a form of one file is read by
     many tasks. ``row_group_bytes`` is about the size in memory; forms of very many files do well with 128 MB."""
-    writer = form.write.mode(mode).format("parquet").option("parquet.block.size", row_group_bytes)
+    writer = form.write.mode(mode).format("parquet").option("compression", "zstd").option("parquet.block.size", row_group_bytes)
     writer.saveAsTable(table) if table is not None else writer.save(path)
 
 

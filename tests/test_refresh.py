@@ -276,3 +276,34 @@ def test_malformed_groups_raise_or_read_as_null_when_the_form_is_written(spark):
     lenient = Warehouse(dataclasses.replace(strict.inputs, specs={**src.specs, "social": spec.lenient()}), **place())
     frames = lenient.refresh(spark, ["clean.social", "staging.social_mobilization_indicators"], mode="table")
     assert frames["staging.social_mobilization_indicators"].count() == 18
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "shuffle_" in f}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    layer = f"clean_{tmp_path.name}".replace("-", "_")
+    ensure_namespaces(spark, [layer], str(tmp_path))
+    rows = spark.range(200).selectExpr("id", "date_add(date'2024-01-05', cast(id % 90 as int)) as day", "id % 3 as n")
+    before = shuffle_files(spark)
+    publish(rows, f"{layer}.t", "table", "day")
+    publish(rows, f"{layer}.t", "table", "day", months={date(2024, 2, 1)})
+    assert shuffle_files(spark) <= before
+
+
+def test_rows_expanded_behind_the_shuffle(spark, tmp_path):
+    layer = f"clean_{tmp_path.name}".replace("-", "_")
+    ensure_namespaces(spark, [layer], str(tmp_path))
+    rows = spark.range(90).selectExpr("id", "date_add(date'2024-01-05', cast(id as int)) as day", "cast(id % 3 as int) as n")
+
+    def expand(df, keep):
+        return df.select("id", "day", F.explode(F.sequence(F.lit(0), "n")).alias("k"), *keep)
+
+    want = sorted(map(tuple, expand(rows, ()).collect()))
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for months in (None, {date(2024, 2, 1)}):
+        got = publish(rows, f"{layer}.t", "table", "day", months=months, expand=expand)
+        assert got.columns == ["id", "day", "k"] and sorted(map(tuple, got.collect())) == want
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == size
